@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substring_dedup
+from . import decontaminate, embedding_dedup, sharding, substring_dedup, token_counts, toxicity, url_filter, warc
 
 _MODULES = {
     "op1_substring_dedup": substring_dedup,
+    "op3_token_counts": token_counts,
+    "op4_warc_bundles": warc,
+    "op5_toxicity": toxicity,
+    "op6_decontamination": decontaminate,
+    "op8_embedding_dedup": embedding_dedup,
+    "op9_url_filter": url_filter,
+    "op10_sharding": sharding,
 }
 
 
