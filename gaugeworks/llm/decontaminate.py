@@ -134,8 +134,9 @@ def is_contaminated():
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Documents, all columns, without those a twentieth of whose words are hit."""
+    ws = Workspace(spark, "decontaminated")
     bad = find_hits(spark, docs, benchmark, **options).filter(is_contaminated()).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+    return docs.join(ws.put(bad, "bad"), "doc_id", "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

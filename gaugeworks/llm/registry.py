@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embedding_dedup, sharding, substring_dedup, token_counts, toxicity, url_filter, warc
+from . import decontaminate, embedding_dedup, jaccard_join, mixing, sharding, substring_dedup, token_counts, toxicity, url_filter, warc
 
 _MODULES = {
     "op1_substring_dedup": substring_dedup,
+    "op2_source_mixing": mixing,
     "op3_token_counts": token_counts,
     "op4_warc_bundles": warc,
     "op5_toxicity": toxicity,
     "op6_decontamination": decontaminate,
+    "op7_jaccard_join": jaccard_join,
     "op8_embedding_dedup": embedding_dedup,
     "op9_url_filter": url_filter,
     "op10_sharding": sharding,
