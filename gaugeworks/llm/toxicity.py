@@ -1,7 +1,7 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-A text's features are the distinct hashes of its words, of neighbouring pairs and of
-pairs one word apart, over the whole text.  One task makes passes over a bounded
+A text's features are the distinct hashes of its words, of longer words' beginnings, of
+neighbouring pairs and of pairs one word apart, over the whole text.  One task makes passes over a bounded
 sample of labelled rows with per-coordinate rates and L1 sparsity; what remains is a
 few thousand weights, broadcast as one array of 2^``bits`` floats whatever the
 corpus.
@@ -23,17 +23,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ._text import NON_ALNUM, Words, mix, pieces, split_words
+from ._text import NON_ALNUM, Words, mix, pieces, split_words, word_hashes
 
 BITS = 20
 MAX_ROWS = 16384
-PASSES = 3
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.6, 0.1
+PASSES = 5
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 5.0, 0.1
+#: bytes of the beginnings that longer words also count by: inflected forms share them
+STEMS = (5, 6, 7, 8)
 _SEEDS = tuple(np.uint64(s) for s in (0x51ED270B, 0x2545F491, 0x9E3779B1))
 
 
 def features(words: Words, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """(document, bucket) of each occurrence of a word, a pair and a pair one word apart."""
+    """(document, bucket) of each occurrence of a word, its beginnings, a pair and a pair one word apart."""
     h, doc = words.hashes(), words.doc_of()
     out_doc, out = [doc], [mix(h ^ _SEEDS[0])]
     for gap in (1, 2):
@@ -41,6 +43,10 @@ def features(words: Words, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
             inside = doc[:-gap] == doc[gap:]
             out_doc.append(doc[:-gap][inside])
             out.append(mix(h[:-gap] * np.uint64(0x9E3779B97F4A7C15) + h[gap:] + _SEEDS[gap])[inside])
+    for n in STEMS:
+        at = np.flatnonzero(words.ends - words.starts > n)
+        out_doc.append(doc[at])
+        out.append(word_hashes(words.buf, words.starts[at], words.starts[at] + n, seed=n))
     return np.concatenate(out_doc), (np.concatenate(out) >> np.uint64(64 - bits)).astype(np.int64)
 
 
@@ -67,8 +73,8 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def train(spark: SparkSession, labelled: DataFrame, max_rows: int = MAX_ROWS, passes: int = PASSES, bits: int = BITS) -> tuple[np.ndarray, float]:
-    """Weights and bias from ``labelled`` (id, text, label); learns in one task from max_rows rows at most."""
+def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, passes: int = PASSES, bits: int = BITS) -> tuple[np.ndarray, float]:
+    """Weights and bias from ``docs`` (id, text) and ``labels`` (id, label); learns in one task from max_rows labels at most."""
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, rows = Ftrl(1 << bits), []
@@ -88,29 +94,34 @@ def train(spark: SparkSession, labelled: DataFrame, max_rows: int = MAX_ROWS, pa
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], names=["at", "w"])
 
-    usable = labelled.filter("label is not null").select("id", F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label"))
-    picked = usable.orderBy(F.xxhash64("id"), "id").limit(max_rows)
+    # max_rows pairs of numbers at most are broadcast, and only their texts move
+    picked = labels.filter("label is not null").orderBy(F.xxhash64("id"), "id").limit(max_rows).select("id", F.col("label").cast("int").alias("label"))
+    texts = docs.select("id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "id")
+    ordered = texts.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id", "text")
     out = np.zeros((1 << bits) + 1)
-    for r in picked.mapInArrow(fit, "at long, w double").collect():  # the nonzero weights
+    for r in ordered.select("id", "text", "label").mapInArrow(fit, "at long, w double").collect():  # the nonzero weights
         out[r["at"]] = r["w"]
     return out[:-1].astype(np.float32), float(out[-1])
 
 
+def _scores(texts: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
+    bits = len(weights).bit_length() - 1
+    words = split_words(texts, NON_ALNUM, lower=True)
+    doc, bucket = features(words, bits)
+    used = weights[bucket] != 0
+    key = np.unique((doc[used] << bits) | bucket[used])
+    total = bias + np.bincount(key >> bits, weights[key & ((1 << bits) - 1)], len(words.counts))
+    return 1 / (1 + np.exp(-np.clip(total, -35, 35)))
+
+
 def score_texts(spark: SparkSession, docs: DataFrame, weights: np.ndarray, bias: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score) of every document."""
     model = spark.sparkContext.broadcast((weights, bias))  # 4 bytes a bucket
-    bits = len(weights).bit_length() - 1
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, b0 = model.value
         for b in batches:
             for ids, texts in pieces(b.columns, 1):
-                words = split_words(texts, NON_ALNUM, lower=True)
-                doc, bucket = features(words, bits)
-                used = w[bucket] != 0
-                key = np.unique((doc[used] << bits) | bucket[used])
-                total = b0 + np.bincount(key >> bits, w[key & ((1 << bits) - 1)], len(words.counts))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))], names=["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(_scores(texts, *model.value))], names=["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(score, "doc_id long, score double")
 
@@ -119,22 +130,33 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document; learns from labels that aren't held out."""
+def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, **options) -> tuple[np.ndarray, float]:
+    """Weights and bias from the labels that aren't held out."""
     known = labels.filter("toxic is not null").groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("label"))
     known = known.filter(~held_out(F.col("id")))
-    labelled = docs.select(F.col("doc_id").alias("id"), "text").join(known, "id")
-    weights, bias = train(spark, labelled, **options)
-    if bias == 0 and not weights.any():
-        bias = -1e-6
-    scored = score_texts(spark, docs, weights, bias)
+    weights, bias = train(spark, docs.select(F.col("doc_id").alias("id"), "text"), known, **options)
+    return (weights, bias) if bias or weights.any() else (weights, -1e-6)
+
+
+def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """doc_id, held_out, score and predicted of every document; learns from labels that aren't held out."""
+    scored = score_texts(spark, docs, *learn(spark, docs, labels, **options))
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """Documents, all columns, without those predicted toxic."""
-    bad = score_documents(spark, docs, labels, **options).filter("predicted = 1").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+    """Documents, all columns, without those predicted toxic; texts are not shuffled."""
+    weights, bias = learn(spark, docs, labels, **options)
+    model = spark.sparkContext.broadcast((weights, bias))
+    text, names = docs.columns.index("text"), docs.columns
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for cols in pieces(b.columns, text):
+                good = pa.array(_scores(cols[text], *model.value) < 0.5)
+                yield pa.RecordBatch.from_arrays([c.filter(good) for c in cols], names=names)
+
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
