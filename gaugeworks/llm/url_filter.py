@@ -9,7 +9,8 @@ stays below ``min_good``.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
 and is judged as the host ''.  Pages without a label count for no host; several
-labels for a page are as many outcomes; null outcomes are ignored.  Repeated rows
+labels for a page are as many outcomes; null outcomes are ignored; without any
+outcome no host is blocked.  Repeated rows
 and ids come back as often as they came.
 """
 
@@ -92,7 +93,7 @@ def host_reputation(spark: SparkSession, pages: DataFrame, outcomes: DataFrame,
     domains = ws.put(hosts.groupBy("domain", "suffix").agg(*counts), "domains")
     suffixes = domains.groupBy("suffix").agg(*counts)
     whole = suffixes.agg(F.coalesce(F.sum("good"), F.lit(0.0)), F.coalesce(F.sum("n"), F.lit(0.0))).first()
-    suffixes = suffixes.withColumn("mean0", F.lit((whole[0] + 1) / (whole[1] + 2)))
+    suffixes = suffixes.withColumn("mean0", F.lit((whole[0] + 1) / (whole[1] + 2) if whole[1] else 1.0))
     suffixes = ws.put(_shrunk(suffixes, "mean0", "mean1").select("suffix", "mean1"), "suffixes")
     domains = ws.put(_shrunk(domains.join(suffixes, "suffix"), "mean1", "mean2").select("domain", "mean2"), "domain_means")
     hosts = _shrunk(hosts.join(domains, "domain"), "mean2", "mean")
@@ -149,7 +150,7 @@ h0 AS (
   FROM keyed LEFT JOIN labels ON page_id = doc_id GROUP BY ALL),
 d0 AS (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM h0 GROUP BY ALL),
 s00 AS (SELECT suffix, sum(n) AS n, sum(good) AS good FROM d0 GROUP BY ALL),
-s0 AS (SELECT *, (SELECT (sum(good) + 1) / (sum(n) + 2) FROM s00) AS mean0 FROM s00),
+s0 AS (SELECT *, (SELECT CASE WHEN sum(n) > 0 THEN (sum(good) + 1) / (sum(n) + 2) ELSE 1 END FROM s00) AS mean0 FROM s00),
 {_sql_level("s1", "s0", "suffix", "mean0", "mean1").strip()},
 d00 AS (SELECT d0.*, mean1 FROM d0 JOIN s1 USING (suffix)),
 {_sql_level("d1", "d00", "domain", "mean1", "mean2").strip()},
