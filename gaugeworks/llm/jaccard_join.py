@@ -39,6 +39,8 @@ from ._text import mix, window_hashes
 #: bits of one sketch word
 WORD_BITS = 1 << 16
 TILE = 256
+#: log2 of the most bits that a whole set's sketch takes
+SKETCH_BITS = 13
 _C = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -127,6 +129,23 @@ def _keys(block: Block, size: int, bands: Bands) -> tuple[list[np.ndarray], np.n
     return sets, np.concatenate(each) if each else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum([len(k) for k in each])]).astype(np.int64)
 
 
+def bit_sketch(shingles: np.ndarray) -> bytes:
+    """One bit a shingle, flipped by each that falls on it; a power of two of bits, some four a shingle."""
+    bits = 1 << int(np.clip((4 * len(shingles) - 1).bit_length(), 6, SKETCH_BITS))
+    odd = np.bincount((mix(shingles) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """A sketch of fewer 64-bit words, as if it had been made so."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, words), axis=0)
+
+
+def most_different(na, nb, num: int, den: int):
+    """The largest symmetric difference of two sizes that reach the threshold."""
+    return (na + nb) * (den - num) // (den + num)
+
+
 def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     """Do two sorted sets reach the threshold?"""
     small, large = sorted((len(a), len(b)))
@@ -184,7 +203,7 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
             head = np.empty(n_docs, np.int64)
             for x, i, j in zip(s.tolist(), cuts[:-1], cuts[1:]):
                 head[order[i:j]] = np.frombuffer(got[x], "<i8")
-            out_keys, out_sets = [], []
+            out_keys, out_sets, sketches = [], [], []
             first_here: set[int] = set()
             for d, (i, j) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
                 mine = keys[i:j][again[i:j]]
@@ -192,12 +211,13 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                 first_here.add(int(head[d])) if speaks else None
                 out_keys.append(mine.view(np.int64) if speaks else None)
                 out_sets.append(sets[d].astype("<u8").tobytes() if speaks else None)
+                sketches.append(bit_sketch(sets[d]) if speaks else None)
             none = np.array([not len(x) for x in sets], bool)
             head[none] = block.ids[none]
             tables.append(pa.table([
                 id_array(block.ids), pa.array([len(x) for x in sets], pa.int64()), pa.array(head),
-                pa.array(out_keys, pa.list_(pa.int64())), pa.array(out_sets, pa.binary()),
-            ], names=["doc_id", "n_shingles", "class_id", "keys", "shingles"]))
+                pa.array(out_keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), pa.array(out_sets, pa.binary()),
+            ], names=["doc_id", "n_shingles", "class_id", "keys", "sketch", "shingles"]))
         return pa.concat_tables(tables)
 
     sent = blocks.select("block_id", "n_docs", "payload").mapInArrow(send, "slice long, block_id long, sets binary")
@@ -205,7 +225,7 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     cols = ["block_id", "slice", "bits", "kind"]
     answers = flags.select(cols).union(classes.select(cols))
     met = blocks.select("block_id", "n_docs", "payload").groupBy("block_id").cogroup(answers.groupBy("block_id"))
-    found = ws.put(met.applyInArrow(flagged, "doc_id long, n_shingles long, class_id long, keys array<long>, shingles binary"), "found")
+    found = ws.put(met.applyInArrow(flagged, "doc_id long, n_shingles long, class_id long, keys array<long>, sketch binary, shingles binary"), "found")
     ws.drop("blocks", "flags", "classes")
 
     comp = _link(spark, ws, found, num, den)
@@ -226,65 +246,81 @@ def _link(spark: SparkSession, ws: Workspace, found: DataFrame, num: int, den: i
     """(node, component) of the classes that have links."""
     top = F.lit(NULL_ID)
     heavy = found.filter("keys is not null").withColumn("id", F.coalesce("doc_id", top))
-    sets = heavy.select("id", "shingles")
     keys = heavy.select(F.explode("keys").alias("key"), "id")
     hubs = ws.put(keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).filter("n > 1"), "hubs")
-    stars = ws.put(keys.join(hubs, "key").filter("id <> hub").select("id", "hub").distinct(), "stars")
-    a = sets.select("id", F.col("shingles").alias("set_a"))
-    b = sets.select(F.col("id").alias("hub"), F.col("shingles").alias("set_b"))
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = [similar(np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8"), num, den) for x, y in zip(batch["set_a"], batch["set_b"])]
-            yield batch.select(["id", "hub"]).filter(pa.array(ok, pa.bool_()))
-
-    checked = stars.join(a, "id").join(b, "hub").select("id", "hub", "set_a", "set_b").mapInArrow(verify, "id long, hub long")
-    links = ws.put(checked.select(F.col("id").alias("a"), F.col("hub").alias("b")), "links")
+    stars = ws.put(keys.join(hubs, "key").filter("id <> hub").select("id", F.col("hub").alias("other")).distinct(), "stars")
+    links = _verified(ws, _near(ws, stars, heavy, num, den), heavy, num, den, "links")
     comp = ws.put(components(spark, links, ws), "components")
-    more = _across(ws, keys, hubs, comp, sets, num, den)
+    more = _verified(ws, _across(ws, keys, hubs, comp, heavy, num, den), heavy, num, den, "links-across")
     if more.isEmpty():
         return comp
-    ws2 = Workspace(spark, "jaccard-join-2")
-    return components(spark, links.union(more), ws2)
+    return components(spark, links.union(more), Workspace(spark, "jaccard-join-across"))
+
+
+def _near(ws: Workspace, pairs: DataFrame, heavy: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs whose sketches don't rule them out."""
+    side = lambda c, x: heavy.select(F.col("id").alias(c), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = []
+            for na, nb, x, y in zip(b["n_a"].to_pylist(), b["n_b"].to_pylist(), b["sketch_a"], b["sketch_b"]):
+                x, y = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
+                words = min(len(x), len(y))
+                ok.append(int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum()) <= most_different(na, nb, num, den))
+            yield b.select(["id", "other"]).filter(pa.array(ok, pa.bool_()))
+
+    met = pairs.join(side("id", "a"), "id").join(side("other", "b"), "other")
+    return ws.put(met.select("id", "other", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(close, "id long, other long"), "near")
+
+
+def _verified(ws: Workspace, pairs: DataFrame, heavy: DataFrame, num: int, den: int, name: str) -> DataFrame:
+    """(a, b) of the pairs whose sets reach the threshold."""
+    side = lambda c, x: heavy.select(F.col("id").alias(c), F.col("shingles").alias(f"set_{x}"))
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [similar(np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8"), num, den) for x, y in zip(b["set_a"], b["set_b"])]
+            yield b.select(["id", "other"]).rename_columns(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    met = pairs.join(side("id", "a"), "id").join(side("other", "b"), "other")
+    return ws.put(met.select("id", "other", "set_a", "set_b").mapInArrow(verify, "a long, b long"), name)
 
 
-def _across(ws: Workspace, keys: DataFrame, hubs: DataFrame, comp: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links between sets that share a key but not a component, none of them its hub.
+def _across(ws: Workspace, keys: DataFrame, hubs: DataFrame, comp: DataFrame, heavy: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that share a key but not a component, none of them its hub, as far as sketches allow.
 
-    A key's sets are dealt to tiles by id; each pair of its tiles is one comparison.
+    A key's sets are dealt to tiles by id; each pair of its tiles is one comparison of
+    sketches.
     """
     big = hubs.filter("n > 2").select("key", "hub", "n")
     named = ws.put(
         keys.join(big, "key").filter("id <> hub").join(comp.select(F.col("node").alias("id"), "component"), "id", "left")
         .select("key", "id", "n", F.coalesce("component", "id").alias("component")), "named")
     mixed = ws.put(named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key"), "mixed")
-    tiles = F.ceil(F.col("n") / TILE)
-    rows = named.join(mixed, "key").withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")))
-    # the same few sets often share many keys: one comparison of a list of members is enough
-    lists = rows.filter("tiles = 1").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("id", "component"))).alias("members"))
-    once = lists.groupBy("members").agg(F.min("key").alias("key")).select("key", F.explode("members").alias("m")).select("key", F.lit(0).cast("long").alias("tile"), F.lit(1).cast("long").alias("tiles"), "m.id", "m.component")
-    rows = once.union(rows.filter("tiles > 1").select("key", "tile", "tiles", "id", "component"))
+    rows = named.join(mixed, "key").withColumn("tiles", F.ceil(F.col("n") / TILE)).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
     dealt = rows.select("key", "id", "component", "tile", other.alias("met")).withColumn("low", F.least("tile", "met")).withColumn("high", F.greatest("tile", "met"))
     dealt = ws.put(dealt.select("key", "low", "high", "tile", "id", "component"), "dealt")
 
     def compare(table: pa.Table) -> pa.Table:
-        ids, comps, tile = (table[c].to_numpy() for c in ("id", "component", "tile"))
-        own = [np.frombuffer(x.as_buffer(), "<u8") for x in table["shingles"]]
-        left = np.flatnonzero(tile == table["low"][0].as_py())
-        right = np.flatnonzero(tile == table["high"][0].as_py())
-        out = []
-        for i in left.tolist():
-            for j in right.tolist():
-                if ids[i] < ids[j] or (tile[i] != tile[j]):
-                    if comps[i] != comps[j] and similar(own[i], own[j], num, den):
-                        out.append((ids[i], ids[j]))
-                        comps[comps == comps[j]] = comps[i]
-        a, b = zip(*out) if out else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    met = dealt.join(sets, "id").groupBy("key", "low", "high").applyInArrow(compare, "a long, b long")
-    return ws.put(met, "across")
+        ids, comps, tile, sizes = (table[c].to_numpy() for c in ("id", "component", "tile", "n_shingles"))
+        own = [np.frombuffer(x.as_buffer(), "<u8") for x in table["sketch"]]
+        words = min(map(len, own))
+        sketches = np.stack([folded(x, words) for x in own])
+        low, high = table["low"][0].as_py(), table["high"][0].as_py()
+        right = np.flatnonzero(tile == high)
+        a, b = [], []
+        for i in np.flatnonzero(tile == low).tolist():
+            j = right[(comps[right] != comps[i]) & ((ids[right] > ids[i]) | (low != high))]
+            apart = np.bitwise_count(sketches[j] ^ sketches[i]).sum(axis=1)
+            j = j[apart <= most_different(sizes[j], sizes[i], num, den)]
+            a += [ids[i]] * len(j)
+            b += ids[j].tolist()
+        return pa.table({"id": pa.array(a, pa.int64()), "other": pa.array(b, pa.int64())})
+
+    met = dealt.join(heavy.select("id", "n_shingles", "sketch"), "id").groupBy("key", "low", "high").applyInArrow(compare, "id long, other long")
+    return ws.put(met.select(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other")).distinct(), "across")
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
