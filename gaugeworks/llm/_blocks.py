@@ -64,13 +64,13 @@ def binary_array(parts: list[np.ndarray]) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(off.tobytes()), pa.py_buffer(data.tobytes())])
 
 
-def make_blocks(ws: Workspace, docs: DataFrame, id_col: str, text_col: str, lower: bool = False, name: str = "blocks") -> DataFrame:
+def make_blocks(ws: Workspace, docs: DataFrame, id_col: str, text_col: str, lower: bool = False, name: str = "blocks", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Write documents as blocks of words that are split at white space."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seq = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for ids, texts in pieces(batch.columns, 1, BLOCK_BYTES):
+            for ids, texts in pieces(batch.columns, 1, block_bytes):
                 words = split_words(texts, SPACE, lower)
                 block = Block(seq, ids.fill_null(NULL_ID).to_numpy(zero_copy_only=False), words.counts, words.buf)
                 yield pa.RecordBatch.from_arrays(

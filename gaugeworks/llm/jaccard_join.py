@@ -4,9 +4,9 @@ A document is the set of its ``size``-word shingles.  Documents of equal sets ar
 class.  Sizes fall into bands; in a band, each shingle flips one bit of a sketch, so
 the Hamming distance of two sketches never exceeds the sets' symmetric difference.
 Sets that reach the threshold, the smaller of them in the band, differ by at most D
-shingles; the sketch is cut in more than D words, so at least one word that isn't
-empty is equal in both (a set with more empty words than that leaves room for also
-sends its empty ones).  A set joins its own band and, if small enough, the band below.
+shingles; the sketch is cut in more than D words, so that two such sets
+have one more word equal than each may leave out: empty words, and words of common
+shingles whose key many sets share.  A set with more of those than that sends all.  A set joins its own band and, if small enough, the band below.
 
 Word keys that occur once are sorted out by the sharded sketch of :mod:`._blocks`;
 only sets with a repeated key go on.  Within a key, every set is verified against the
@@ -38,10 +38,13 @@ from ._text import mix, window_hashes
 
 #: bits of one sketch word
 WORD_BITS = 1 << 16
-TILE = 256
+TILE = 1024
 #: log2 of the most bits that a whole set's sketch takes
 SKETCH_BITS = 13
+#: a key of more sets is left out by those that may
+HOT = 32
 _C = np.uint64(0x9E3779B97F4A7C15)
+BLOCK_BYTES = 2 << 20
 
 
 class Bands:
@@ -63,14 +66,18 @@ class Bands:
         return i
 
     def words(self, i: int) -> tuple[int, int]:
-        """Sketch words of band i, and how many empty ones a set may have without sending them."""
+        """Sketch words of band i, and how many of them a set may leave out.
+
+        At least one word more than may be left out is equal in two sets that reach
+        the threshold.
+        """
         low, high = self.bounds(i)
         most = high * (self.den - self.num) // self.num  # symmetric difference
         spare = 0
         for _ in range(4):  # empty words depend on the number of words
             n = most + 1 + spare
             empty = n * np.exp(-low / n)
-            spare = int(np.ceil(empty + 3 * np.sqrt(empty))) if most else 0
+            spare = int(np.ceil(empty + 3 * np.sqrt(empty))) + 1 + n // 10 if most else 0
         return most + 1 + spare, spare
 
     def joined(self, n: int) -> list[int]:
@@ -80,9 +87,9 @@ class Bands:
         return [i - 1, i] if below else [i]
 
 
-def word_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys of the sketch words of one set, over its bands."""
-    out = []
+def word_keys(shingles: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the sketch words of one set, their bands, and how many more of a band it may leave out."""
+    out, of, room = [], [], []
     for band in bands.joined(len(shingles)):
         n, spare = bands.words(band)
         word = ((shingles >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
@@ -95,9 +102,12 @@ def word_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
         value[word[order][at].astype(np.int64)] = parity
         number = np.arange(n, dtype=np.uint64)
         full = value != 0
-        keep = np.ones(n, bool) if n - full.sum() > spare else full
+        left = spare - int(n - full.sum())
+        keep = full if left >= 0 else np.ones(n, bool)
         out.append(mix(value[keep] ^ mix(number[keep] * _C + np.uint64(band + 1))))
-    return np.concatenate(out)
+        of.append(np.full(len(out[-1]), band, np.int32))
+        room.append(np.full(len(out[-1]), left, np.int32))
+    return np.concatenate(out), np.concatenate(of), np.concatenate(room)
 
 
 def shingle_sets(block: Block, size: int) -> list[np.ndarray]:
@@ -122,11 +132,12 @@ def _digests(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _keys(block: Block, size: int, bands: Bands) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Sets, all keys of a block, and where each document's keys begin and end."""
+def _keys(block: Block, size: int, bands: Bands) -> tuple[list[np.ndarray], tuple[np.ndarray, ...], np.ndarray]:
+    """Sets, keys with bands and rooms of a block, and the number of keys of each document."""
     sets = shingle_sets(block, size)
-    each = [word_keys(s, bands) if len(s) else np.zeros(0, np.uint64) for s in sets]
-    return sets, np.concatenate(each) if each else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum([len(k) for k in each])]).astype(np.int64)
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32))
+    each = [word_keys(s, bands) if len(s) else none for s in sets]
+    return sets, tuple(np.concatenate([none[i], *(e[i] for e in each)]) for i in range(3)), np.array([len(e[0]) for e in each], np.int64)
 
 
 def bit_sketch(shingles: np.ndarray) -> bytes:
@@ -162,11 +173,11 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     num, den = threshold
     bands = Bands(num, den)
     ws = Workspace(spark, "jaccard-join")
-    blocks = make_blocks(ws, docs, id_col, text_col, lower=True)
+    blocks = make_blocks(ws, docs, id_col, text_col, lower=True, block_bytes=BLOCK_BYTES)
     n = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     n_keys = max(1, int(n * min(1.0, 2 * (1 - num / den))))
     n_slices = slices_for(n)
-    flags = sketch_repeats(ws, blocks, lambda b: _keys(b, size, bands)[1], n_keys, "flags").withColumn("kind", F.lit(0))
+    flags = sketch_repeats(ws, blocks, lambda b: _keys(b, size, bands)[1][0], n_keys, "flags").withColumn("kind", F.lit(0))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in each_block(batches):
@@ -196,27 +207,27 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         tables = []
         for b, n_docs, p in zip(left["block_id"].to_pylist(), left["n_docs"].to_pylist(), left["payload"]):
             block = Block.unpack(b, n_docs, p.as_py())
-            sets, keys, at = _keys(block, size, bands)
+            sets, (keys, band, room), n_keys_of = _keys(block, size, bands)
             again = repeated_keys(keys, n_keys, *pick(0)) if len(keys) else np.zeros(0, bool)
             order, s, cuts = _dealt(_digests(sets), n_slices)
             got = dict(zip(*pick(1)))
             head = np.empty(n_docs, np.int64)
             for x, i, j in zip(s.tolist(), cuts[:-1], cuts[1:]):
                 head[order[i:j]] = np.frombuffer(got[x], "<i8")
-            out_keys, out_sets, sketches = [], [], []
-            first_here: set[int] = set()
-            for d, (i, j) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
-                mine = keys[i:j][again[i:j]]
-                speaks = len(mine) and head[d] == block.ids[d] and int(head[d]) not in first_here
-                first_here.add(int(head[d])) if speaks else None
-                out_keys.append(mine.view(np.int64) if speaks else None)
-                out_sets.append(sets[d].astype("<u8").tobytes() if speaks else None)
-                sketches.append(bit_sketch(sets[d]) if speaks else None)
-            none = np.array([not len(x) for x in sets], bool)
-            head[none] = block.ids[none]
+            sizes = np.array([len(x) for x in sets], np.int64)
+            head[sizes == 0] = block.ids[sizes == 0]
+            # the first row of a class's smallest id speaks for it, if any of its keys is repeated
+            of = np.repeat(np.arange(n_docs), n_keys_of)
+            speaks = (np.bincount(of, again, n_docs) > 0) & (head == block.ids)
+            where = np.flatnonzero(speaks)
+            speaks[np.setdiff1d(where, where[np.unique(head[where], return_index=True)[1]])] = False
+            sent = again & speaks[of]
+            at = np.concatenate([[0], np.cumsum(np.bincount(of[sent], minlength=n_docs))])
+            entries = pa.StructArray.from_arrays([pa.array(keys[sent].view(np.int64)), pa.array(band[sent]), pa.array(room[sent])], names=["key", "band", "room"])
             tables.append(pa.table([
-                id_array(block.ids), pa.array([len(x) for x in sets], pa.int64()), pa.array(head),
-                pa.array(out_keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), pa.array(out_sets, pa.binary()),
+                id_array(block.ids), pa.array(sizes), pa.array(head), pa.ListArray.from_arrays(pa.array(at, pa.int32()), entries),
+                pa.array([bit_sketch(x) if y else None for x, y in zip(sets, speaks)], pa.binary()),
+                pa.array([x.astype("<u8").tobytes() if y else None for x, y in zip(sets, speaks)], pa.binary()),
             ], names=["doc_id", "n_shingles", "class_id", "keys", "sketch", "shingles"]))
         return pa.concat_tables(tables)
 
@@ -225,7 +236,7 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     cols = ["block_id", "slice", "bits", "kind"]
     answers = flags.select(cols).union(classes.select(cols))
     met = blocks.select("block_id", "n_docs", "payload").groupBy("block_id").cogroup(answers.groupBy("block_id"))
-    found = ws.put(met.applyInArrow(flagged, "doc_id long, n_shingles long, class_id long, keys array<long>, sketch binary, shingles binary"), "found")
+    found = ws.put(met.applyInArrow(flagged, "doc_id long, n_shingles long, class_id long, keys array<struct<key:long,band:int,room:int>>, sketch binary, shingles binary"), "found")
     ws.drop("blocks", "flags", "classes")
 
     comp = _link(spark, ws, found, num, den)
@@ -245,8 +256,8 @@ def _dealt(digests: np.ndarray, n_slices: int) -> tuple[np.ndarray, np.ndarray,
 def _link(spark: SparkSession, ws: Workspace, found: DataFrame, num: int, den: int) -> DataFrame:
     """(node, component) of the classes that have links."""
     top = F.lit(NULL_ID)
-    heavy = found.filter("keys is not null").withColumn("id", F.coalesce("doc_id", top))
-    keys = heavy.select(F.explode("keys").alias("key"), "id")
+    heavy = found.filter("shingles is not null").withColumn("id", F.coalesce("doc_id", top))
+    keys = _selective(ws, heavy.select("id", F.inline("keys")))
     hubs = ws.put(keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).filter("n > 1"), "hubs")
     stars = ws.put(keys.join(hubs, "key").filter("id <> hub").select("id", F.col("hub").alias("other")).distinct(), "stars")
     links = _verified(ws, _near(ws, stars, heavy, num, den), heavy, num, den, "links")
@@ -257,6 +268,20 @@ def _link(spark: SparkSession, ws: Workspace, found: DataFrame, num: int, den: i
     return components(spark, links.union(more), Workspace(spark, "jaccard-join-across"))
 
 
+def _selective(ws: Workspace, keys: DataFrame) -> DataFrame:
+    """(key, id) without keys of many sets, where a set has enough others.
+
+    Such keys come from words that hold common shingles only.  Two similar sets have
+    one more equal word than either may leave out, so a set with few such words is
+    still found by another one; a set with too many keeps them all.
+    """
+    hot = ws.put(keys.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("key", F.lit(True).alias("hot")), "hot")
+    marked = ws.put(keys.join(hot, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False))), "marked")
+    spares = ws.put(marked.groupBy("id", "band").agg(F.count_if("hot").alias("n"), F.min("room").alias("room")).filter("n > 0 and n <= room").select("id", "band", F.lit(True).alias("spares")), "spares")
+    kept = marked.join(spares, ["id", "band"], "left").filter(~(F.col("hot") & F.coalesce("spares", F.lit(False))))
+    return ws.put(kept.select("key", "id"), "keys")
+
+
 def _near(ws: Workspace, pairs: DataFrame, heavy: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs whose sketches don't rule them out."""
     side = lambda c, x: heavy.select(F.col("id").alias(c), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
@@ -297,29 +322,37 @@ def _across(ws: Workspace, keys: DataFrame, hubs: DataFrame, comp: DataFrame, he
     named = ws.put(
         keys.join(big, "key").filter("id <> hub").join(comp.select(F.col("node").alias("id"), "component"), "id", "left")
         .select("key", "id", "n", F.coalesce("component", "id").alias("component")), "named")
-    mixed = ws.put(named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key"), "mixed")
-    rows = named.join(mixed, "key").withColumn("tiles", F.ceil(F.col("n") / TILE)).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
-    dealt = rows.select("key", "id", "component", "tile", other.alias("met")).withColumn("low", F.least("tile", "met")).withColumn("high", F.greatest("tile", "met"))
-    dealt = ws.put(dealt.select("key", "low", "high", "tile", "id", "component"), "dealt")
+    sizes = named.groupBy("key", "component").agg(F.count("*").alias("n"))
+    mixed = ws.put(sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("all"), F.count("*").alias("parts"))
+                   .filter("parts > 1").select("key", "major", F.ceil(F.col("most") / TILE).alias("t_major"), F.ceil((F.col("all") - F.col("most")) / TILE).alias("t_other")), "mixed")
+    rows = named.join(mixed, "key").withColumn("own", F.col("component") == F.col("major"))
+    rows = rows.withColumn("tile", F.pmod(F.xxhash64("id"), F.when(F.col("own"), F.col("t_major")).otherwise(F.col("t_other"))))
+    # the largest component meets the others, and the others meet each other
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).alias("met")
+    cols = ["key", "id", "component", "own", "tile"]
+    inner = rows.filter("not own").select(*cols, each("t_other"), F.lit(0).alias("kind")).withColumn("low", F.least("tile", "met")).withColumn("high", F.greatest("tile", "met"))
+    outer = rows.filter("own").select(*cols, each("t_other"), F.lit(1).alias("kind")).withColumn("low", F.col("met")).withColumn("high", F.col("tile"))
+    outer = outer.union(rows.filter("not own").select(*cols, each("t_major"), F.lit(1).alias("kind")).withColumn("low", F.col("tile")).withColumn("high", F.col("met")))
+    dealt = ws.put(inner.union(outer).select("key", "kind", "low", "high", F.when(F.col("kind") == 1, F.when(F.col("own"), F.col("high")).otherwise(F.col("low"))).otherwise(F.col("tile")).alias("tile"), "own", "id", "component"), "dealt")
 
     def compare(table: pa.Table) -> pa.Table:
         ids, comps, tile, sizes = (table[c].to_numpy() for c in ("id", "component", "tile", "n_shingles"))
         own = [np.frombuffer(x.as_buffer(), "<u8") for x in table["sketch"]]
         words = min(map(len, own))
         sketches = np.stack([folded(x, words) for x in own])
-        low, high = table["low"][0].as_py(), table["high"][0].as_py()
-        right = np.flatnonzero(tile == high)
+        kind, low, high = (table[c][0].as_py() for c in ("kind", "low", "high"))
+        major = table["own"].to_numpy()
+        left, right = (np.flatnonzero(~major), np.flatnonzero(major)) if kind else (np.flatnonzero(tile == low), np.flatnonzero(tile == high))
         a, b = [], []
-        for i in np.flatnonzero(tile == low).tolist():
-            j = right[(comps[right] != comps[i]) & ((ids[right] > ids[i]) | (low != high))]
+        for i in left.tolist():
+            j = right[(comps[right] != comps[i]) & ((ids[right] > ids[i]) | (kind == 1) | (low != high))]
             apart = np.bitwise_count(sketches[j] ^ sketches[i]).sum(axis=1)
             j = j[apart <= most_different(sizes[j], sizes[i], num, den)]
             a += [ids[i]] * len(j)
             b += ids[j].tolist()
         return pa.table({"id": pa.array(a, pa.int64()), "other": pa.array(b, pa.int64())})
 
-    met = dealt.join(heavy.select("id", "n_shingles", "sketch"), "id").groupBy("key", "low", "high").applyInArrow(compare, "id long, other long")
+    met = dealt.join(heavy.select("id", "n_shingles", "sketch"), "id").groupBy("key", "kind", "low", "high").applyInArrow(compare, "id long, other long")
     return ws.put(met.select(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other")).distinct(), "across")
 
 
