@@ -13,7 +13,7 @@ from gaugeworks.operators.canon import build_canon, drop_blank_questions
 from gaugeworks.plans.contracts import MetricPlan
 from gaugeworks.plans.layout import LayoutPlan, raw_names
 from gaugeworks.plans.proposals import ProposalSource, first_sheet_that_proves, prove
-from gaugeworks.plans.resolve_layout import Resolved, resolve_layout
+from gaugeworks.plans.resolve_layout import Resolved, resolve_layout, unrolled
 from gaugeworks.plans.resolve_measurement import resolve_measurement
 from gaugeworks.sources import documents, package, sinks, workbook
 
@@ -70,12 +70,44 @@ class Engine:
             }
         return out
 
+    def dialogue_cells(self, found: Resolved) -> list[dict[str, object]]:
+        """Columns whose cells are whole dialogues, and aren't one cell repeated over the rows of a group."""
+        names = list(found.plan.column_ids.values())
+        out = []
+        for c in validate.dialogue_columns(found.region, names):
+            keys = [k for k in (found.plan.session_id, found.plan.query_id) if k and k != c["column"]]
+            if any(validate.repeated_in_groups(found.region, k, c["column"]) for k in keys):
+                continue
+            first = profile.samples(found.region, [c["column"]], "source_row_id", 1)[c["column"]]
+            container = "python_list" if first and first[0].lstrip().startswith("[") else "plain_text"
+            out.append(c | {"column_id": found.plan.letter(c["column"]), "container": container})
+        return out
+
+    def inventory(self, found: Resolved) -> list[dict[str, object]]:
+        """Columns of the region: name, samples, formula rows, and whether a vertical merge covers them."""
+        names = list(found.plan.column_ids.values())
+        shown = profile.samples(found.region, names, "source_row_id")
+        filled = {r["column_name"]: r["non_null"] for r in profile.profile_columns(found.region, names, "source_row_id").select("column_name", "non_null").collect()}
+        tall = [(r["c1"], r["c2"]) for r in found.merges.filter("r2 > r1").select("c1", "c2").collect()]
+        return [
+            {"column_id": i, "name": n, "non_null": filled.get(n, 0), "samples": [v[:120] for v in shown[n]], "formula_rows": list(found.plan.formula_rows.get(i, ())),
+             "vertically_merged": any(a <= workbook.column_index(i) <= b for a, b in tall)}
+            for i, n in found.plan.column_ids.items()
+        ]
+
     def propose_layout(self, source: ProposalSource, book: workbook.Workbook, basket: str, evidence: dict, rejected: tuple[str, ...] = (), pinned: str | None = None):
         def check(proposal: dict):
             sheet = proposal.get("sheet_name")
             if pinned and sheet != pinned or sheet in rejected:
                 raise LayoutError("This sheet isn't open to choice", sheet=sheet, pinned=pinned, rejected=list(rejected))
             found = resolve_layout(proposal, book, basket)
+            if found.plan.grouping != "blob_row":
+                cells = self.dialogue_cells(found)
+                better = unrolled(proposal, cells) if cells else None
+                if better:
+                    found = resolve_layout(better, book, basket)
+                elif any(c["column"] == found.plan.input_query for c in cells):
+                    raise LayoutError("The question column holds whole dialogues", candidates=cells)
             canon, account = build_canon(found.region, found.plan, found.merges)
             faults = validate.violations(canon)
             lone = len(faults) == 1 and faults[0]["check"] == "blank" and faults[0]["column"] == "input_query"
@@ -102,13 +134,14 @@ class Engine:
         spans = [(r["span_id"], r["document_id"], r["text"]) for r in spans_df.orderBy("document_id", "pos").collect()]  # three documents
         book_file = files.filter("kind = 'basket_xlsx'").first()
         book = workbook.read_workbook(self.spark, book_file["path"])
-        evidence = self.sheet_evidence(book)
+        intro = {r["document_id"]: r["intro"] for r in profile.document_intro(spans_df).collect()}
+        evidence = self.sheet_evidence(book) | {"documents": intro}
         state: dict[str, object] = {}
 
         def attempt(rejected: tuple[str, ...]):
             found, canon, _ = self.propose_layout(source, book, basket, evidence, rejected, sheet)
             state["layout"], state["canon"] = found, canon
-            inventory = {i: profile.samples(found.region, [n], "source_row_id")[n] for i, n in found.plan.column_ids.items()}
+            inventory = self.inventory(found)
 
             def check(proposal: dict):
                 merges = [tuple(r) for r in found.merges.select("r1", "c1", "r2", "c2").filter(F.col("r2") > max(found.header_rows)).collect()]

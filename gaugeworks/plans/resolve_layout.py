@@ -26,6 +26,16 @@ class Resolved:
     sheet_name: str
 
 
+def unrolled(proposal: dict, candidates: list[dict]) -> dict | None:
+    """The proposal with its question column unrolled, if exactly that column holds whole dialogues."""
+    question = proposal["roles"]["input_query"]
+    own = [c for c in candidates if c["column_id"] == question["column"]]
+    if len(own) != 1 or len(candidates) != 1:
+        return None
+    cell = {"column": question, "container": own[0]["container"], "question_marker": own[0]["question_marker"], "answer_marker": own[0]["answer_marker"]}
+    return proposal | {"roles": proposal["roles"] | {"output_answer": None}, "grouping": {"kind": "blob_row", "column": None}, "dialogue_blob": cell}
+
+
 def addresses(proposal: dict) -> list[tuple[str, dict]]:
     """All named columns, as (path, address)."""
     roles, out = proposal["roles"], []

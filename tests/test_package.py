@@ -108,6 +108,17 @@ def test_a_plan_that_never_proves_is_not_evaluable(spark, folder):
     assert r.status == "not_evaluable" and r.report["main_metric"] is None and r.contract["status"] == "not_computable" and r.published.variant == "flat"
 
 
+def test_dialogues_in_cells_are_unrolled(spark, tmp_path):
+    cells = {"A1": "talk", "B1": "mark", **{f"A{r}": f"USER: ask {r} BOT: tell {r} USER: more BOT: end" for r in (2, 3)}, "B2": "1", "B3": "0"}
+    write_xlsx(tmp_path / "d.xlsx", {"Data": (cells, [])})
+    book = workbook.read_workbook(spark, str(tmp_path / "d.xlsx"))
+    roles = {"input_query": address("A", "talk"), "output_answer": None, "query_id": "synthesize", "scenario": None, "assessor_id": None, "reference_answers": []}
+    proposal = layout(ignored_sheets=[], roles=roles, weight=None)
+    found, canon, _ = Engine(spark).propose_layout(proposals.Scripted(proposal), book, "CI042", {})
+    assert found.plan.grouping == "blob_row" and canon.count() == 4
+    assert [(r["input_query"], r["output_answer"]) for r in canon.orderBy("source_row_id", "turn_index").collect()][:2] == [("ask 2", "tell 2"), ("more", "end")]
+
+
 def test_package_gates(spark, folder, tmp_path):
     files = package.scan_package(spark, str(folder))
     assert {r["name"]: r["kind"] for r in files.collect()}["basket.xlsx"] == "basket_xlsx" and files.count() == 5
