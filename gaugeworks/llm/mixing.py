@@ -1,6 +1,7 @@
 """Mixing sources to target weights, with soft membership.
 
-A multinomial classifier over hashed words, counted over all rows of a labelled table,
+A multinomial classifier over hashed words, counted over the texts of a labelled table
+(all rows up to ``max_rows``, a documented bound, then those of smallest hashed id),
 gives each document a posterior over domains; one sharpness, chosen by the labelled
 rows' log-likelihood, calibrates it.  Document rates r then minimise the squared gap
 between the domains' expected token totals, sum of r * tokens * posterior, and their
@@ -33,6 +34,7 @@ from ._text import mix, pieces, split_words
 BITS = 14
 SHARPNESS = (0.5, 1, 2, 4, 8, 16, 32, 64, 128, 256)
 STEPS = 40
+MAX_ROWS = 1 << 16
 TOLERANCE = 1e-3
 
 
@@ -74,10 +76,12 @@ def _buckets(hashes: np.ndarray) -> np.ndarray:
     return (mix(hashes ^ np.uint64(0x6A09E667)) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def learn_domains(spark: SparkSession, docs: DataFrame, labelled: DataFrame, domains: list[str]) -> Mixture | None:
-    """Word and domain frequencies over all documents that ``labelled`` (doc_id, domain) names."""
+def learn_domains(spark: SparkSession, docs: DataFrame, labelled: DataFrame, domains: list[str], max_rows: int = MAX_ROWS) -> Mixture | None:
+    """Word and domain frequencies over the documents that ``labelled`` (doc_id, domain) names, max_rows at most."""
     known = labelled.filter(F.col("domain").isin(*domains)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(known, "doc_id").select("domain", "text")
+    # max_rows ids at most are broadcast, and texts stay where they are
+    picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id").select("domain", "text")
     number = {d: i for i, d in enumerate(domains)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
