@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a local one only where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not found:
-        found = f"file://{tempfile.gettempdir()}/gaugeworks-shared"
-        spark.sparkContext.setCheckpointDir(found)
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found if "://" in found or found.startswith("file:") else f"file://{found}"
+        context.setCheckpointDir(f"file://{tempfile.gettempdir()}/gaugeworks-shared")
+        found = context.getCheckpointDir()
+    path = context._jvm.org.apache.hadoop.fs.Path(found)
+    full = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return "file:///" + full.removeprefix("file:").lstrip("/") if full.startswith("file:/") else full
 
 
 class Workspace:

@@ -116,10 +116,10 @@ def contract_rows(placed: DataFrame) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-def _nibbles() -> list[int]:
-    """Checksum steps of four bits, low half of each byte first."""
-    out = list(range(16))
-    for _ in range(4):
+def _byte_steps() -> list[int]:
+    """Checksum steps of a byte, by the rule for a bit."""
+    out = list(range(256))
+    for _ in range(8):
         out = [c >> 1 ^ (0xEDB88320 if c & 1 else 0) for c in out]
     return out
 
@@ -133,8 +133,8 @@ def _sql() -> str:
 WITH RECURSIVE hexed AS (SELECT doc_id, hex(coalesce(text, '')) AS x FROM documents),
 sized AS (
   SELECT doc_id, len(x) // 2 + 8 AS size,
-         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(x)), lambda i: ('0x' || x[i + 2 - 2 * (i % 2)])::BIGINT)),
-             lambda c, b: xor(c >> 4, {_nibbles()}[xor(c, b) % 16 + 1])), 4294967295) AS text_crc32
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT)),
+             lambda c, b: xor(c >> 8, {_byte_steps()}[xor(c, b) % 256 + 1])), 4294967295) AS text_crc32
   FROM hexed),
 rows_ AS (
   SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS num, count(*) OVER () AS n FROM sized),
