@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ._store import Workspace
-from ._text import SPACE, Words, pieces, split_words
+from ._text import SPACE, Words, pieces, release, split_words
 
 BLOCK_BYTES = 4 << 20
 #: items a slice of the sketch takes on average; it has 2^31 cells a row
@@ -87,6 +87,7 @@ def each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     for batch in batches:
         for b, n, p in zip(batch["block_id"].to_pylist(), batch["n_docs"].to_pylist(), batch["payload"]):
             yield Block.unpack(b, n, p.as_py())
+        release()
 
 
 def slices_for(n_items: int) -> int:

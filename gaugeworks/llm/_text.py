@@ -7,6 +7,7 @@ Null texts behave like empty ones everywhere: they have no words.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -30,6 +31,14 @@ _C2 = np.uint64(0xBF58476D1CE4E5B9)
 _C3 = np.uint64(0x94D049BB133111EB)
 
 
+def release() -> None:
+    """Give memory that is free inside this process back to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     h = (h ^ (h >> np.uint64(30))) * _C2

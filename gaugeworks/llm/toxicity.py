@@ -23,7 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ._text import NON_ALNUM, Words, mix, pieces, split_words, word_hashes
+from ._store import bound_batches
+from ._text import NON_ALNUM, Words, mix, pieces, release, split_words, word_hashes
 
 BITS = 20
 MAX_ROWS = 16384
@@ -77,22 +78,27 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int
     """Weights and bias from ``docs`` (id, text) and ``labels`` (id, label); learns in one task from max_rows labels at most."""
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, rows = Ftrl(1 << bits), []
+        model, parts, ends, marks = Ftrl(1 << bits), [], [np.zeros(1, np.int64)], []
         for b in batches:
             for _, texts, labels in pieces(b.columns, 1):
                 words = split_words(texts, NON_ALNUM, lower=True)
                 doc, bucket = features(words, bits)
                 key = np.unique((doc << bits) | bucket)
                 cut = np.searchsorted(key >> bits, np.arange(len(words.counts) + 1))
-                key = (key & ((1 << bits) - 1)).astype(np.int32)
-                rows += [(key[i:j], y) for i, j, y in zip(cut[:-1], cut[1:], labels.to_pylist())]
+                parts.append((key & ((1 << bits) - 1)).astype(np.int32))
+                ends.append(ends[-1][-1] + cut[1:])
+                marks += labels.to_pylist()
+        every, ends = np.concatenate([np.zeros(0, np.int32), *parts]), np.concatenate(ends)
+        del parts
         shuffle = np.random.RandomState(7)
         for _ in range(passes):
-            for r in shuffle.permutation(len(rows)):
-                model.learn(np.append(rows[r][0], model.bias), rows[r][1])
+            for r in shuffle.permutation(len(marks)):
+                model.learn(np.append(every[ends[r]:ends[r + 1]], model.bias), marks[r])
         w = model.weights(np.arange(model.bias + 1))
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], names=["at", "w"])
+        del every, model
+        release()
 
     # max_rows pairs of numbers at most are broadcast, and only their texts move
     picked = labels.filter("label is not null").orderBy(F.xxhash64("id"), "id").limit(max_rows).select("id", F.col("label").cast("int").alias("label"))
@@ -132,6 +138,7 @@ def held_out(doc_id: Column) -> Column:
 
 def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, **options) -> tuple[np.ndarray, float]:
     """Weights and bias from the labels that aren't held out."""
+    bound_batches(spark)
     known = labels.filter("toxic is not null").groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("label"))
     known = known.filter(~held_out(F.col("id")))
     weights, bias = train(spark, docs.select(F.col("doc_id").alias("id"), "text"), known, **options)
