@@ -24,10 +24,18 @@ def shared_dir(spark: SparkSession) -> str:
     return "file:///" + full.removeprefix("file:").lstrip("/") if full.startswith("file:/") else full
 
 
+def bound_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Arrow batches of a few megabytes, where the session leaves their size as it is by default."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("64MB", "67108864b", "67108864"):
+        spark.conf.set(key, size)
+
+
 class Workspace:
     """A folder of one call's tables, each written once and read back from there."""
 
     def __init__(self, spark: SparkSession, what: str):
+        bound_batches(spark)
         self.spark = spark
         self.path = f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ._store import Workspace
+from ._store import Workspace, bound_batches
 from ._text import NON_ALNUM, pieces, split_words, window_hashes
 
 SIZE = 13
@@ -85,6 +85,7 @@ class Grams:
 
 def find_hits(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, part_bytes: int = PART_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, spans (word numbers) and items of each document."""
+    bound_batches(spark)
     items = benchmark.select(F.col("item_id").alias("id"), F.col("text").cast("string").alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     n_parts = max(1, -(-total // part_bytes))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ._blocks import Block, NULL_ID, binary_array, cut, each_block, id_array, make_blocks, repeated_keys, sketch_repeats, slice_of, slices_for
 from ._components import components
 from ._store import Workspace
-from ._text import mix, window_hashes
+from ._text import mix, release, window_hashes
 
 #: bits of one sketch word
 WORD_BITS = 1 << 16
@@ -225,10 +225,11 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
             at = np.concatenate([[0], np.cumsum(np.bincount(of[sent], minlength=n_docs))])
             entries = pa.StructArray.from_arrays([pa.array(keys[sent].view(np.int64)), pa.array(band[sent]), pa.array(room[sent])], names=["key", "band", "room"])
             tables.append(pa.table([
-                id_array(block.ids), pa.array(sizes), pa.array(head), pa.ListArray.from_arrays(pa.array(at, pa.int32()), entries),
+                pa.array(np.full(n_docs, b)), id_array(block.ids), pa.array(sizes), pa.array(head), pa.ListArray.from_arrays(pa.array(at, pa.int32()), entries),
                 pa.array([bit_sketch(x) if y else None for x, y in zip(sets, speaks)], pa.binary()),
-                pa.array([x.astype("<u8").tobytes() if y else None for x, y in zip(sets, speaks)], pa.binary()),
-            ], names=["doc_id", "n_shingles", "class_id", "keys", "sketch", "shingles"]))
+            ], names=["block_id", "doc_id", "n_shingles", "class_id", "keys", "sketch"]))
+        del sets, keys, band, room, entries
+        release()
         return pa.concat_tables(tables)
 
     sent = blocks.select("block_id", "n_docs", "payload").mapInArrow(send, "slice long, block_id long, sets binary")
@@ -236,10 +237,11 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     cols = ["block_id", "slice", "bits", "kind"]
     answers = flags.select(cols).union(classes.select(cols))
     met = blocks.select("block_id", "n_docs", "payload").groupBy("block_id").cogroup(answers.groupBy("block_id"))
-    found = ws.put(met.applyInArrow(flagged, "doc_id long, n_shingles long, class_id long, keys array<struct<key:long,band:int,room:int>>, sketch binary, shingles binary"), "found")
-    ws.drop("blocks", "flags", "classes")
+    found = ws.put(met.applyInArrow(flagged, "block_id long, doc_id long, n_shingles long, class_id long, keys array<struct<key:long,band:int,room:int>>, sketch binary"), "found")
+    ws.drop("flags", "classes")
 
-    comp = _link(spark, ws, found, num, den)
+    comp = _link(spark, ws, found, blocks, size, num, den)
+    ws.drop("blocks")
     member = found.select("doc_id", "n_shingles", "class_id")
     top = F.lit(NULL_ID)
     out = member.join(comp.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
@@ -253,16 +255,20 @@ def _dealt(digests: np.ndarray, n_slices: int) -> tuple[np.ndarray, np.ndarray,
     return order, *cut(s[order])
 
 
-def _link(spark: SparkSession, ws: Workspace, found: DataFrame, num: int, den: int) -> DataFrame:
+def _link(spark: SparkSession, ws: Workspace, found: DataFrame, blocks: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """(node, component) of the classes that have links."""
     top = F.lit(NULL_ID)
-    heavy = found.filter("shingles is not null").withColumn("id", F.coalesce("doc_id", top))
+    heavy = found.filter("sketch is not null").withColumn("id", F.coalesce("doc_id", top))
     keys = _selective(ws, heavy.select("id", F.inline("keys")))
     hubs = ws.put(keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).filter("n > 1"), "hubs")
     stars = ws.put(keys.join(hubs, "key").filter("id <> hub").select("id", F.col("hub").alias("other")).distinct(), "stars")
-    links = _verified(ws, _near(ws, stars, heavy, num, den), heavy, num, den, "links")
+    sets = lambda ids: _sets(blocks, heavy, ids, size)
+    links = _verified(ws, _near(ws, stars, heavy, num, den), sets, num, den, "links")
     comp = ws.put(components(spark, links, ws), "components")
-    more = _verified(ws, _across(ws, keys, hubs, comp, heavy, num, den), heavy, num, den, "links-across")
+    across = _across(ws, keys, hubs, comp, heavy, num, den)
+    if across.isEmpty():
+        return comp
+    more = _verified(ws, across, sets, num, den, "links-across")
     if more.isEmpty():
         return comp
     return components(spark, links.union(more), Workspace(spark, "jaccard-join-across"))
@@ -299,9 +305,29 @@ def _near(ws: Workspace, pairs: DataFrame, heavy: DataFrame, num: int, den: int)
     return ws.put(met.select("id", "other", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(close, "id long, other long"), "near")
 
 
-def _verified(ws: Workspace, pairs: DataFrame, heavy: DataFrame, num: int, den: int, name: str) -> DataFrame:
-    """(a, b) of the pairs whose sets reach the threshold."""
-    side = lambda c, x: heavy.select(F.col("id").alias(c), F.col("shingles").alias(f"set_{x}"))
+def _sets(blocks: DataFrame, heavy: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(id, shingles) of the named sets, made anew from their blocks."""
+    wanted = ids.join(heavy.select("id", "block_id"), "id")
+
+    def make(left: pa.Table, right: pa.Table) -> pa.Table:
+        want = right["id"].to_numpy()
+        out_ids, out = [], []
+        for b, n_docs, p in zip(left["block_id"].to_pylist(), left["n_docs"].to_pylist(), left["payload"] if len(want) else ()):
+            block = Block.unpack(b, n_docs, p.as_py())
+            named = np.flatnonzero(np.isin(block.ids, want))
+            sets = shingle_sets(block, size)
+            out_ids.append(block.ids[named])
+            out += [sets[d].astype("<u8").tobytes() for d in named.tolist()]
+        release()
+        return pa.table({"id": pa.array(np.concatenate([np.zeros(0, np.int64), *out_ids])), "shingles": pa.array(out, pa.binary())})
+
+    return blocks.select("block_id", "n_docs", "payload").groupBy("block_id").cogroup(wanted.groupBy("block_id")).applyInArrow(make, "id long, shingles binary")
+
+
+def _verified(ws: Workspace, pairs: DataFrame, sets_of, num: int, den: int, name: str) -> DataFrame:
+    """(a, b) of the pairs whose sets reach the threshold; only sets of some pair are made."""
+    used = ws.put(sets_of(pairs.select("id").union(pairs.select("other")).distinct()), f"{name}-sets")
+    side = lambda c, x: used.select(F.col("id").alias(c), F.col("shingles").alias(f"set_{x}"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -309,7 +335,9 @@ def _verified(ws: Workspace, pairs: DataFrame, heavy: DataFrame, num: int, den:
             yield b.select(["id", "other"]).rename_columns(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     met = pairs.join(side("id", "a"), "id").join(side("other", "b"), "other")
-    return ws.put(met.select("id", "other", "set_a", "set_b").mapInArrow(verify, "a long, b long"), name)
+    links = ws.put(met.select("id", "other", "set_a", "set_b").mapInArrow(verify, "a long, b long"), name)
+    ws.drop(f"{name}-sets")
+    return links
 
 
 def _across(ws: Workspace, keys: DataFrame, hubs: DataFrame, comp: DataFrame, heavy: DataFrame, num: int, den: int) -> DataFrame:
