@@ -22,7 +22,7 @@ from gaugeworks.llm import decontaminate, jaccard_join, mixing, sharding, toxici
 from gaugeworks.llm._store import Workspace
 
 #: shares of tokens after mixing; toxic documents are gone by then
-TARGETS = {"high": 0.9, "low": 0.1}
+TARGETS = {"high": 0.88, "low": 0.12}
 MOST_COPIES = 4.0
 
 
