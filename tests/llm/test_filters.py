@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from gaugeworks.llm import decontaminate, mixing, sharding, token_counts, toxicity, url_filter, warc
 from gaugeworks.llm._text import NON_ALNUM, SPACE, pieces, split_words, window_hashes
@@ -157,6 +158,31 @@ def test_mixing_meets_targets_and_repeats_by_rate(spark):
     assert mixing.resample(spark, d.limit(0), grown).count() == 0
 
 
+def two_domains(spark, n, share):
+    """Labelled documents of 20 words each, of which a share are of domain b."""
+    rnd = random.Random(12)
+    vocab = {"a": [f"a{i}" for i in range(40)], "b": [f"b{i}" for i in range(40)]}
+    rows = [(i, "b" if i < share * n else "a") for i in range(n)]
+    d = spark.createDataFrame([(i, " ".join(rnd.choice(vocab[x]) for _ in range(20))) for i, x in rows], "doc_id long, text string").repartition(2).cache()
+    return d, spark.createDataFrame(rows, "doc_id long, domain string")
+
+
+@pytest.mark.parametrize("share, target", [(0.005, 0.02), (0.002, 0.13)])
+def test_mixing_brings_a_rare_domain_to_its_target(spark, share, target):
+    d, labelled = two_domains(spark, 2000, share)
+    model = mixing.fit_rates(spark, d, labelled, {"a": 1 - target, "b": target})
+    rows = mixing.document_rates(spark, d, model).collect()
+    tokens = sum(r["rate"] * r["n_tokens"] * np.array(r["posterior"]) for r in rows)
+    assert np.allclose(tokens / tokens.sum(), [1 - target, target], rtol=0.002) and np.allclose(model.reached, tokens / tokens.sum())
+
+
+def test_mixing_tells_targets_that_it_misses(spark, caplog):
+    d = spark.createDataFrame([(i, "the same words") for i in range(40)], "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(40)], "doc_id long, domain string")
+    model = mixing.fit_rates(spark, d, labelled, {"a": 0.9, "b": 0.1})
+    assert np.allclose(model.wanted, [0.9, 0.1]) and np.allclose(model.reached, 0.5) and "misses its targets" in caplog.text
+
+
 def test_suffix_sums_answer_every_limit(spark):
     texts = ["word " * n for n in (1, 1, 2, 5, 5, 40, 3000)] + [None, "", "<|endoftext|>", "ünï"]
     d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
