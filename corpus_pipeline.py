@@ -10,7 +10,8 @@ columns of documents:
 3. decontamination: documents go of which a twentieth of the words lies in windows
    of the benchmark;
 4. mixing: documents are repeated by their rates; rates are one at least, so that no
-   clean document is lost to the mix;
+   clean document is lost to the mix, and have no upper bound; shares that are missed
+   all the same are logged;
 5. sharding: every row gets a shard and a slot.
 """
 
@@ -23,7 +24,6 @@ from gaugeworks.llm._store import Workspace
 
 #: shares of tokens after mixing; toxic documents are gone by then
 TARGETS = {"high": 0.88, "low": 0.12}
-MOST_COPIES = 4.0
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,7 +44,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = mixing.quality_domains(_table(spark, sf_dir, "labels")).filter("domain <> 'toxic'")
-    model = mixing.fit_rates(spark, docs, labels, TARGETS, least=1.0, most=MOST_COPIES)
+    model = mixing.fit_rates(spark, docs, labels, TARGETS, least=1.0)
     return mixing.resample(spark, docs, model)
 
 

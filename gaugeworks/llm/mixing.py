@@ -6,7 +6,7 @@ gives each document a posterior over domains; one sharpness, chosen by the label
 rows' log-likelihood, calibrates it.  Document rates r then close the gap between the
 domains' expected token totals, sum of r * tokens * posterior, and their targets, as
 near to one as that allows, by preconditioned projected gradient: a rate is one plus
-the posterior times a pull a domain, cut to [least, most], and the pulls step by the
+the posterior times a pull a domain, no smaller than ``least``, and the pulls step by the
 gap, preconditioned by the domains' matrix over the documents that aren't cut.  An
 iteration is one aggregation that tries several step lengths; no per-document state is
 kept.  It ends when every domain is within TOLERANCE of its target, or can't come
@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ._store import Workspace
@@ -46,6 +47,7 @@ LENGTHS = 0.25 ** np.arange(16)
 RIDGE = 1e-8
 #: more iterations than any fit takes; one that takes them all is logged
 STEPS = 200
+COPY_BYTES = 8 << 20
 
 _log = logging.getLogger(__name__)
 
@@ -61,7 +63,6 @@ class Mixture:
     base: float = 1.0
     pull: np.ndarray | None = None  # a domain
     least: float = 0.0
-    most: float = float("inf")
     wanted: tuple[float, ...] = ()  # expected shares of tokens
     reached: tuple[float, ...] = ()
 
@@ -79,7 +80,7 @@ class Mixture:
         return x / x.sum(axis=1, keepdims=True)
 
     def rates(self, p: np.ndarray) -> np.ndarray:
-        return np.clip(self.base + (0 if self.pull is None else p @ self.pull) + np.zeros(len(p)), self.least, self.most)
+        return np.maximum(self.base + (0 if self.pull is None else p @ self.pull) + np.zeros(len(p)), self.least)
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
@@ -123,11 +124,13 @@ def learn_domains(spark: SparkSession, docs: DataFrame, labelled: DataFrame, dom
     )
 
 
-def fit_rates(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict[str, float], least: float = 0.0, most: float = float("inf"), total: float | None = None) -> Mixture | None:
+def fit_rates(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict[str, float], least: float = 0.0, total: float | None = None) -> Mixture | None:
     """A mixture whose rates bring the domains' expected tokens to shares ``targets`` of ``total``.
 
-    Without ``total`` it is the present total, or with a positive ``least`` the
-    smallest that no domain has to give tokens up for.
+    Without ``total`` it is the present total, or with a positive ``least`` whatever the
+    shares need: rates have no upper bound, and the total is that of the rates nearest to
+    one (where texts tell the domains apart, the smallest that no domain has to give
+    tokens up for).
     """
     model = learn_domains(spark, docs, labelled, sorted(targets))
     if model is None:
@@ -158,7 +161,7 @@ def fit_rates(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets
                 p = at.posteriors(_matrix(b["ll"], k))
                 n = b["n_tokens"].to_numpy().astype(float)
                 y = bases + p @ pulls.T
-                r = np.clip(y, at.least, at.most)
+                r = np.maximum(y, at.least)
                 own += (r * n[:, None]).T @ p
                 potential += n @ (r * y - r * r / 2)
                 for i in range(m):
@@ -176,27 +179,32 @@ def fit_rates(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets
     all_tokens = present.sum()
     if all_tokens <= 0:
         return model
-    if total is None:
-        total = all_tokens * max(1.0, (present / all_tokens / share).max()) if least > 0 else all_tokens
-    model = _with(model, least=least, most=most)
-    goal, pull, step = share * total / all_tokens, np.zeros(k), np.zeros(k)
-    lengths, lowest = np.zeros(1), np.inf
+    free = total is None and least > 0
+    # with a free total, each domain's gap is that to its share of what the rates make
+    goal = np.zeros(k) if free else share * (all_tokens if total is None else total) / all_tokens
+    part = share if free else np.zeros(k)
+    apart = np.eye(k) - np.outer(part, np.ones(k))
+    model = _with(model, least=least)
+    pull, step, lengths, lowest = np.zeros(k), np.zeros(k), np.zeros(1), np.inf
     for _ in range(STEPS):
         pulls = pull + lengths[:, None] * step
-        own, square, potential = sums(model, np.ones(len(pulls)), pulls)
+        own, square, potential = sums(model, 1 - pulls @ part, pulls)
         potential = potential / all_tokens - pulls @ goal + RIDGE / 2 * (pulls**2).sum(axis=1)
         best = int(np.argmin(potential))
         if not potential[best] < lowest:
             break
         lowest, pull, tokens = potential[best], pulls[best], own[best] / all_tokens
-        if (np.abs(tokens - goal) <= TOLERANCE * goal.sum() * np.maximum(share, 0.01)).all():
+        whole = tokens.sum() if free else goal.sum()
+        missed = np.abs(tokens - share * whole) > TOLERANCE * whole * np.maximum(share, 0.01)
+        if not missed.any():
             break
-        step = np.linalg.solve(square[best] / all_tokens + RIDGE * np.eye(k), goal - tokens - RIDGE * pull)
+        curve = apart @ square[best] @ apart.T / all_tokens
+        step = np.linalg.solve(curve + RIDGE * np.eye(k), goal - apart @ tokens - RIDGE * pull)
         lengths = LENGTHS
     reached = tokens / max(tokens.sum(), 1e-300)
-    if (np.abs(tokens - goal) > TOLERANCE * goal.sum() * np.maximum(share, 0.01)).any():
-        _log.warning("mixing misses its targets: wanted %s of %.0f tokens, reached %s of %.0f", _told(model, share), goal.sum() * all_tokens, _told(model, reached), tokens.sum() * all_tokens)
-    return _with(model, pull=pull, wanted=tuple(share.tolist()), reached=tuple(reached.tolist()))
+    if missed.any():
+        _log.warning("mixing misses its targets: wanted %s of %.0f tokens, reached %s of %.0f", _told(model, share), whole * all_tokens, _told(model, reached), tokens.sum() * all_tokens)
+    return _with(model, base=float(1 - pull @ part), pull=pull, wanted=tuple(share.tolist()), reached=tuple(reached.tolist()))
 
 
 def _told(model: Mixture, shares: np.ndarray) -> str:
@@ -272,8 +280,11 @@ def resample(spark: SparkSession, docs: DataFrame, model: Mixture | None, seed:
                 ids = cols[doc_id].cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False).view(np.uint64)
                 u = (mix(ids * np.uint64(2 * seed + 1) + np.uint64(seed)) >> np.uint64(11)).astype(float) / float(1 << 53)
                 n = np.floor(rate).astype(np.int64) + (u < rate - np.floor(rate))
-                at = pa.array(np.repeat(np.arange(len(n)), n))
-                yield pa.RecordBatch.from_arrays([c.take(at) for c in cols], names=names)
+                # rates have no bound, so copies go out in batches of bounded text
+                at = np.repeat(np.arange(len(n)), n)
+                size = pc.binary_length(cols[text].cast(pa.binary())).fill_null(0).to_numpy(zero_copy_only=False)[at] + 64
+                for part in np.split(at, np.flatnonzero(np.diff(np.cumsum(size) // COPY_BYTES)) + 1):
+                    yield pa.RecordBatch.from_arrays([c.take(pa.array(part)) for c in cols], names=names)
 
     return docs.mapInArrow(repeat, docs.schema)
 

@@ -176,6 +176,27 @@ def test_mixing_brings_a_rare_domain_to_its_target(spark, share, target):
     assert np.allclose(tokens / tokens.sum(), [1 - target, target], rtol=0.002) and np.allclose(model.reached, tokens / tokens.sum())
 
 
+@pytest.mark.parametrize("share", [0.4, 0.6])
+def test_pipeline_mixing_meets_its_targets_on_skewed_corpora(spark, tmp_path, monkeypatch, share):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    monkeypatch.setattr(mixing, "COPY_BYTES", 5000, raising=False)
+    d, labelled = two_domains(spark, 1000, share)
+    labelled.select("doc_id", (F.col("domain") == "a").cast("int").alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    seen = {r["doc_id"]: r["count"] for r in corpus_pipeline.mix_domains(spark, d, str(tmp_path)).groupBy("doc_id").count().collect()}
+    high = sum(n for i, n in seen.items() if i >= share * 1000) / sum(seen.values())
+    assert len(seen) == 1000 and abs(high - corpus_pipeline.TARGETS["high"]) < 0.01
+
+
+def test_mixing_grows_what_texts_hardly_tell_apart(spark):
+    rnd = random.Random(5)
+    rows = [(i, "ab"[i % 2], " ".join(rnd.choice(["x", "y", "ab"[(i + (rnd.random() < 0.35)) % 2]]) for _ in range(6))) for i in range(400)]
+    d = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    model = mixing.fit_rates(spark, d, spark.createDataFrame([r[:2] for r in rows], "doc_id long, domain string"), {"a": 0.7, "b": 0.3}, least=1.0)
+    got = mixing.document_rates(spark, d, model).collect()
+    tokens = sum(r["rate"] * r["n_tokens"] * np.array(r["posterior"]) for r in got)
+    assert min(r["rate"] for r in got) >= 1 and np.allclose(tokens / tokens.sum(), [0.7, 0.3], atol=0.002) and np.allclose(model.reached, tokens / tokens.sum())
+
+
 def test_mixing_tells_targets_that_it_misses(spark, caplog):
     d = spark.createDataFrame([(i, "the same words") for i in range(40)], "doc_id long, text string")
     labelled = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(40)], "doc_id long, domain string")
