@@ -8,8 +8,10 @@ from pathlib import Path, PurePosixPath
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeworks.errors import GaugeError, LayoutError, NotEvaluable, PlanError
+from gaugeworks.functions import scalars as S
 from gaugeworks.operators import metric, profile, publish, reconcile, validate
 from gaugeworks.operators.canon import build_canon, drop_blank_questions
+from gaugeworks.operators.region import header_parts
 from gaugeworks.plans.contracts import MetricPlan
 from gaugeworks.plans.layout import LayoutPlan, raw_names
 from gaugeworks.plans.proposals import ProposalSource, first_sheet_that_proves, prove
@@ -56,20 +58,35 @@ class Engine:
     # ---- whole packages
 
     def sheet_evidence(self, book: workbook.Workbook) -> dict[str, object]:
-        """What a proposer sees of each sheet; bounded by caps."""
+        """What a proposer sees of each sheet: whole, cells apart; what is too long in all is refused later."""
         out = {}
         for name in book.sheets:
             sheet = book.sheet(name)
             height, width = sheet.bounds()
-            head = sheet.cells.filter(F.col("row") < 5).orderBy("row", "col").limit(5 * 200).collect()
+            header = profile.header_candidate(sheet.cells)
+            head = sheet.cells.filter(F.col("row") < 5).orderBy("row", "col").collect()
+            told = profile.sheet_columns(sheet.cells, header)
+            hints = profile.dialogue_hints(told.withColumn("shown", F.array_join("samples", "\n")), "shown").orderBy("col").collect()
             out[name] = {
-                "rows": height, "columns": width, "header_candidate": profile.header_candidate(sheet.cells) + 1,
+                "rows": height, "columns": width, "header_candidate": header + 1,
                 "preview": [[r["row"] + 1, r["col"], r["s"][:80]] for r in head],
-                "merges": [list(r)[1:] for r in sheet.merges.orderBy("row", "col").limit(120).collect()],
-                "formulas": [[r["row"] + 1, r["col"], r["formula"][:120]] for r in sheet.formulas.orderBy("row", "col").limit(120).collect()],
+                "column_profiles": self._column_profiles(told.collect(), header_parts(sheet, [header]), width),
+                "merges": [list(r)[1:] for r in sheet.merges.orderBy("row", "col").collect()],
+                "formulas": [[r["row"] + 1, r["col"], r["formula"][:120]] for r in sheet.formulas.orderBy("row", "col").collect()],
+                "dialogue_hints": [{"column_id": S.column_letters(r["col"]), "markers": r["marks"]} for r in hints],
             }
         return out
 
+    def _column_profiles(self, told: list, parts: dict[int, list[str]], width: int) -> list[dict[str, object]]:
+        """Every column of a sheet by letter and header; frequencies only where values are few."""
+        found = {r["col"]: r for r in told}
+        out = []
+        for c in range(width):
+            r, letter = found.get(c), S.column_letters(c)
+            one = {"column_id": letter, "header": " ".join(parts.get(c, ())) or f"unnamed_{letter}", "non_null": r["non_null"] if r else 0, "numeric_count": r["numeric"] if r else 0, "samples": r["samples"] if r else []}
+            out.append(one | ({"values": {x["value"]: x["n"] for x in r["values"]}} if r and r["values"] else {}))
+        return out
+
     def dialogue_cells(self, found: Resolved) -> list[dict[str, object]]:
         """Columns whose cells are whole dialogues, and aren't one cell repeated over the rows of a group."""
         names = list(found.plan.column_ids.values())

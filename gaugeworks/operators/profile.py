@@ -46,9 +46,22 @@ def samples(df: DataFrame, columns: list[str], order: str, n: int = SAMPLES) ->
     return out
 
 
+def sheet_columns(cells: DataFrame, header: int) -> DataFrame:
+    """Per column of a sheet with values below the header (0-based): counts, first samples, and frequencies of a few values."""
+    below = cells.filter(F.col("row") > header).select("row", "col", S.collapse(F.col("s")).alias("value")).filter("value <> ''")
+    counts = below.groupBy("col", "value").agg(F.count("*").alias("n"), F.min("row").alias("first_row"))
+    summed = counts.groupBy("col").agg(
+        F.sum("n").alias("non_null"), F.sum(F.when(S.is_numeric(F.col("value")), F.col("n")).otherwise(0)).alias("numeric"), F.count("*").alias("distinct_values"))
+    nth = lambda *order: F.row_number().over(Window.partitionBy("col").orderBy(*order))
+    listed = lambda *c: F.array_sort(F.collect_list(F.struct("_r", *c)))
+    few = counts.withColumn("_r", nth(F.desc("n"), "first_row")).filter(F.col("_r") <= UNIQUES).groupBy("col").agg(listed("value", "n").alias("top"))
+    first = below.withColumn("_r", nth("row")).filter(F.col("_r") <= SAMPLES).groupBy("col").agg(F.transform(listed("value"), lambda x: S.cap(x["value"], CELL_CAP)).alias("samples"))
+    return summed.join(few, "col").join(first, "col").select("col", "non_null", "numeric", "samples", F.when(F.col("distinct_values") <= UNIQUES, F.col("top")).alias("values"))
+
+
 def dialogue_hints(df: DataFrame, column: str):
-    """Distinct speaker marks of a text column, where there are two at least."""
-    marks = F.array_sort(F.array_distinct(F.regexp_extract_all(F.col(column), F.lit(MARKER), F.lit(1))))
+    """Distinct speaker marks of a text column in their order, where there are two at least."""
+    marks = F.array_distinct(F.regexp_extract_all(F.col(column), F.lit(MARKER), F.lit(1)))
     return df.withColumn("marks", marks).filter(F.size("marks") >= 2)
 
 

@@ -271,3 +271,19 @@ def test_sinks_and_stream(spark, tmp_path):
     q = spark.readStream.schema(df.schema).parquet(str(tmp_path / "stream")).writeStream.foreachBatch(metric_by_batch(plan, str(tmp_path / "sums"))).option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "sums")).first()["value"] == 0.75
+
+
+def test_sheet_evidence_is_whole(spark, tmp_path):
+    letters = [f"{a}{b}" for a in ["", *"ABCDEFGH"] for b in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"][:210]
+    cells = {f"{c}{r}": f"h{i}" if r == 1 else f"v{i}" for i, c in enumerate(letters) for r in range(1, 6)}
+    cells |= {"A2": "USER: hi BOT: yes", "A3": "USER: more", "A4": "BOT: end", "C2": 1, "C3": 2, "C4": 2, "C5": "x"}
+    cells |= {f"B{r}": (f"=C{r}+1", r) for r in range(6, 156)}
+    write_xlsx(tmp_path / "b.xlsx", {"Data": (cells, [f"D{r}:E{r}" for r in range(6, 156)]), "Empty": ({}, [])})
+    all_ = Engine(spark).sheet_evidence(workbook.read_workbook(spark, str(tmp_path / "b.xlsx")))
+    got = all_["Data"]
+    assert len(got["merges"]) == len(got["formulas"]) == 150 and got["formulas"][-1] == [155, 1, "=C155+1"] and len(got["preview"]) == 5 * 210
+    assert [p["column_id"] for p in got["column_profiles"]] == letters and got["column_profiles"][209]["header"] == "h209"
+    c = got["column_profiles"][2]
+    assert (c["non_null"], c["numeric_count"], c["samples"], list(c["values"].items())) == (4, 3, ["1", "2", "2"], [("2", 2), ("1", 1), ("x", 1)])
+    assert "values" not in got["column_profiles"][1] and got["dialogue_hints"] == [{"column_id": "A", "markers": ["USER", "BOT"]}]
+    assert all_["Empty"]["column_profiles"] == all_["Empty"]["dialogue_hints"] == []
