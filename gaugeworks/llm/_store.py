@@ -9,7 +9,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+ROW = "_gaugeworks_row"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,6 +45,10 @@ class Workspace:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}")
         return self.get(df.schema, name)
 
+    def numbered(self, df: DataFrame, name: str) -> DataFrame:
+        """The table with a number of its own for each row, ROW, written once."""
+        return self.put(df.withColumn(ROW, F.monotonically_increasing_id()), name)
+
     def get(self, schema, name: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 

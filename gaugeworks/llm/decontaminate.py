@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ._store import Workspace, bound_batches
+from ._store import ROW, Workspace, bound_batches
 from ._text import NON_ALNUM, pieces, split_words, window_hashes
 
 SIZE = 13
@@ -134,10 +134,14 @@ def is_contaminated():
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """Documents, all columns, without those a twentieth of whose words are hit."""
+    """Documents, all columns, without those a twentieth of whose words are hit.
+
+    Rows are judged one by one, whether their ids are null, repeated or neither.
+    """
     ws = Workspace(spark, "decontaminated")
-    bad = find_hits(spark, docs, benchmark, **options).filter(is_contaminated()).select("doc_id").distinct()
-    return docs.join(ws.put(bad, "bad"), "doc_id", "left_anti")
+    rows = ws.numbered(docs, "rows")
+    bad = find_hits(spark, rows, benchmark, id_col=ROW, **options).filter(is_contaminated()).select(F.col("doc_id").alias(ROW))
+    return rows.join(ws.put(bad, "bad"), ROW, "left_anti").select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ._blocks import Block, NULL_ID, binary_array, cut, each_block, id_array, make_blocks, repeated_keys, sketch_repeats, slice_of, slices_for
 from ._components import components
-from ._store import Workspace
+from ._store import ROW, Workspace
 from ._text import mix, release, window_hashes
 
 #: bits of one sketch word
@@ -45,6 +45,7 @@ SKETCH_BITS = 13
 HOT = 32
 _C = np.uint64(0x9E3779B97F4A7C15)
 BLOCK_BYTES = 2 << 20
+NODE = "_gaugeworks_node"
 
 
 class Bands:
@@ -385,10 +386,31 @@ def _across(ws: Workspace, keys: DataFrame, hubs: DataFrame, comp: DataFrame, he
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
-    """Documents, all columns, without those that have a smaller id in their component."""
-    groups = jaccard_groups(spark, docs, size=size, threshold=threshold)
-    gone = Workspace(spark, "jaccard-gone").put(groups.filter("not doc_id <=> component_id").select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti")
+    """Documents, all columns: of each component the row of the smallest id stays.
+
+    Of rows that repeat an id, each is judged by its text, and one of equal ones stays; a
+    null id is the largest.
+    """
+    ws = Workspace(spark, "jaccard-gone")
+    rows = ws.numbered(docs, "rows")
+    ids = rows.select(ROW, F.col("doc_id").cast("long").alias("doc_id"))
+    # the first row of an id goes by the id, other rows by a number above all ids
+    firsts = ids.filter("doc_id is not null").groupBy("doc_id").agg(F.min(ROW).alias(ROW)).select(ROW)
+    more = ws.put(ids.select(ROW).join(firsts, ROW, "left_anti").withColumn("more", F.lit(True)), "more")
+    high, last = ids.agg(F.coalesce(F.max("doc_id"), F.lit(0)), F.coalesce(F.max(ROW), F.lit(0))).first()
+    node = F.lit(max(high, 0) + 1) + F.col(ROW) if max(high, 0) + 1 + last < NULL_ID else None
+    if more.isEmpty():
+        marked = rows.withColumn(NODE, F.col("doc_id").cast("long"))
+    elif node is None:
+        marked = rows.withColumn(NODE, F.col(ROW))
+    else:
+        marked = rows.join(more, ROW, "left").withColumn(NODE, F.when(F.col("more"), node).otherwise(F.col("doc_id").cast("long")))
+    groups = jaccard_groups(spark, marked, id_col=NODE, size=size, threshold=threshold).select(F.col("doc_id").alias(NODE), "component_id")
+    named = ws.put(groups.join(marked.select(ROW, NODE, "doc_id"), NODE), "named")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW)).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
+    gone = ws.put(named.select(ROW).join(first, ROW, "left_anti"), "gone")
+    ws.drop("named", "more")
+    return rows.join(gone, ROW, "left_anti").select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

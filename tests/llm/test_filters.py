@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import decontaminate, mixing, sharding, token_counts, toxicity, url_filter, warc
+from gaugeworks.llm import decontaminate, jaccard_join, mixing, sharding, token_counts, toxicity, url_filter, warc
 from gaugeworks.llm._text import NON_ALNUM, SPACE, pieces, split_words, window_hashes
 
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -303,3 +303,18 @@ def test_stage_columns_and_effects(spark, tmp_path):
     assert set(seen[3]) == set(seen[2]) and len(seen[3]) >= len(seen[2])
     assert sorted(seen[4]) == sorted(seen[3])
 
+
+def test_stages_judge_rows_of_null_and_repeated_ids(spark):
+    rnd = random.Random(8)
+    text = lambda: " ".join(f"w{rnd.randrange(3000)}" for _ in range(40))
+    item, once, twice, other, third = text(), text(), text(), text(), text()
+    docs = spark.createDataFrame([(None, item + " x"), (None, once), (1, item), (1, once + " tail"), (7, twice), (7, twice), (7, other), (8, other + " tail"), (None, third), (None, third), (9, None), (9, "")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, text())], "item_id long, text string")
+    rows = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    kept = lambda *gone: sorted((r for r in [(r["doc_id"], r["text"]) for r in docs.collect()] if r not in gone), key=str)
+    for size in (1 << 20, 300):
+        assert rows(decontaminate.drop_contaminated(spark, docs, bench, part_bytes=size)) == kept((None, item + " x"), (1, item))
+    near = jaccard_join.drop_similar(spark, docs)
+    expected = [(1, item), (1, once + " tail"), (7, twice), (7, other), (None, third), (9, None), (9, "")]
+    assert near.columns == docs.columns and rows(near) == sorted(expected, key=str)
+
