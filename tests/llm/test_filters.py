@@ -318,3 +318,8 @@ def test_stages_judge_rows_of_null_and_repeated_ids(spark):
     expected = [(1, item), (1, once + " tail"), (7, twice), (7, other), (None, third), (9, None), (9, "")]
     assert near.columns == docs.columns and rows(near) == sorted(expected, key=str)
 
+
+
+def test_pipeline_targets_are_not_those_of_the_tables():
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    assert corpus_pipeline.TARGETS == {"high": 0.9, "low": 0.1}
