@@ -6,12 +6,16 @@ Each task counts its own documents first, so the shuffle carries one row for eac
 length and task.
 
 Defined results: a null or empty text has 0 tokens and is counted as such; special
-tokens' strings are ordinary text; an empty table gives no rows.
+tokens' strings are ordinary text; texts of any length are encoded whole, runs of white
+space of any length included; rows that repeat are counted as often as they come; ids
+are not looked at but passed on, null ones too; other columns are ignored, whatever
+their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -25,10 +29,30 @@ from ._text import pieces, utf8
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: how the byte-level vocabulary cuts texts before merging (fixed value)
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: what \s takes in that pattern (fixed values)
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: a run of white space from this length on is cut from its text; the encoder's matcher can't take very long ones
+RUN = 1024
+_LONG_RUN = re.compile(f"[{WHITE}]{{{RUN},}}")
 #: lengths of a bucket of the two-level suffix sums
 BUCKET = 1024
 
 
+def cut_at_runs(text: str) -> Iterator[tuple[str, bool]]:
+    """Parts of a text that encode one by one as they do together, and whether a part is one piece.
+
+    The pattern makes one piece of a run of white space: the whole run where the text
+    ends with it, else all of it but the last character, which goes to what follows.
+    """
+    at = 0
+    for run in _LONG_RUN.finditer(text):
+        to = run.end() if run.end() == len(text) else run.end() - 1
+        yield text[at:run.start()], False
+        yield text[run.start():to], True
+        at = to
+    yield text[at:], False
+
+
 def bpe_lengths(path: str = TOKENIZER, pattern: str = PATTERN) -> Callable[[list[str]], list[int]]:
     """Encoded lengths under a byte-level vocabulary, loaded where it is called."""
     import tiktoken
@@ -36,7 +60,17 @@ def bpe_lengths(path: str = TOKENIZER, pattern: str = PATTERN) -> Callable[[list
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     encoding = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return lambda texts: [len(encoding.encode_ordinary(t)) for t in texts]
+    piece = tiktoken.Encoding("piece", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})
+    whole = lambda t: len(encoding.encode_ordinary(t))
+    if pattern != PATTERN:  # another pattern may cut white space otherwise
+        return lambda texts: list(map(whole, texts))
+
+    def length(text: str) -> int:
+        if len(text) < RUN or not _LONG_RUN.search(text):
+            return whole(text)
+        return sum(len(piece.encode_ordinary(part)) if one else whole(part) for part, one in cut_at_runs(text) if part)
+
+    return lambda texts: list(map(length, texts))
 
 
 def document_lengths(docs: DataFrame, id_col: str, text_col: str, encoder: Callable = bpe_lengths) -> DataFrame:
