@@ -6,13 +6,15 @@ sample of labelled rows with per-coordinate rates and L1 sparsity; what remains
 few thousand weights, broadcast as one array of 2^``bits`` floats whatever the
 corpus.
 
-The sample takes all labelled rows up to ``max_rows`` (a documented bound), and
-beyond it those of smallest hashed id; everything is scored.
+The sample takes all labelled ids up to ``max_rows`` (a documented bound), and beyond it
+those of smallest hashed id, one row an id; in that order it ends with the row that
+brings its texts to ``max_bytes`` (a documented bound too).  Everything is scored.
 
 Defined results: a null or empty text has no features and gets the bias's score;
 null labels are not learnt from; without usable labels every score is 0.5 less a
-hair, so nothing is rejected; repeated rows are scored one by one; other columns are
-not read.
+hair, so nothing is rejected; repeated rows are scored one by one, and of rows that
+repeat an id the smallest text is learnt from; texts of any length are scored whole;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from ._text import NON_ALNUM, Words, mix, pieces, release, split_words, word_has
 
 BITS = 20
 MAX_ROWS = 16384
+#: bytes of text that are learnt from; features take some five times as much memory
+MAX_BYTES = 64 << 20
 PASSES = 5
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 5.0, 0.1
 #: bytes of the beginnings that longer words also count by: inflected forms share them
@@ -74,38 +78,39 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, passes: int = PASSES, bits: int = BITS) -> tuple[np.ndarray, float]:
-    """Weights and bias from ``docs`` (id, text) and ``labels`` (id, label); learns in one task from max_rows labels at most."""
+def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, passes: int = PASSES, bits: int = BITS, max_bytes: int = MAX_BYTES) -> tuple[np.ndarray, float]:
+    """Weights and bias from ``docs`` (id, text) and ``labels`` (id, label); learns in one task from a bounded sample."""
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, parts, ends, marks = Ftrl(1 << bits), [], [np.zeros(1, np.int64)], []
+        model, rows, marks, seen = Ftrl(1 << bits), [], [], 0
         for b in batches:
-            for _, texts, labels in pieces(b.columns, 1):
+            for texts, labels in pieces(b.columns, 0):
+                if seen >= max_bytes:
+                    break
                 words = split_words(texts, NON_ALNUM, lower=True)
                 doc, bucket = features(words, bits)
                 key = np.unique((doc << bits) | bucket)
                 cut = np.searchsorted(key >> bits, np.arange(len(words.counts) + 1))
-                parts.append((key & ((1 << bits) - 1)).astype(np.int32))
-                ends.append(ends[-1][-1] + cut[1:])
+                own = (key & ((1 << bits) - 1)).astype(np.int32)
+                rows += np.split(own, cut[1:-1])
                 marks += labels.to_pylist()
-        every, ends = np.concatenate([np.zeros(0, np.int32), *parts]), np.concatenate(ends)
-        del parts
+                seen += len(words.buf)
         shuffle = np.random.RandomState(7)
         for _ in range(passes):
             for r in shuffle.permutation(len(marks)):
-                model.learn(np.append(every[ends[r]:ends[r + 1]], model.bias), marks[r])
+                model.learn(np.append(rows[r], model.bias), marks[r])
         w = model.weights(np.arange(model.bias + 1))
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], names=["at", "w"])
-        del every, model
+        del rows, model
         release()
 
-    # max_rows pairs of numbers at most are broadcast, and only their texts move
-    picked = labels.filter("label is not null").orderBy(F.xxhash64("id"), "id").limit(max_rows).select("id", F.col("label").cast("int").alias("label"))
-    texts = docs.select("id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "id")
-    ordered = texts.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id", "text")
+    # max_rows pairs of numbers at most are broadcast, and only their texts move, one an id
+    picked = labels.filter("label is not null").groupBy("id").agg(F.max("label").cast("int").alias("label")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
+    texts = docs.select("id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(picked), "id")
+    ordered = texts.groupBy("id", "label").agg(F.min("text").alias("text")).repartition(1).sortWithinPartitions(F.xxhash64("id"), "id")
     out = np.zeros((1 << bits) + 1)
-    for r in ordered.select("id", "text", "label").mapInArrow(fit, "at long, w double").collect():  # the nonzero weights
+    for r in ordered.select("text", "label").mapInArrow(fit, "at long, w double").collect():  # the nonzero weights
         out[r["at"]] = r["w"]
     return out[:-1].astype(np.float32), float(out[-1])
 

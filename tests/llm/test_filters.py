@@ -103,6 +103,44 @@ def test_toxicity_learns_what_is_held_out(spark):
     assert all(r["predicted"] == 0 for r in blind) and toxicity.score_documents(spark, d.limit(0), known).count() == 0
 
 
+def test_toxicity_is_ftrl_over_one_row_an_id(spark):
+    """The distributed fit equals a plain loop over the sampled rows, whatever is repeated."""
+    rng = random.Random(9)
+    texts = {i: " ".join(rng.choice(["good", "fine", "day"] if i % 3 else ["vile", "awful", "day"]) for _ in range(8)) for i in range(60)}
+    rows = [(i, t) for i, t in texts.items() for _ in range(1 + 4 * (i == 7))] + [(7, "zzz")] * 3 + [(None, "vile"), (61, None)]
+    labels = [(i, int(i % 3 == 0)) for i in range(60) for _ in range(1 + (i == 7))] + [(None, 1), (3, None)]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(5)
+    for most in (1000, 25):
+        weights, bias = toxicity.train(spark, docs, spark.createDataFrame(labels, "id long, label int"), max_rows=most, passes=3, bits=12)
+        order = [r["id"] for r in spark.range(60).orderBy(F.xxhash64("id"), "id").limit(most).collect()]
+        z, n = np.zeros(4097), np.zeros(4097)
+
+        def weight(at):
+            l1 = np.where(at == 4096, 0, toxicity.L1)
+            return np.where(np.abs(z[at]) <= l1, 0, -(z[at] - np.sign(z[at]) * l1) / ((toxicity.BETA + np.sqrt(n[at])) / toxicity.ALPHA + toxicity.L2))
+
+        shuffle = np.random.RandomState(7)
+        for _ in range(3):
+            for r in shuffle.permutation(len(order)):
+                _, bucket = toxicity.features(split_words(pa.array([texts[order[r]]]), NON_ALNUM, lower=True), 12)
+                at = np.append(np.unique(bucket), 4096)
+                w = weight(at)
+                g = 1 / (1 + np.exp(-w.sum())) - int(order[r] % 3 == 0)
+                step = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / toxicity.ALPHA
+                z[at] += g - step * w
+                n[at] += g * g
+        assert np.allclose(weights, weight(np.arange(4096)), atol=1e-6) and abs(bias - weight(np.array([4096]))[0]) < 1e-9
+
+
+def test_toxicity_of_empty_tables_and_long_texts(spark):
+    docs = spark.createDataFrame([(1, "vile " * 300_000, "x"), (None, None, "y"), (3, "", "z")], "doc_id long, text string, score string")
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    got = {r["doc_id"]: (r["held_out"], r["predicted"]) for r in toxicity.score_documents(spark, docs, none).collect()}
+    assert got[None] == (False, 0) and {v[1] for v in got.values()} == {0}
+    assert toxicity.score_documents(spark, docs.limit(0), none).count() == 0
+    assert toxicity.drop_toxic(spark, docs, none).count() == 3
+
+
 def test_url_parts_and_longest_rule(spark):
     urls = [None, "", "no scheme", "http://A.Example.COM/en/x?q#f", "x://b.com?y", "x://b.com/", "x://www.example.com/en/a", "x://sub.www.example.com/en/",
             "x://notexample.com/en/", "x://h.net/es/1", "x://net/fr/", "x://h.net/de#/es/", "y://c.com://d/e", "x://only", "x:///p", "x://h.net/es"]
@@ -223,6 +261,34 @@ def test_suffix_sums_answer_every_limit(spark):
     assert empty.count() == 0 and token_counts.truncated_total(empty, 5) == 0
 
 
+def test_lengths_of_white_space_are_the_encoders(monkeypatch):
+    import base64
+
+    import tiktoken
+
+    with open(token_counts.TOKENIZER, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    encoder = tiktoken.Encoding("whole", pat_str=token_counts.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(5)
+    parts = [" ", "\n", "\t", "\u3000", "\x1c", "\x85", "a", "bc", "'s", "7", "!", " x", "\r\n"]
+    texts = ["".join(rng.choice(parts) * rng.choice([1, 1, 2, 3, 9]) for _ in range(rng.randrange(12))) for _ in range(800)]
+    texts += [" " * n + end for n in (5, 6, 2000) for end in ("", "a", "\n", "!", "'s", "\u3000b")]
+    for run in (2, 3, 5):
+        monkeypatch.setattr(token_counts, "RUN", run)
+        monkeypatch.setattr(token_counts, "_LONG_RUN", re.compile(f"[{token_counts.WHITE}]{{{run},}}"))
+        assert token_counts.bpe_lengths()(texts) == [len(encoder.encode_ordinary(t)) for t in texts]
+
+
+def test_token_counts_of_very_long_repeated_and_odd_rows(spark):
+    n = 3_000_000
+    rows = [(1, " " * n, "x"), (2, "\n" * n, None), (3, "a" * n, "x"), (4, "a" + " " * n + "b", "x"), (None, "a", "x"), (None, "a", "x"), (5, None, "x"), (6, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
+    got = {r["n_tokens"]: r["n_docs"] for r in token_counts.length_histogram(docs).collect()}
+    assert got == {n: 1, n // 2: 1, n // 4: 1, 1 + (n - 1) + 1: 1, 1: 2, 0: 2}
+    each = token_counts.document_lengths(docs, "doc_id", "text").collect()
+    assert sorted(r["n_tokens"] for r in each if r["id"] is None) == [1, 1]
+
+
 def test_warc_round_trip(spark):
     rows = [(1, "http://a/", "same"), (2, "http://b/\r\nX: y", "same"), (3, None, None), (4, "http://c/", ""), (5, "http://d/", "é" * 300_000), (2, "http://b/", "other"),
             (None, "http://e/", "same"), (7, "http://f/", "WARC/1.1\r\n\r\n"), (7, "http://f/", "WARC/1.1\r\n\r\n")]
