@@ -11,9 +11,12 @@ shingles whose key many sets share.  A set with more of those than that sends al
 Word keys that occur once are sorted out by the sharded sketch of :mod:`._blocks`;
 only sets with a repeated key go on.  Within a key, every set is verified against the
 smallest id, and verified links are joined to components.  What is left are keys whose
-sets fell into different components: those are compared tile by tile, exactly and
-across components only.  No stage emits all pairs of a group, and no link between
-different texts is lost.
+sets fell into different components: those are compared tile by tile, by sketch and
+across components only, once for all keys that the same sets share; what the sketches
+can't rule out is verified.  No stage emits all pairs of a group, and no link between
+different texts is lost.  A family of sets that are all near the threshold, but in
+components of their own, is still compared within itself, so that sketch comparisons
+grow with the square of such a family.
 
 Defined results: null texts and texts without words have no shingles and link with
 nothing; with fewer words than ``size`` the whole sequence is one shingle; rows that
@@ -111,11 +114,14 @@ def word_keys(shingles: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(out), np.concatenate(of), np.concatenate(room)
 
 
-def shingle_sets(block: Block, size: int) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each document of a block."""
+def shingle_sets(block: Block, size: int, only: np.ndarray | None = None) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each document of a block, or of the numbered ones."""
     hashes = window_hashes(block.hashes(), size) if len(block.starts) else np.zeros(0, np.uint64)
+    first, last = block.first[:-1], block.first[1:]
+    if only is not None:
+        first, last = first[only], last[only]
     out = []
-    for a, b in zip(block.first[:-1].tolist(), block.first[1:].tolist()):
+    for a, b in zip(first.tolist(), last.tolist()):
         if b - a >= size:
             out.append(np.unique(hashes[a:b - size + 1]))
         elif b > a:
@@ -307,22 +313,20 @@ def _near(ws: Workspace, pairs: DataFrame, heavy: DataFrame, num: int, den: int)
 
 
 def _sets(blocks: DataFrame, heavy: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(id, shingles) of the named sets, made anew from their blocks."""
-    wanted = ids.join(heavy.select("id", "block_id"), "id")
+    """(id, shingles) of the named sets, made anew from the blocks that hold any."""
+    # a block's list is bounded by the block
+    wanted = ids.join(heavy.select("id", "block_id"), "id").groupBy("block_id").agg(F.collect_list("id").alias("wanted"))
 
-    def make(left: pa.Table, right: pa.Table) -> pa.Table:
-        want = right["id"].to_numpy()
-        out_ids, out = [], []
-        for b, n_docs, p in zip(left["block_id"].to_pylist(), left["n_docs"].to_pylist(), left["payload"] if len(want) else ()):
-            block = Block.unpack(b, n_docs, p.as_py())
-            named = np.flatnonzero(np.isin(block.ids, want))
-            sets = shingle_sets(block, size)
-            out_ids.append(block.ids[named])
-            out += [sets[d].astype("<u8").tobytes() for d in named.tolist()]
-        release()
-        return pa.table({"id": pa.array(np.concatenate([np.zeros(0, np.int64), *out_ids])), "shingles": pa.array(out, pa.binary())})
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b, n_docs, p, want in zip(batch["block_id"].to_pylist(), batch["n_docs"].to_pylist(), batch["payload"], batch["wanted"]):
+                block = Block.unpack(b, n_docs, p.as_py())
+                named = np.flatnonzero(np.isin(block.ids, want.values.to_numpy()))
+                sets = [x.astype("<u8").view(np.uint8) for x in shingle_sets(block, size, named)]
+                yield pa.RecordBatch.from_arrays([pa.array(block.ids[named]), binary_array(sets)], names=["id", "shingles"])
+            release()
 
-    return blocks.select("block_id", "n_docs", "payload").groupBy("block_id").cogroup(wanted.groupBy("block_id")).applyInArrow(make, "id long, shingles binary")
+    return blocks.select("block_id", "n_docs", "payload").join(wanted, "block_id").mapInArrow(make, "id long, shingles binary")
 
 
 def _verified(ws: Workspace, pairs: DataFrame, sets_of, num: int, den: int, name: str) -> DataFrame:
@@ -344,16 +348,20 @@ def _verified(ws: Workspace, pairs: DataFrame, sets_of, num: int, den: int, name
 def _across(ws: Workspace, keys: DataFrame, hubs: DataFrame, comp: DataFrame, heavy: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs that share a key but not a component, none of them its hub, as far as sketches allow.
 
-    A key's sets are dealt to tiles by id; each pair of its tiles is one comparison of
-    sketches.
+    Keys that the same sets share are one.  A key's sets are dealt to tiles by id; each
+    pair of its tiles is one comparison of sketches.
     """
     big = hubs.filter("n > 2").select("key", "hub", "n")
     named = ws.put(
         keys.join(big, "key").filter("id <> hub").join(comp.select(F.col("node").alias("id"), "component"), "id", "left")
         .select("key", "id", "n", F.coalesce("component", "id").alias("component")), "named")
-    sizes = named.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = ws.put(sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("all"), F.count("*").alias("parts"))
-                   .filter("parts > 1").select("key", "major", F.ceil(F.col("most") / TILE).alias("t_major"), F.ceil((F.col("all") - F.col("most")) / TILE).alias("t_other")), "mixed")
+    mark = lambda seed: F.bit_xor(F.xxhash64("id", F.lit(seed)))
+    sizes = named.groupBy("key", "component").agg(F.count("*").alias("n"), mark(1).alias("x"), mark(2).alias("y"))
+    keyed = sizes.groupBy("key").agg(
+        F.max_by("component", F.struct("n", "component")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("all"), F.count("*").alias("parts"),
+        F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y")).filter("parts > 1")
+    once = keyed.groupBy("all", "x", "y").agg(F.min(F.struct("key", "major", "most")).alias("k")).select("k.*", "all")
+    mixed = ws.put(once.select("key", "major", F.ceil(F.col("most") / TILE).alias("t_major"), F.ceil((F.col("all") - F.col("most")) / TILE).alias("t_other")), "mixed")
     rows = named.join(mixed, "key").withColumn("own", F.col("component") == F.col("major"))
     rows = rows.withColumn("tile", F.pmod(F.xxhash64("id"), F.when(F.col("own"), F.col("t_major")).otherwise(F.col("t_other"))))
     # the largest component meets the others, and the others meet each other
@@ -362,27 +370,105 @@ def _across(ws: Workspace, keys: DataFrame, hubs: DataFrame, comp: DataFrame, he
     inner = rows.filter("not own").select(*cols, each("t_other"), F.lit(0).alias("kind")).withColumn("low", F.least("tile", "met")).withColumn("high", F.greatest("tile", "met"))
     outer = rows.filter("own").select(*cols, each("t_other"), F.lit(1).alias("kind")).withColumn("low", F.col("met")).withColumn("high", F.col("tile"))
     outer = outer.union(rows.filter("not own").select(*cols, each("t_major"), F.lit(1).alias("kind")).withColumn("low", F.col("tile")).withColumn("high", F.col("met")))
-    dealt = ws.put(inner.union(outer).select("key", "kind", "low", "high", F.when(F.col("kind") == 1, F.when(F.col("own"), F.col("high")).otherwise(F.col("low"))).otherwise(F.col("tile")).alias("tile"), "own", "id", "component"), "dealt")
-
-    def compare(table: pa.Table) -> pa.Table:
-        ids, comps, tile, sizes = (table[c].to_numpy() for c in ("id", "component", "tile", "n_shingles"))
-        own = [np.frombuffer(x.as_buffer(), "<u8") for x in table["sketch"]]
-        words = min(map(len, own))
-        sketches = np.stack([folded(x, words) for x in own])
-        kind, low, high = (table[c][0].as_py() for c in ("kind", "low", "high"))
-        major = table["own"].to_numpy()
-        left, right = (np.flatnonzero(~major), np.flatnonzero(major)) if kind else (np.flatnonzero(tile == low), np.flatnonzero(tile == high))
-        a, b = [], []
-        for i in left.tolist():
-            j = right[(comps[right] != comps[i]) & ((ids[right] > ids[i]) | (kind == 1) | (low != high))]
-            apart = np.bitwise_count(sketches[j] ^ sketches[i]).sum(axis=1)
-            j = j[apart <= most_different(sizes[j], sizes[i], num, den)]
-            a += [ids[i]] * len(j)
-            b += ids[j].tolist()
-        return pa.table({"id": pa.array(a, pa.int64()), "other": pa.array(b, pa.int64())})
-
-    met = dealt.join(heavy.select("id", "n_shingles", "sketch"), "id").groupBy("key", "kind", "low", "high").applyInArrow(compare, "id long, other long")
-    return ws.put(met.select(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other")).distinct(), "across")
+    side = F.when(F.col("kind") == 1, F.when(F.col("own"), 2).otherwise(1)).otherwise(F.when(F.col("tile") == F.col("low"), 1).otherwise(0) + F.when(F.col("tile") == F.col("high"), 2).otherwise(0))
+    dealt = ws.put(inner.union(outer).select("key", "kind", "low", "high", side.alias("side"), "id", "component"), "dealt")
+    group = ["key", "kind", "low", "high"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            t = pa.table(b) if held is None else pa.concat_tables([held, pa.table(b)]).combine_chunks()
+            starts = _group_starts(t, group)
+            if len(starts):
+                yield _close_pairs(t.slice(0, starts[-1]), starts, num, den)
+                held = t.slice(starts[-1])
+        if held is not None:
+            yield _close_pairs(held.combine_chunks(), np.array([0, held.num_rows]), num, den)
+
+    met = dealt.join(heavy.select("id", "n_shingles", "sketch"), "id").repartition(*group).sortWithinPartitions(*group)
+    close = met.mapInArrow(compare, "id long, other long")
+    return ws.put(close.select(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other")).distinct(), "across")
+
+
+def _group_starts(t: pa.Table, group: list[str]) -> np.ndarray:
+    """Where the groups of a sorted table begin."""
+    new = np.zeros(t.num_rows, bool)
+    new[:1] = True
+    for c in group:
+        x = t[c].to_numpy()
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+#: sketch words looked at first, and words that a step of a comparison holds
+FIRST_WORDS, STEP_WORDS = 8, 1 << 21
+
+
+def _close_pairs(t: pa.Table, starts: np.ndarray, num: int, den: int) -> pa.RecordBatch:
+    """Pairs of a group's left and right rows (sides 1 and 2, or 3 for both) whose sketches come near.
+
+    ``starts`` has where groups begin and, last, where the rows end.  Groups are worked
+    on together, in steps of bounded size.
+    """
+    ids, comps, sizes, side = (t[c].to_numpy() for c in ("id", "component", "n_shingles", "side"))
+    sketches = _Sketches(t["sketch"])
+    group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    order = np.lexsort((sizes, group))  # by size within a group, so that a row's partners are a run
+    left, right = order[side[order] & 1 > 0], order[side[order] & 2 > 0]
+    # partners of a row: the right rows of its group whose sizes the threshold allows
+    width = int(sizes.max(initial=0)) + 2
+    place = group[right] * width + sizes[right]
+    low = -(-sizes[left] * num // den)
+    begin = np.searchsorted(place, group[left] * width + low, side="left")
+    end = np.searchsorted(place, group[left] * width + np.minimum(sizes[left] * den // num, width - 1), side="right")
+    n = end - begin
+    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    cuts = np.flatnonzero(np.diff(np.cumsum(n) // (STEP_WORDS // FIRST_WORDS))) + 1
+    for rows in np.split(np.arange(len(left)), cuts):
+        a = np.repeat(left[rows], n[rows])
+        b = right[np.arange(n[rows].sum()) + np.repeat(begin[rows] - np.cumsum(n[rows]) + n[rows], n[rows])]
+        # rows on both sides of one tile meet once
+        ok = (comps[a] != comps[b]) & ((side[a] != 3) | (ids[a] < ids[b]))
+        a, b = a[ok], b[ok]
+        most = most_different(sizes[a], sizes[b], num, den)
+        for words in (FIRST_WORDS, None):
+            near = sketches.distance(a, b, words) <= most
+            a, b, most = a[near], b[near], most[near]
+        out_a.append(ids[a])
+        out_b.append(ids[b])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["id", "other"])
+
+
+class _Sketches:
+    """Sketches of different lengths, and as folded for a comparison."""
+
+    def __init__(self, sketches: pa.ChunkedArray):
+        self.rows = [np.frombuffer(x.as_buffer(), "<u8") for x in sketches]
+        self.length = np.array([len(x) for x in self.rows], np.int64)
+        self.made: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+
+    def folded(self, length: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sketches of one length, folded to ``words``, and where each row's is."""
+        if (length, words) not in self.made:
+            at = np.flatnonzero(self.length == length)
+            where = np.zeros(len(self.rows), np.int64)
+            where[at] = np.arange(len(at))
+            matrix = np.bitwise_xor.reduce(np.stack([self.rows[i] for i in at]).reshape(len(at), -1, words), axis=1)
+            self.made[length, words] = matrix, where
+        return self.made[length, words]
+
+    def distance(self, a: np.ndarray, b: np.ndarray, most_words: int | None) -> np.ndarray:
+        """Differing bits of each pair of rows, folded to the shorter sketch and to ``most_words``."""
+        out = np.zeros(len(a), np.int64)
+        la, lb = self.length[a], self.length[b]
+        for x in np.unique(la).tolist():
+            for y in np.unique(lb[la == x]).tolist():
+                words = min(x, y, most_words or x)
+                (ma, wa), (mb, wb) = self.folded(x, words), self.folded(y, words)
+                pairs = np.flatnonzero((la == x) & (lb == y))
+                for at in np.split(pairs, range(STEP_WORDS // words, len(pairs), STEP_WORDS // words)):
+                    out[at] = np.bitwise_count(ma[wa[a[at]]] ^ mb[wb[b[at]]]).sum(axis=1)
+        return out
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:

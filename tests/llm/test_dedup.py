@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gaugeworks.llm import embedding_dedup, jaccard_join, substring_dedup
@@ -166,6 +167,26 @@ def test_embedding_dedup_matches_brute_force(spark):
     assert embedding_dedup.near_vectors(spark, df.limit(0)).count() == 0
 
 
+def test_squares_of_a_tile_meet_once():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(70, 6))
+    x[35:] = x[:35] + rng.normal(scale=0.1, size=(35, 6))
+    axes = embedding_dedup.principal_axes(x)
+    x = x[np.argsort((x / np.linalg.norm(x, axis=1, keepdims=True) @ axes)[:, 0])]
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    whole = {(i, j) for i, j in zip(*np.nonzero(u @ u.T >= 0.9)) if i < j}
+    for square in (16, 1024):
+        i, j = embedding_dedup.close_pairs(x, x, axes, 0.9, square=square, same=True)
+        assert whole and len(i) == len(whole) and set(zip(i.tolist(), j.tolist())) == whole
+
+
+def test_doubles_stay_doubles(spark):
+    """Components that a float can't hold apart, and beyond its range."""
+    rows = [(1, [1e300, 0.0], 0), (2, [2e300, 0.0], 0), (3, [1.0, 1e-300], 0), (4, [0.0, 1e-300], 0), (5, [0.0, 2e-300], 0)]
+    got = {r["vec_id"]: r["component_id"] for r in embedding_dedup.near_vectors(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got[5] == 4 and got[3] == 3 or got[3] == 1
+
+
 def test_a_rotation_keeps_cosines():
     rnd = np.random.RandomState(2)
     a = rnd.randn(40, 9)
@@ -175,3 +196,30 @@ def test_a_rotation_keeps_cosines():
     assert sorted(zip(i, j)) == sorted(zip(*np.nonzero(cos >= 0.9)))
 
 
+
+
+def test_close_pairs_are_those_of_a_double_loop():
+    """Groups of both kinds, sizes and sketches of several lengths, in one call and over batch borders."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for key in range(40):
+        base = rng.integers(0, 1 << 62, 400).astype(np.uint64)
+        for _ in range(int(rng.integers(1, 12))):
+            own = np.unique(np.concatenate([base[: int(rng.integers(5, 400))], rng.integers(0, 1 << 62, int(rng.integers(0, 9))).astype(np.uint64)]))
+            kind = key % 2
+            rows.append((key, kind, 0, key % 3, 3 if not kind and key % 3 == 0 else int(rng.integers(1, 3)), len(rows), int(rng.integers(0, 4)), len(own), jaccard_join.bit_sketch(own)))
+    names = ["key", "kind", "low", "high", "side", "id", "component", "n_shingles", "sketch"]
+    t = pa.table({n: list(c) for n, c in zip(names, zip(*rows))})
+    starts = np.append(jaccard_join._group_starts(t, names[:4]), t.num_rows)
+    got = {tuple(sorted(p)) for p in zip(*jaccard_join._close_pairs(t, starts, 80, 100).to_pydict().values())}
+    expected = set()
+    for i, a in enumerate(rows):
+        for b in rows[i + 1:]:
+            sides = (a[4] == b[4] == 3) or a[4] + b[4] == 3
+            if a[:4] != b[:4] or a[6] == b[6] or not sides or min(a[7], b[7]) * 100 < max(a[7], b[7]) * 80:
+                continue
+            x, y = (np.frombuffer(s[8], "<u8") for s in (a, b))
+            n = min(len(x), len(y))
+            if np.bitwise_count(jaccard_join.folded(x, n) ^ jaccard_join.folded(y, n)).sum() <= jaccard_join.most_different(a[7], b[7], 80, 100):
+                expected.add((a[5], b[5]))
+    assert expected and got == expected
