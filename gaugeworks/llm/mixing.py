@@ -2,15 +2,17 @@
 
 A multinomial classifier over hashed words, counted over the texts of a labelled table
 (all rows up to ``max_rows``, a documented bound, then those of smallest hashed id),
-gives each document a posterior over domains; one sharpness, chosen by the labelled
-rows' log-likelihood, calibrates it.  Document rates r then close the gap between the
+gives each document a posterior over domains; one sharpness, chosen by the log-likelihood
+of a fifth of the labelled rows that the counts leave out, calibrates it, and the shares of
+tokens that posteriors expect of that fifth are told beside those of its labels.  Document rates r then close the gap between the
 domains' expected token totals, sum of r * tokens * posterior, and their targets, as
 near to one as that allows, by preconditioned projected gradient: a rate is one plus
 the posterior times a pull a domain, no smaller than ``least``, and the pulls step by the
 gap, preconditioned by the domains' matrix over the documents that aren't cut.  An
 iteration is one aggregation that tries several step lengths; no per-document state is
 kept.  It ends when every domain is within TOLERANCE of its target, or can't come
-nearer; the shares reached are part of the mixture, and a miss is logged.
+nearer; the shares reached, and whether all targets are met, are part of the mixture, and
+a miss is logged.
 
 Tokens are words between white space.  Rates act as copies: the whole part, and one
 more with the fraction's probability by a hash of the id.
@@ -19,7 +21,8 @@ Defined results: null and empty texts have no tokens and take the rate of the pr
 null labels, and labels of unknown documents, are not learnt from; an id labelled
 twice takes the smaller domain name; domains without labelled rows are left out and the other targets
 share their weight; without any labelled row, or for an empty table, all rates are
-one.  Repeated rows are treated alike; other columns pass through.
+one.  Repeated rows are treated alike, but rows that repeat an id draw the same fraction;
+texts of any length are read whole; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ from ._store import Workspace
 from ._text import mix, pieces, split_words
 
 BITS = 14
-SHARPNESS = (0.5, 1, 2, 4, 8, 16, 32, 64, 128, 256)
+SHARPNESS = (0.5, 1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024)
 MAX_ROWS = 1 << 16
 #: gap of a domain as a part of its target (of a hundredth of the tokens at least)
 TOLERANCE = 1e-3
@@ -65,6 +68,9 @@ class Mixture:
     least: float = 0.0
     wanted: tuple[float, ...] = ()  # expected shares of tokens
     reached: tuple[float, ...] = ()
+    converged: bool = False
+    labelled: tuple[float, ...] = ()  # shares of tokens by label in the rows kept out of the counts
+    expected: tuple[float, ...] = ()  # and by posterior
 
     def likelihoods(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Token counts and mean log-likelihood of a word under each domain."""
@@ -87,9 +93,16 @@ def _buckets(hashes: np.ndarray) -> np.ndarray:
     return (mix(hashes ^ np.uint64(0x6A09E667)) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+def kept_out(doc_id):
+    """A fifth of the labelled rows: not counted, but calibrated on."""
+    return F.pmod(F.xxhash64(doc_id, F.lit(5)), F.lit(5)) == 0
+
+
 def learn_domains(spark: SparkSession, docs: DataFrame, labelled: DataFrame, domains: list[str], max_rows: int = MAX_ROWS) -> Mixture | None:
-    """Word and domain frequencies over the documents that ``labelled`` (doc_id, domain) names, max_rows at most."""
+    """Word and domain frequencies over the documents that ``labelled`` (doc_id, domain) names, max_rows at most, without those kept out."""
     known = labelled.filter(F.col("domain").isin(*domains)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
+    counted = known.filter(~kept_out(F.col("doc_id")))
+    known = known if counted.isEmpty() else counted
     # max_rows ids at most are broadcast, and texts stay where they are
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id").select("domain", "text")
@@ -124,7 +137,18 @@ def learn_domains(spark: SparkSession, docs: DataFrame, labelled: DataFrame, dom
     )
 
 
+@dataclass(frozen=True)
+class Fitted:
+    model: Mixture | None
+    scored: DataFrame | None  # doc_id, n_tokens and likelihoods of every document, written
+
+
 def fit_rates(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict[str, float], least: float = 0.0, total: float | None = None) -> Mixture | None:
+    """The mixture of :func:`fit`, without the table."""
+    return fit(spark, docs, labelled, targets, least, total).model
+
+
+def fit(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict[str, float], least: float = 0.0, total: float | None = None) -> Fitted:
     """A mixture whose rates bring the domains' expected tokens to shares ``targets`` of ``total``.
 
     Without ``total`` it is the present total, or with a positive ``least`` whatever the
@@ -134,7 +158,7 @@ def fit_rates(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets
     """
     model = learn_domains(spark, docs, labelled, sorted(targets))
     if model is None:
-        return None
+        return Fitted(None, None)
     ws = Workspace(spark, "mixing")
     k = len(model.domains)
     shared = spark.sparkContext.broadcast(model)
@@ -148,7 +172,9 @@ def fit_rates(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = ws.put(texts.mapInArrow(score, "doc_id long, n_tokens long, ll array<double>"), "scored")
     known = labelled.filter(F.col("domain").isin(*model.domains)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    model = _with(model, sharpness=_sharpness(scored.join(known, "doc_id").select("domain", "ll"), model))
+    judged = scored.join(known, "doc_id")
+    apart = judged.filter(kept_out(F.col("doc_id")))
+    model = _calibrated((judged if apart.isEmpty() else apart).select("domain", "n_tokens", "ll"), model)
 
     def sums(at: Mixture, bases: np.ndarray, pulls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each base and pulls: expected tokens of each domain, sum of tokens * p p' of what isn't cut, and the potential."""
@@ -178,7 +204,7 @@ def fit_rates(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets
     present = sums(model, np.ones(1), np.zeros((1, k)))[0][0]
     all_tokens = present.sum()
     if all_tokens <= 0:
-        return model
+        return Fitted(model, scored)
     free = total is None and least > 0
     # with a free total, each domain's gap is that to its share of what the rates make
     goal = np.zeros(k) if free else share * (all_tokens if total is None else total) / all_tokens
@@ -204,7 +230,8 @@ def fit_rates(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets
     reached = tokens / max(tokens.sum(), 1e-300)
     if missed.any():
         _log.warning("mixing misses its targets: wanted %s of %.0f tokens, reached %s of %.0f", _told(model, share), whole * all_tokens, _told(model, reached), tokens.sum() * all_tokens)
-    return _with(model, base=float(1 - pull @ part), pull=pull, wanted=tuple(share.tolist()), reached=tuple(reached.tolist()))
+    model = _with(model, base=float(1 - pull @ part), pull=pull, wanted=tuple(share.tolist()), reached=tuple(reached.tolist()), converged=not missed.any())
+    return Fitted(model, scored)
 
 
 def _told(model: Mixture, shares: np.ndarray) -> str:
@@ -223,45 +250,73 @@ def _matrix(lists: pa.Array, k: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
 
 
-def _sharpness(rows: DataFrame, model: Mixture) -> float:
-    """The sharpness under which the labelled rows are likeliest."""
+def _calibrated(rows: DataFrame, model: Mixture) -> Mixture:
+    """The model with the sharpness under which labelled rows are likeliest, and their shares of tokens by label and by posterior."""
+    k, m = len(model.domains), len(SHARPNESS)
 
-    def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loss = np.zeros(len(SHARPNESS))
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loss, expected, labelled = np.zeros(m), np.zeros((m, k)), np.zeros(k)
         for b in batches:
             own = np.array([model.domains.index(d) for d in b["domain"].to_pylist()], np.int64)
-            ll = _matrix(b["ll"], len(model.domains))
+            ll, n = _matrix(b["ll"], k), b["n_tokens"].to_numpy().astype(float)
+            labelled += np.bincount(own, n, k)
             for i, s in enumerate(SHARPNESS):
                 p = _with(model, sharpness=s).posteriors(ll)
                 loss[i] -= np.log(np.maximum(p[np.arange(len(own)), own], 1e-12)).sum()
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(SHARPNESS))), pa.array(loss)], names=["at", "loss"])
+                expected[i] += n @ p
+        flat = np.concatenate([loss, expected.reshape(-1), labelled])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], names=["at", "x"])
+
+    got = {r["at"]: r["x"] for r in rows.mapInArrow(add, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()}
+    loss, expected, labelled = np.split(np.array([got.get(i, 0.0) for i in range(m + m * k + k)]), [m, m + m * k])
+    best = int(np.argmin(loss))
+    shares = lambda x: tuple((x / max(x.sum(), 1e-300)).tolist())
+    model = _with(model, sharpness=float(SHARPNESS[best]), labelled=shares(labelled), expected=shares(expected.reshape(m, k)[best]))
+    _log.info("mixing: tokens by label %s, by posterior %s", _told(model, model.labelled), _told(model, model.expected))
+    return model
+
+
+def n_copies(rates: np.ndarray, ids: pa.Array, seed: int = 11) -> np.ndarray:
+    """Whole copies, and one more with the fraction's probability, by a hash of the id."""
+    number = ids.cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False).view(np.uint64)
+    u = (mix(number * np.uint64(2 * seed + 1) + np.uint64(seed)) >> np.uint64(11)).astype(float) / float(1 << 53)
+    return np.floor(rates).astype(np.int64) + (u < rates - np.floor(rates))
+
 
-    got = {r["at"]: r["loss"] for r in rows.mapInArrow(losses, "at long, loss double").groupBy("at").agg(F.sum("loss").alias("loss")).collect()}
-    return float(SHARPNESS[min(range(len(SHARPNESS)), key=lambda i: (got.get(i, 0.0), i))])
+RATES = "doc_id long, n_tokens long, rate double, posterior array<double>, copies long"
 
 
-def document_rates(spark: SparkSession, docs: DataFrame, model: Mixture | None) -> DataFrame:
-    """doc_id, n_tokens, rate and posterior (in the order of the model's domains)."""
+def _rated(ids: pa.Array, n, ll: np.ndarray, model: Mixture, seed: int) -> pa.RecordBatch:
+    p = model.posteriors(ll)
+    rates = model.rates(p)
+    return pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(rates), _lists(p), pa.array(n_copies(rates, ids, seed))], names=["doc_id", "n_tokens", "rate", "posterior", "copies"])
+
+
+def fitted_rates(fitted: Fitted, seed: int = 11) -> DataFrame:
+    """What :func:`document_rates` returns, for the documents of the fit; no text is read again."""
+    shared = fitted.scored.sparkSession.sparkContext.broadcast(fitted.model)
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield _rated(b["doc_id"], b["n_tokens"], _matrix(b["ll"], len(shared.value.domains)), shared.value, seed)
+
+    return fitted.scored.mapInArrow(rate, RATES)
+
+
+def document_rates(spark: SparkSession, docs: DataFrame, model: Mixture | None, seed: int = 11) -> DataFrame:
+    """doc_id, n_tokens, rate, posterior (in the order of the model's domains) and the copies that :func:`resample` makes."""
     if model is None:
         n = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), n.cast("long").alias("n_tokens"), F.lit(1.0).alias("rate"), F.array().cast("array<double>").alias("posterior"))
+        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), n.cast("long").alias("n_tokens"), F.lit(1.0).alias("rate"), F.array().cast("array<double>").alias("posterior"), F.lit(1).cast("long").alias("copies"))
     shared = spark.sparkContext.broadcast(model)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for ids, texts in pieces(b.columns, 1):
-                n, ll = shared.value.likelihoods(texts)
-                p = shared.value.posteriors(ll)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(shared.value.rates(p)), _lists(p)], names=["doc_id", "n_tokens", "rate", "posterior"])
+                yield _rated(ids, *shared.value.likelihoods(texts), shared.value, seed)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(rate, "doc_id long, n_tokens long, rate double, posterior array<double>")
-
-
-def copies(rate, doc_id, seed: int = 11):
-    """Whole copies, and one more with the fraction's probability."""
-    u = F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 32)) / float(1 << 32)
-    return (F.floor(rate) + F.when(u < rate - F.floor(rate), 1).otherwise(0)).cast("long")
+    return texts.mapInArrow(rate, RATES)
 
 
 def resample(spark: SparkSession, docs: DataFrame, model: Mixture | None, seed: int = 11) -> DataFrame:
@@ -277,9 +332,7 @@ def resample(spark: SparkSession, docs: DataFrame, model: Mixture | None, seed:
             for cols in pieces(b.columns, text):
                 _, ll = shared.value.likelihoods(cols[text])
                 rate = shared.value.rates(shared.value.posteriors(ll))
-                ids = cols[doc_id].cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False).view(np.uint64)
-                u = (mix(ids * np.uint64(2 * seed + 1) + np.uint64(seed)) >> np.uint64(11)).astype(float) / float(1 << 53)
-                n = np.floor(rate).astype(np.int64) + (u < rate - np.floor(rate))
+                n = n_copies(rate, cols[doc_id], seed)
                 # rates have no bound, so copies go out in batches of bounded text
                 at = np.repeat(np.arange(len(n)), n)
                 size = pc.binary_length(cols[text].cast(pa.binary())).fill_null(0).to_numpy(zero_copy_only=False)[at] + 64
@@ -301,9 +354,8 @@ def quality_domains(labels: DataFrame) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rate, copies and domain posterior of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model = fit_rates(spark, docs, quality_domains(spark.read.parquet(f"{sf_dir}/labels.parquet")), TARGETS)
-    out = document_rates(spark, docs, model)
-    return out.withColumn("copies", copies(F.col("rate"), F.col("doc_id")))
+    fitted = fit(spark, docs, quality_domains(spark.read.parquet(f"{sf_dir}/labels.parquet")), TARGETS)
+    return document_rates(spark, docs, None) if fitted.model is None else fitted_rates(fitted)
 
 
 SQL = None
