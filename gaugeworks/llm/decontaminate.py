@@ -1,14 +1,16 @@
 """Benchmark decontamination: a broadcast hash set of normalised test n-grams.
 
 Training texts are scanned window by window; a hashed window that may be in the set
-is verified word for word.  The set is broadcast in parts of at most
-``part_bytes`` of item text: a larger benchmark takes several scans, whose hits are
-united by document.
+is verified byte by byte.  The set is broadcast in parts of at most ``part_bytes`` of item
+text (an item that is longer has a part of its own): the parts' sizes are measured before
+any is collected, and a larger benchmark takes several scans, whose hits are united by
+document.  A part is a few flat arrays, some ten times as large as its text.
 
 Defined results: null texts, and texts without words, have no windows and are never
 hit; an item of fewer than ``size`` words (but not none) is one window of its own
 length; items that share an id count as one; a null item id is written 'null'.
-Repeated documents are judged one by one.
+Repeated documents are judged one by one, and texts of any length whole; a null document
+id comes back null; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,36 +25,26 @@ from ._store import ROW, Workspace, bound_batches
 from ._text import NON_ALNUM, pieces, split_words, window_hashes
 
 SIZE = 13
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 _SIEVE_BITS = 22
 HITS_SCHEMA = "row long, n_words long, n_hit long, spans array<struct<start:long,end:long>>, items array<string>"
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 class Grams:
-    """Windows of benchmark items by length: sorted hashes, a bit sieve, and the words themselves."""
+    """Windows of benchmark items by length, in flat arrays: hashes, a bit sieve, places in the items' words, and items."""
 
     def __init__(self, ids: list, texts: list, size: int = SIZE):
         words = split_words(pa.array(texts, pa.string()), NON_ALNUM, lower=True)
+        self.buf = words.buf
+        self.names = ["null" if i is None else str(i) for i in ids]
         hashes, doc = words.hashes(), words.doc_of()
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.items: dict[bytes, list[str]] = {}
-        found: dict[int, list[np.ndarray]] = {}
+        self.by_length: dict[int, _Windows] = {}
         for n in sorted({size, *(c for c in words.counts.tolist() if 0 < c < size)}):
             whole = words.counts >= size if n == size else words.counts == n
             at = np.flatnonzero(words.window_ok(n) & whole[doc])
-            found.setdefault(n, []).append(window_hashes(hashes, n)[at])
-            for i in at.tolist():
-                who = self.items.setdefault(words.bytes_of(i, i + n), [])
-                name = "null" if ids[doc[i]] is None else str(ids[doc[i]])
-                if name not in who:
-                    who.append(name)
-        for n, parts in found.items():
-            known = np.unique(np.concatenate(parts))
-            sieve = np.zeros(1 << _SIEVE_BITS, bool)
-            sieve[known >> np.uint64(64 - _SIEVE_BITS)] = True
-            if len(known):
-                self.by_length[n] = (known, sieve)
+            if len(at):
+                self.by_length[n] = _Windows(window_hashes(hashes, n)[at], words.starts[at], words.ends[at + n - 1], doc[at], self.buf)
 
     def scan(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list, list]:
         """Word counts, hit counts, hit spans and items of each text."""
@@ -60,19 +52,20 @@ class Grams:
         hashes, n_docs = words.hashes(), len(words.counts)
         step = np.zeros(len(words.starts) + 1, np.int64)
         items: dict[int, set] = {}
-        for n, (known, sieve) in self.by_length.items():
+        for n, windows in self.by_length.items():
             if len(hashes) < n:
                 continue
             h = window_hashes(hashes, n)
-            at = np.flatnonzero(sieve[h >> np.uint64(64 - _SIEVE_BITS)] & words.window_ok(n))
-            got = h[at]
-            slot = np.minimum(np.searchsorted(known, got), len(known) - 1)
-            for i in at[known[slot] == got].tolist():
-                who = self.items.get(words.bytes_of(i, i + n))
-                if who:
+            at = np.flatnonzero(windows.sieve[h >> np.uint64(64 - _SIEVE_BITS)] & words.window_ok(n))
+            low, high = (np.searchsorted(windows.hash, h[at], side=x) for x in ("left", "right"))
+            found = np.flatnonzero(low < high)
+            doc = np.searchsorted(words.first, at[found], side="right") - 1
+            for d, i, a, b in zip(doc.tolist(), at[found].tolist(), low[found].tolist(), high[found].tolist()):
+                w = windows.same(words.buf[words.starts[i]:words.ends[i + n - 1]], a, b, self.buf)
+                if w is not None:
                     step[i] += 1
                     step[i + n] -= 1
-                    items.setdefault(int(np.searchsorted(words.first, i, side="right")) - 1, set()).update(who)
+                    items.setdefault(d, set()).add((n, w))
         hit = np.cumsum(step[:-1]) > 0
         upto = np.concatenate([[0], np.cumsum(hit)])
         n_hit = upto[words.first[1:]] - upto[words.first[:-1]]
@@ -80,22 +73,89 @@ class Grams:
         for d in np.flatnonzero(n_hit).tolist():
             edge = np.diff(np.concatenate([[0], hit[words.first[d]:words.first[d + 1]].view(np.int8), [0]]))
             spans[d] = [{"start": a, "end": b} for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())]
-        return words.counts, n_hit, spans, [sorted(items.get(d, ())) for d in range(n_docs)]
+        return words.counts, n_hit, spans, [self._named(items.get(d, ())) for d in range(n_docs)]
+
+    def _named(self, hits) -> list[str]:
+        """Names of the items that hold any of the windows, sorted."""
+        if not hits:
+            return []
+        own = np.unique(np.concatenate([self.by_length[n].items(w) for n, w in hits]))
+        return sorted({self.names[i] for i in own.tolist()})
+
+
+class _Windows:
+    """Distinct windows of one length by hash: where their words stand, and the items that hold them."""
+
+    def __init__(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, item: np.ndarray, buf: np.ndarray):
+        order = np.lexsort((item, hashes))
+        h, s, e = hashes[order], starts[order], ends[order]
+        new = np.ones(len(h), bool)
+        new[1:] = h[1:] != h[:-1]
+        first = np.flatnonzero(new)[np.cumsum(new) - 1]
+        # windows of one hash are one but by a rare chance: what differs from its hash's first is set apart
+        apart = np.array([i for i in np.flatnonzero(~new).tolist() if not np.array_equal(buf[s[i]:e[i]], buf[s[first[i]]:e[first[i]]])], np.int64)
+        group = np.cumsum(new) - 1
+        if len(apart):
+            group, new = _by_bytes(h, s, e, buf)
+            order = order[np.argsort(group, kind="stable")]
+            h, s, e, group = hashes[order], starts[order], ends[order], np.sort(group)
+            new = np.concatenate([[True], group[1:] != group[:-1]])
+        at = np.flatnonzero(new)
+        self.hash, self.start, self.end = h[at], s[at], e[at]
+        # each item once a window
+        own = item[order]
+        once = new | np.concatenate([[True], own[1:] != own[:-1]])
+        self.item = own[once].astype(np.int32)
+        self.begin = np.append(np.searchsorted(group[once], np.arange(len(at))), int(once.sum()))
+        self.sieve = np.zeros(1 << _SIEVE_BITS, bool)
+        self.sieve[self.hash >> np.uint64(64 - _SIEVE_BITS)] = True
+
+    def same(self, window: np.ndarray, low: int, high: int, buf: np.ndarray) -> int | None:
+        """The window among numbers low..high-1 that has these bytes."""
+        return next((w for w in range(low, high) if np.array_equal(buf[self.start[w]:self.end[w]], window)), None)
+
+    def items(self, window: int) -> np.ndarray:
+        return self.item[self.begin[window]:self.begin[window + 1]]
+
+
+def _by_bytes(h: np.ndarray, s: np.ndarray, e: np.ndarray, buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of distinct windows, in the order of their hashes; for hashes that several share."""
+    seen: dict[tuple[int, bytes], int] = {}
+    keys = [(x, buf[a:b].tobytes()) for x, a, b in zip(h.tolist(), s.tolist(), e.tolist())]
+    for k in sorted(set(keys)):
+        seen[k] = len(seen)
+    group = np.array([seen[k] for k in keys], np.int64)
+    return group, np.zeros(0, bool)
+
+
+def item_parts(spark: SparkSession, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> tuple[DataFrame, list[int]]:
+    """Items (id, text, part) and the parts' numbers; no part is larger than ``part_bytes`` but for one item alone."""
+    size = F.octet_length("text") + 64
+    items = benchmark.select(F.col("item_id").alias("id"), F.col("text").cast("string").alias("text")).filter("text is not null")
+    total = items.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    n = max(1, -(-total // part_bytes))
+    if n == 1:
+        return items.withColumn("part", F.lit(0)), [0]
+    # rows are dealt by a number of their own, so that repeated texts part too
+    rows = Workspace(spark, "benchmark").numbered(items, "rows")
+    while True:
+        dealt = rows.withColumn("part", F.pmod(F.xxhash64(ROW), F.lit(n)))
+        sizes = dealt.groupBy("part").agg(F.sum(size).alias("bytes"), F.count("*").alias("n"))
+        if sizes.filter((F.col("bytes") > part_bytes) & (F.col("n") > 1)).isEmpty():
+            return dealt.select("id", "text", "part"), sorted(r["part"] for r in sizes.select("part").collect())
+        n *= 2
 
 
 def find_hits(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, part_bytes: int = PART_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, spans (word numbers) and items of each document."""
     bound_batches(spark)
-    items = benchmark.select(F.col("item_id").alias("id"), F.col("text").cast("string").alias("text"))
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
-    n_parts = max(1, -(-total // part_bytes))
-    part = F.pmod(F.xxhash64("text"), F.lit(n_parts))
+    items, parts = item_parts(spark, benchmark, part_bytes)
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    if n_parts > 1:  # rows are numbered once, so that the scans' hits meet again
+    if len(parts) > 1:  # rows are numbered once, so that the scans' hits meet again
         picked = Workspace(spark, "decontaminate").put(picked.withColumn("row", F.monotonically_increasing_id()), "rows")
     found = None
-    for p in range(n_parts):
-        rows = (items.filter(part == p) if n_parts > 1 else items).collect()  # part_bytes at most, on average
+    for p in parts:
+        rows = items.filter(F.col("part") == p).collect()  # part_bytes at most, or one item
         grams = spark.sparkContext.broadcast(Grams([r["id"] for r in rows], [r["text"] for r in rows], size))
 
         def scan(batches: Iterator[pa.RecordBatch], grams=grams) -> Iterator[pa.RecordBatch]:
@@ -108,9 +168,9 @@ def find_hits(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col
                     )
 
         schema = "doc_id long, n_words long, n_hit long, spans array<struct<start:long,end:long>>, items array<string>"
-        hits = picked.mapInArrow(scan, schema + (", row long" if n_parts > 1 else ""))
+        hits = picked.mapInArrow(scan, schema + (", row long" if len(parts) > 1 else ""))
         found = hits if found is None else found.union(hits)
-    return found if n_parts == 1 else _united(found)
+    return found if len(parts) == 1 else _united(found)
 
 
 def _united(hits: DataFrame) -> DataFrame:
