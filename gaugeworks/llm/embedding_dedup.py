@@ -6,9 +6,11 @@ ordered along the first axis and cut into tiles.  Two tiles of a label meet if
 their ranges on that axis are close enough for the threshold.  A meeting adds up
 products a few axes at a time, largest variance first; what the other axes can
 still add is at most the product of the suffix norms, and rows and columns that
-cannot reach the threshold leave the comparison.  A tile's memory is fixed, links
-are counted and joined within the meeting, and no pair leaves it but the edges of
-a spanning forest.
+cannot reach the threshold leave the comparison.  A tile's memory is fixed and its rows
+meet in squares of ``square`` rows, links are counted and joined within the meeting, and
+no pair leaves it but the edges of a spanning forest.  Exactness has its price: tiles of a
+label that lie close enough on the first axis all meet, so that meetings grow with the
+square of a label's rows; the pairs of tiles of one label are listed by many tasks.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components, and rows with a null label, link with nothing; vectors of different
@@ -30,15 +32,23 @@ from ._components import components
 from ._store import Workspace
 
 THRESHOLD = 0.93
-TILE_ROWS = 1024
+TILE_ROWS, SQUARE = 4096, 1024
+#: tiles of a label that one task lists the pairs of
+LISTED = 64
 #: vectors that fit the principal axes
 PCA_ROWS = 4096
 STEP = 8
 _SLACK = 1e-9
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, largest component about one: exact, and norms don't overflow."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def principal_axes(sample: np.ndarray) -> np.ndarray:
     """Columns are axes by falling second moment of unit vectors."""
+    sample = scaled(sample)
     unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
     values, axes = np.linalg.eigh(unit.T @ unit)
     return axes[:, np.argsort(-values)]
@@ -48,13 +58,41 @@ def _dense(vectors: pa.Array, dim: int) -> np.ndarray:
     return vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
 
 
-def close_pairs(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of a and b whose cosine reaches the threshold."""
-    ua, ub = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (a, b))
-    ra, rb = ua @ axes, ub @ axes
+class _Turned:
+    """Unit vectors on the principal axes, and the norms of what follows each axis."""
+
+    def __init__(self, x: np.ndarray, axes: np.ndarray):
+        self.given = x = scaled(x)
+        self.on_axes = x / np.linalg.norm(x, axis=1, keepdims=True) @ axes
+        self.tail = np.sqrt(np.maximum(0, np.cumsum((self.on_axes**2)[:, ::-1], axis=1)[:, ::-1]))
+
+
+def close_pairs(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float, square: int = SQUARE, same: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of a and b whose cosine reaches the threshold; those of a pair's smaller row first if both are the same."""
+    ta = _Turned(a, axes)
+    tb = ta if same else _Turned(b, axes)
+    reach = _reach(threshold)
+    i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for p in range(0, len(a), square):
+        for q in range(p if same else 0, len(b), square):
+            x, y = ta.on_axes[p:p + square, 0], tb.on_axes[q:q + square, 0]
+            if x.min() > y.max() + reach or y.min() > x.max() + reach:
+                continue
+            r, c = _square_pairs(ta, tb, slice(p, p + square), slice(q, q + square), threshold)
+            i.append(r + p)
+            j.append(c + q)
+    i, j = np.concatenate(i), np.concatenate(j)
+    return (i[i < j], j[i < j]) if same else (i, j)
+
+
+def _reach(threshold: float) -> float:
+    """How far apart on an axis unit vectors of that cosine can be."""
+    return float(np.sqrt(2 * (1 - threshold))) + 1e-9
+
+
+def _square_pairs(turned_a: _Turned, turned_b: _Turned, at_a: slice, at_b: slice, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    a, b, ra, rb, ta, tb = turned_a.given[at_a], turned_b.given[at_b], turned_a.on_axes[at_a], turned_b.on_axes[at_b], turned_a.tail[at_a], turned_b.tail[at_b]
     dim = ra.shape[1]
-    tail = lambda r: np.sqrt(np.maximum(0, np.cumsum((r * r)[:, ::-1], axis=1)[:, ::-1]))
-    ta, tb = tail(ra), tail(rb)
     rows, cols = np.arange(len(a)), np.arange(len(b))
     partial = np.zeros((len(a), len(b)))
     for k in range(0, dim, STEP):
@@ -93,11 +131,15 @@ def local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def near_vectors(spark: SparkSession, rows: DataFrame, threshold: float = THRESHOLD, tile_rows: int = TILE_ROWS) -> DataFrame:
     """vec_id, n_links, component_id and kept of each vector."""
     ws = Workspace(spark, "embedding-dedup")
-    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"), F.col("label").cast("long").alias("label"))
+    kind = "float" if rows.schema["embedding"].dataType.simpleString() == "array<float>" else "double"  # components stay as exact as they are
+    width = "<f4" if kind == "float" else "<f8"
+    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"), F.col("label").cast("long").alias("label"))
     v = F.col("embedding")
     odd = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     usable = F.col("label").isNotNull() & v.isNotNull() & F.exists(v, lambda x: x != 0) & ~F.exists(v, odd)
-    digest = F.when(F.coalesce(usable, F.lit(False)), F.unhex(F.sha2(F.array_join(F.transform(v, lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double")).cast("string")), ","), 256)))
+    zero = F.lit(0.0).cast(kind)
+    same = F.transform(v, lambda x: F.when(x == 0, zero).otherwise(x))  # one zero
+    digest = F.when(F.coalesce(usable, F.lit(False)), F.struct(F.xxhash64(F.lit(1), F.size(v), same).alias("x"), F.xxhash64(F.lit(2), F.size(v), same).alias("y")))
     seen = ws.put(rows.select("vec_id", "label", digest.alias("digest")), "seen")
     top = F.coalesce(F.col("vec_id"), F.lit(np.iinfo(np.int64).max))
     classes = ws.put(seen.filter("digest is not null").groupBy("label", "digest").agg(F.min(top).alias("class_id"), F.count("*").alias("copies")), "classes")
@@ -117,7 +159,7 @@ def near_vectors(spark: SparkSession, rows: DataFrame, threshold: float = THRESH
             first = np.zeros(b.num_rows)
             for dim in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == dim)
-                x = _dense(b["embedding"].take(pa.array(at)), dim)
+                x = scaled(_dense(b["embedding"].take(pa.array(at)), dim))
                 first[at] = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ axes.value[dim][:, 0]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(first)], names=[*b.schema.names, "first"])
 
@@ -132,22 +174,25 @@ def near_vectors(spark: SparkSession, rows: DataFrame, threshold: float = THRESH
                     full = sum(h.num_rows for h in held)
                     same = held and held[0]["label"][0].as_py() == label[i] and held[0]["dim"][0].as_py() == dim[i]
                     if held and (not same or full >= tile_rows):
-                        yield _tile(held, seq)
+                        yield _tile(held, seq, width)
                         held, seq, full = [], seq + 1, 0
                     take = min(j - i, tile_rows - full)
                     held.append(b.slice(i, take))
                     i += take
         if held:
-            yield _tile(held, seq)
+            yield _tile(held, seq, width)
 
-    placed = ws.put(heads.mapInArrow(project, "class_id long, label long, copies long, embedding array<float>, dim int, first double"), "placed")
+    placed = ws.put(heads.mapInArrow(project, "class_id long, label long, copies long, embedding array<" + kind + ">, dim int, first double"), "placed")
     ordered = placed.repartitionByRange("label", "dim", "first", "class_id").sortWithinPartitions("label", "dim", "first", "class_id")
     tiles = ws.put(ordered.mapInArrow(tile, "tile long, label long, dim int, low double, high double, ids binary, copies binary, vectors binary"), "tiles")
-    reach = float(np.sqrt(2 * (1 - threshold))) + 1e-9  # how far apart unit vectors of that cosine can be
+    reach = _reach(threshold)
     head = tiles.select("tile", "label", "dim", "low", "high")
-    other = head.select(F.col("tile").alias("tile_b"), "label", "dim", F.col("low").alias("low_b"), F.col("high").alias("high_b"))
+    # a label's tiles are dealt to lists; each tile meets the lists of its label
+    lists = head.groupBy("label", "dim").agg(F.ceil(F.count("*") / LISTED).alias("lists"))
+    other = head.join(lists, ["label", "dim"]).select(F.col("tile").alias("tile_b"), "label", "dim", F.col("low").alias("low_b"), F.col("high").alias("high_b"), F.pmod(F.xxhash64("tile"), "lists").alias("list"))
+    each = head.join(lists, ["label", "dim"]).withColumn("list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lists") - 1)))
     near = (F.col("tile") <= F.col("tile_b")) & (F.col("low_b") <= F.col("high") + reach) & (F.col("high_b") >= F.col("low") - reach)
-    pairs = ws.put(head.join(other, ["label", "dim"]).filter(near).select(F.col("tile").alias("tile_a"), "tile_b"), "meetings")
+    pairs = ws.put(each.join(other, ["label", "dim", "list"]).filter(near).select(F.col("tile").alias("tile_a"), "tile_b"), "meetings")
     packed = tiles.select("tile", "dim", "ids", "copies", "vectors")
     side = lambda x: packed.select(*(F.col(c).alias(f"{c}_{x}") for c in packed.columns))
     met = pairs.join(side("a"), "tile_a").join(side("b"), "tile_b")
@@ -155,7 +200,7 @@ def near_vectors(spark: SparkSession, rows: DataFrame, threshold: float = THRESH
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
-                out = _meeting({k: b[k][r] for k in b.schema.names}, axes.value, threshold)
+                out = _meeting({k: b[k][r] for k in b.schema.names}, axes.value, threshold, width)
                 if out is not None:
                     yield out
 
@@ -171,27 +216,25 @@ def near_vectors(spark: SparkSession, rows: DataFrame, threshold: float = THRESH
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _tile(held: list[pa.RecordBatch], tile: int) -> pa.RecordBatch:
+def _tile(held: list[pa.RecordBatch], tile: int, width: str) -> pa.RecordBatch:
     t = pa.Table.from_batches(held).combine_chunks()
     first = t["first"].to_numpy()
-    vectors = t["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("<f4")
+    vectors = t["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(width)
     ids, copies = (t[c].to_numpy().astype("<i8").tobytes() for c in ("class_id", "copies"))
     row = [tile, t["label"][0].as_py(), t["dim"][0].as_py(), float(first.min()), float(first.max()), ids, copies, vectors.tobytes()]
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names=["tile", "label", "dim", "low", "high", "ids", "copies", "vectors"])
 
 
-def _meeting(row: dict, axes: dict[int, np.ndarray], threshold: float) -> pa.RecordBatch | None:
+def _meeting(row: dict, axes: dict[int, np.ndarray], threshold: float, width: str) -> pa.RecordBatch | None:
     """Links and local roots of the classes of two tiles."""
     get = lambda c, kind: np.frombuffer(row[c].as_buffer(), kind)
     dim, same = row["dim_a"].as_py(), row["tile_a"].as_py() == row["tile_b"].as_py()
     ids, copies = get("ids_a", "<i8"), get("copies_a", "<i8")
-    a = get("vectors_a", "<f4").reshape(-1, dim).astype(np.float64)
-    b = a if same else get("vectors_b", "<f4").reshape(-1, dim).astype(np.float64)
-    i, j = close_pairs(a, b, axes[dim], threshold)
-    if same:
-        i, j = i[i < j], j[i < j]
-    else:
+    a = get("vectors_a", width).reshape(-1, dim).astype(np.float64)
+    b = a if same else get("vectors_b", width).reshape(-1, dim).astype(np.float64)
+    i, j = close_pairs(a, b, axes[dim], threshold, same=same)
+    if not same:
         ids, copies, j = np.concatenate([ids, get("ids_b", "<i8")]), np.concatenate([copies, get("copies_b", "<i8")]), j + len(a)
     if not len(i):
         return None
