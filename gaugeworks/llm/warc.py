@@ -88,6 +88,10 @@ def seek_table(frames: list[tuple[int, int]]) -> bytes:
     return struct.pack("<II", _SKIPPABLE, len(body)) + body
 
 
+#: Hadoop's schemes that have another name here
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def read_seek_table(f) -> list[tuple[int, int, int]]:
     """(offset, compressed size, size) of each frame of an open bundle."""
     end = f.size()
@@ -141,13 +145,21 @@ def write_bundles(spark: SparkSession, pages: DataFrame, folder: str, ws: Worksp
         if out.index:
             yield out.take()
 
-    written = typed.select("page_id", "url", "html", "refers_to").mapInArrow(write, INDEX_SCHEMA)
+    # in a total order, so that a repeated task writes the same bundles again
+    ordered = typed.sortWithinPartitions("page_id", "url", "digest")
+    written = ordered.select("page_id", "url", "html", "refers_to").mapInArrow(write, INDEX_SCHEMA)
     return ws.put(written, "index")
 
 
+def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
+    """A folder's file system and the path in it; Hadoop's names of the same store are taken too."""
+    scheme, colon, rest = folder.partition("://")
+    return pafs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + colon + rest)
+
+
 class _Writer:
     def __init__(self, folder: str, pid: int, attempt: int, frame_bytes: int, bundle_bytes: int):
-        self.fs, self.root = pafs.FileSystem.from_uri(folder)
+        self.fs, self.root = filesystem(folder)
         self.fs.create_dir(self.root, recursive=True)
         self.pid, self.attempt, self.seq = pid, attempt, 0
         self.frame_bytes, self.bundle_bytes = frame_bytes, bundle_bytes
@@ -196,7 +208,7 @@ def read_bundles(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
     """The records that the index names, read from their frames; a task reads a frame once."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pafs.FileSystem.from_uri(folder)
+        fs, root = filesystem(folder)
         name, f, table, at, raw = None, None, None, None, b""
         for b in batches:
             rows = []
@@ -228,7 +240,7 @@ def _records(rows: list[tuple]) -> pa.RecordBatch:
 
 def lookup(index: DataFrame, folder: str, page_id: int) -> list[tuple]:
     """All records of one id, each from its own frame."""
-    fs, root = pafs.FileSystem.from_uri(folder)
+    fs, root = filesystem(folder)
     out = []
     for r in index.filter(F.col("page_id") == page_id).collect():
         with fs.open_input_file(f"{root}/{r['bundle']}") as f:
