@@ -10,8 +10,10 @@ stays below ``min_good``.
 Defined results: a null url, or one without ``://``, has an empty host and path
 and is judged as the host ''.  Pages without a label count for no host; several
 labels for a page are as many outcomes; null outcomes are ignored; without any
-outcome no host is blocked.  Repeated rows
-and ids come back as often as they came.
+outcome no host is blocked.  A port is no part of a domain, and a host of four numbers
+is a domain of its own, under the suffix ''.  Repeated rows
+and ids come back as often as they came; urls of any length are judged whole; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ RULES = (
     ("net/es/", "block"),
     ("net/fr/", "block"),
 )
-#: public suffixes of two labels; all others have one
+#: public suffixes of two labels where no list is given; all others have one
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "com.au", "co.jp", "com.br")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -51,14 +53,19 @@ def rule_for(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
+_PORT, _NUMBERS = ":[0-9]*$", r"^[0-9]+([.][0-9]+){3}$"
+
+
 def suffix_of(host: Column, two_label=TWO_LABEL_SUFFIXES) -> Column:
-    last_two = F.substring_index(host, ".", -2)
-    return F.when(last_two.isin(*two_label), last_two).otherwise(F.substring_index(host, ".", -1))
+    bare = F.regexp_replace(host, _PORT, "")
+    last_two = F.substring_index(bare, ".", -2)
+    return F.when(bare.rlike(_NUMBERS), F.lit("")).when(last_two.isin(*two_label), last_two).otherwise(F.substring_index(bare, ".", -1))
 
 
 def domain_of(host: Column, two_label=TWO_LABEL_SUFFIXES) -> Column:
-    last_two = F.substring_index(host, ".", -2)
-    return F.when(last_two.isin(*two_label), F.substring_index(host, ".", -3)).otherwise(last_two)
+    bare = F.regexp_replace(host, _PORT, "")
+    last_two = F.substring_index(bare, ".", -2)
+    return F.when(bare.rlike(_NUMBERS), bare).when(last_two.isin(*two_label), F.substring_index(bare, ".", -3)).otherwise(last_two)
 
 
 def _strength(groups: DataFrame, parent_mean: str) -> DataFrame:
@@ -81,14 +88,14 @@ def _shrunk(groups: DataFrame, parent_mean: str, out: str) -> DataFrame:
     return groups.withColumn(out, (kappa * F.col(parent_mean) + F.col("good")) / total).withColumn("strength", total)
 
 
-def host_reputation(spark: SparkSession, pages: DataFrame, outcomes: DataFrame, ws: Workspace) -> DataFrame:
+def host_reputation(spark: SparkSession, pages: DataFrame, outcomes: DataFrame, ws: Workspace, two_label=TWO_LABEL_SUFFIXES) -> DataFrame:
     """Hosts with their posterior mean and deviation.
 
     ``pages`` has page_id and host; ``outcomes`` page_id and good (0 or 1).
     """
     seen = pages.join(outcomes.filter("good is not null").select("page_id", "good"), "page_id", "left")
     hosts = ws.put(seen.groupBy("host").agg(F.count("good").cast("double").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("good")), "hosts")
-    hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
+    hosts = hosts.withColumn("domain", domain_of(F.col("host"), two_label)).withColumn("suffix", suffix_of(F.col("host"), two_label))
     counts = (F.sum("n").alias("n"), F.sum("good").alias("good"))
     domains = ws.put(hosts.groupBy("domain", "suffix").agg(*counts), "domains")
     suffixes = domains.groupBy("suffix").agg(*counts)
@@ -100,12 +107,12 @@ def host_reputation(spark: SparkSession, pages: DataFrame, outcomes: DataFrame,
     return ws.put(hosts.select("host", "n", "mean", F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("strength") + 1)).alias("deviation")), "reputation")
 
 
-def filter_urls(spark: SparkSession, pages: DataFrame, outcomes: DataFrame, rules=RULES, min_good: float = 0.8, z: float = 1.0) -> DataFrame:
-    """page_id, host, path, rule and verdict, with the host's posterior."""
+def filter_urls(spark: SparkSession, pages: DataFrame, outcomes: DataFrame, rules=RULES, min_good: float = 0.8, z: float = 1.0, two_label=TWO_LABEL_SUFFIXES) -> DataFrame:
+    """page_id, host, path, rule and verdict, with the host's posterior; ``two_label`` lists suffixes of two labels."""
     ws = Workspace(spark, "url-filter")
     host, path = url_host(F.col("url")), url_path(F.col("url"))
     urls = pages.select(F.col("page_id"), host.alias("host"), path.alias("path"))
-    reputation = host_reputation(spark, urls.select("page_id", "host"), outcomes, ws)
+    reputation = host_reputation(spark, urls.select("page_id", "host"), outcomes, ws, two_label)
     judged = urls.withColumn("rule", rule_for(F.col("host"), F.col("path"), rules)).join(reputation, "host", "left")
     by_rule = F.lit(None).cast("string")
     for rule, verdict in rules:
@@ -139,12 +146,13 @@ SQL = rf"""
 WITH urls AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
          regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
-parts AS (SELECT *, string_split(host, '.') AS p FROM urls),
+parts AS (
+  SELECT *, string_split(regexp_replace(host, ':[0-9]*$', ''), '.') AS p, regexp_matches(regexp_replace(host, ':[0-9]*$', ''), '^[0-9]+([.][0-9]+){{3}}$') AS ip FROM urls),
 named AS (
-  SELECT page_id, host, path, array_to_string(p[-2:], '.') IN ({", ".join(f"'{x}'" for x in TWO_LABEL_SUFFIXES)}) AS two, p FROM parts),
+  SELECT page_id, host, path, ip, array_to_string(p[-2:], '.') IN ({", ".join(f"'{x}'" for x in TWO_LABEL_SUFFIXES)}) AS two, p FROM parts),
 keyed AS (
-  SELECT page_id, host, path, CASE WHEN two THEN array_to_string(p[-3:], '.') ELSE array_to_string(p[-2:], '.') END AS domain,
-         CASE WHEN two THEN array_to_string(p[-2:], '.') ELSE p[-1] END AS suffix FROM named),
+  SELECT page_id, host, path, CASE WHEN ip THEN array_to_string(p, '.') WHEN two THEN array_to_string(p[-3:], '.') ELSE array_to_string(p[-2:], '.') END AS domain,
+         CASE WHEN ip THEN '' WHEN two THEN array_to_string(p[-2:], '.') ELSE p[-1] END AS suffix FROM named),
 h0 AS (
   SELECT host, domain, suffix, count(quality)::DOUBLE AS n, coalesce(sum(quality), 0)::DOUBLE AS good
   FROM keyed LEFT JOIN labels ON page_id = doc_id GROUP BY ALL),
