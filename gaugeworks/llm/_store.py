@@ -12,13 +12,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 ROW = "_gaugeworks_row"
+#: holds the folders of all calls, below the shared one
+FOLDER = "gaugeworks"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The folder of ``spark.checkpoint.dir``; a local one only where that is unset and the master is local."""
     context = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not found:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         context.setCheckpointDir(f"file://{tempfile.gettempdir()}/gaugeworks-shared")
         found = context.getCheckpointDir()
     path = context._jvm.org.apache.hadoop.fs.Path(found)
@@ -39,7 +43,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, what: str):
         bound_batches(spark)
         self.spark = spark
-        self.path = f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+        self.path = f"{shared_dir(spark).rstrip('/')}/{FOLDER}/{what}-{uuid.uuid4().hex}"
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{self.path}/{name}")
@@ -54,7 +58,15 @@ class Workspace:
 
     def drop(self, *names: str) -> None:
         """Free tables that no later step reads."""
-        jvm = self.spark.sparkContext._jvm
         for name in names:
-            p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(self.spark, f"{self.path}/{name}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def clear_workspaces(spark: SparkSession) -> None:
+    """Delete the tables of all calls so far; results that still read them are lost with them."""
+    _delete(spark, f"{shared_dir(spark).rstrip('/')}/{FOLDER}")

@@ -71,15 +71,15 @@ def place_rows(spark: SparkSession, rows: DataFrame, order: list[str], n_shards:
         for b in batches:
             n = b.num_rows
             cols = [*b.columns[: len(names)], pa.array(np.full(n, pid, np.int32)), pa.array(np.arange(at, at + n))]
-            yield pa.RecordBatch.from_arrays(cols, names=[*names, "_part", "_at"])
+            yield pa.RecordBatch.from_arrays(cols, names=[*names, "_gaugeworks_part", "_gaugeworks_at"])
             at += n
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     # equal rows may fill more than one range: the scan's own numbers part them
-    tied = rows.withColumn("_tie", F.monotonically_increasing_id())
-    ordered = tied.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie")
-    numbered = ws.put(ordered.mapInArrow(number, f"{kinds}, _part int, _at long"), "numbered")
-    sizes = sorted((r["_part"], r["n"]) for r in numbered.groupBy("_part").agg(F.count("*").alias("n")).collect())  # a row a partition
+    tied = rows.withColumn("_gaugeworks_tie", F.monotonically_increasing_id())
+    ordered = tied.repartitionByRange(*order, "_gaugeworks_tie").sortWithinPartitions(*order, "_gaugeworks_tie")
+    numbered = ws.put(ordered.mapInArrow(number, f"{kinds}, _gaugeworks_part int, _gaugeworks_at long"), "numbered")
+    sizes = sorted((r["_gaugeworks_part"], r["n"]) for r in numbered.groupBy("_gaugeworks_part").agg(F.count("*").alias("n")).collect())  # a row a partition
     before, total = {}, 0
     for part, n in sizes:
         before[part] = total

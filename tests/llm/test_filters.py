@@ -74,6 +74,25 @@ def test_decontamination_counts_covered_words(spark):
     assert decontaminate.find_hits(spark, d, b.limit(0)).filter("n_hit > 0").count() == 0
 
 
+def test_parts_of_a_benchmark_are_bounded_and_windows_of_one_hash_are_told_apart(spark, monkeypatch):
+    item = " ".join(f"w{i}" for i in range(20))
+    bench = spark.createDataFrame([(i, item) for i in range(40)] + [(99, "short one"), (100, None), (None, item)], "item_id long, text string")
+    dealt, parts = decontaminate.item_parts(spark, bench, part_bytes=500)
+    sizes = [r["s"] for r in dealt.groupBy("part").agg(F.sum(F.octet_length("text") + 64).alias("s")).collect()]
+    assert len(parts) == len(sizes) > 20 and max(sizes) <= 500
+    docs = spark.createDataFrame([(1, f"x {item} y short one"), (None, item), (3, "z " * 400_000 + item), (4, None), (5, item + " short one")], "doc_id long, text string").withColumn("n_hit", F.lit("clash"))
+    one = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in decontaminate.find_hits(spark, docs, bench).collect()}
+    many = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in decontaminate.find_hits(spark, docs, bench, part_bytes=900).collect()}
+    assert one == many and one[1] == (24, 22, sorted([*map(str, range(40)), "99", "null"])) and one[3][:2] == (400_020, 20) and one[4] == (0, 0, [])
+    # all windows of a length get one hash: what is found has to stay the same
+    texts = ["a b c", "b c d e", "c d", "a b c d e f", "a b c"]
+    docs = ["x a b c d e f g", "c d e", "b c", "d c b a", "a b c a b c"]
+    plain = decontaminate.Grams(list(range(5)), texts, 3).scan(pa.array(docs))
+    monkeypatch.setattr(decontaminate, "window_hashes", lambda h, n: np.full(len(h), 7, np.uint64))
+    crowded = decontaminate.Grams(list(range(5)), texts, 3).scan(pa.array(docs))
+    assert [x.tolist() for x in plain[:2]] == [x.tolist() for x in crowded[:2]] and plain[2:] == crowded[2:] and plain[3][0] == ["0", "1", "2", "3", "4"]
+
+
 def test_toxicity_learns_what_is_held_out(spark):
     rnd = random.Random(2)
     good, bad = [f"g{i}" for i in range(200)], ["wretched", "awful", "vile"]
@@ -157,6 +176,16 @@ def test_url_parts_and_longest_rule(spark):
     assert got[None]["rule"] == "net/es/" and url_filter.filter_urls(spark, rows.limit(0), none).count() == 0
 
 
+def test_domains_of_ports_and_numbers(spark):
+    hosts = ["a.b.example.co.uk:8080", "10.1.3.4", "10.1.3.4:99", "x.example.com:8080", "", "com"]
+    df = spark.createDataFrame([(h,) for h in hosts], "h string")
+    got = [tuple(r) for r in df.select(url_filter.domain_of(F.col("h")), url_filter.suffix_of(F.col("h"))).collect()]
+    assert got == [("example.co.uk", "co.uk"), ("10.1.3.4", ""), ("10.1.3.4", ""), ("example.com", "com"), ("", ""), ("com", "com")]
+    pages = spark.createDataFrame([(1, "http://h.com/" + "p" * 1_000_000, "x"), (1, None, "y")], "page_id long, url string, host string")
+    out = url_filter.filter_urls(spark, pages, spark.createDataFrame([], "page_id long, good int"), two_label=("h.com",)).collect()
+    assert sorted(len(r["path"]) for r in out) == [0, 1_000_001] and {r["verdict"] for r in out} == {"allow"}
+
+
 def test_reputation_shrinks_hosts_to_their_domain(spark):
     pages, outcomes = [], []
     for i in range(600):
@@ -205,6 +234,38 @@ def two_domains(spark, n, share):
     return d, spark.createDataFrame(rows, "doc_id long, domain string")
 
 
+@pytest.mark.parametrize("other, rare", [("bb ee ff dd", 0.75), ("aa bb cc dd ee", 0.4)])
+def test_rates_are_the_least_squares_solution(spark, other, rare):
+    """Against a dense dual ascent on one machine: rates nearest to one, none negative, that meet the targets."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(["aa", "bb", "cc", "dd"] if i % 4 else other.split()) for _ in range(rng.randrange(3, 40)))) for i in range(120)] + [(200, None), (201, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "main" if i % 4 else "rare") for i in range(0, 120, 2)], "doc_id long, domain string")
+    fitted = mixing.fit(spark, docs, labels, {"main": 1 - rare, "rare": rare})
+    got = {r["doc_id"]: r for r in mixing.fitted_rates(fitted).collect()}
+    assert fitted.model.converged and got == {r["doc_id"]: r for r in mixing.document_rates(spark, docs, fitted.model).collect()}
+    n, p = (np.array([got[i][c] for i, _ in rows], float) for c in ("n_tokens", "posterior"))
+    goal, pull = np.array([1 - rare, rare]) * n.sum(), np.zeros(2)
+    step = 1 / np.linalg.eigvalsh((p * n[:, None]).T @ p)[-1]
+    for _ in range(50_000):
+        pull = pull + step * (goal - (p * (n * np.maximum(1 + p @ pull, 0))[:, None]).sum(axis=0))
+    dense = np.maximum(1 + p @ pull, 0)
+    assert np.allclose([got[i]["rate"] for i, _ in rows], dense, atol=0.01)
+    made = {r["doc_id"]: r["n"] for r in mixing.resample(spark, docs, fitted.model).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    assert all(made.get(i, 0) == got[i]["copies"] for i, _ in rows)
+    assert abs(sum(fitted.model.labelled) - 1) < 1e-9 and abs(sum(fitted.model.expected) - 1) < 1e-9
+
+
+def test_mixing_of_very_long_and_repeated_rows(spark):
+    rows = [(1, "aa " * 500_000, "x"), (1, "aa " * 500_000, "x"), (2, "bb", "y"), (None, "bb", "y"), (3, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rate string")
+    labels = spark.createDataFrame([(1, "a"), (2, "b"), (None, "a"), (77, "b")], "doc_id long, domain string")
+    model = mixing.fit_rates(spark, docs, labels, {"a": 0.9, "b": 0.1})
+    rates = [r for r in mixing.document_rates(spark, docs, model).collect() if r["doc_id"] == 1]
+    assert len(rates) == 2 and rates[0] == rates[1] and rates[0]["n_tokens"] == 500_000
+    assert mixing.resample(spark, docs, model).columns == docs.columns
+
+
 @pytest.mark.parametrize("share, target", [(0.005, 0.02), (0.002, 0.13)])
 def test_mixing_brings_a_rare_domain_to_its_target(spark, share, target):
     d, labelled = two_domains(spark, 2000, share)
@@ -239,7 +300,7 @@ def test_mixing_tells_targets_that_it_misses(spark, caplog):
     d = spark.createDataFrame([(i, "the same words") for i in range(40)], "doc_id long, text string")
     labelled = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(40)], "doc_id long, domain string")
     model = mixing.fit_rates(spark, d, labelled, {"a": 0.9, "b": 0.1})
-    assert np.allclose(model.wanted, [0.9, 0.1]) and np.allclose(model.reached, 0.5) and "misses its targets" in caplog.text
+    assert np.allclose(model.wanted, [0.9, 0.1]) and np.allclose(model.reached, 0.5, atol=0.15) and not model.converged and "misses its targets" in caplog.text
 
 
 def test_suffix_sums_answer_every_limit(spark):
@@ -319,6 +380,10 @@ def test_warc_round_trip(spark):
     assert {r["record_type"] for r in warc.read_bundles(index, folder).filter("payload_bytes < 5").collect()} == {"response"}
 
 
+def test_hadoop_schemes_name_the_same_store():
+    assert warc.SCHEMES["s3a"] == "s3" and warc.filesystem("file:///tmp")[1] == "/tmp"
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.integers(1, 5000), st.integers(1, 10**9))
 def test_permutation_is_one(n, key):
