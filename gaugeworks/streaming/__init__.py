@@ -1,23 +1,38 @@
-"""Plans over streams: each micro-batch is evaluated by the batch engine.
+"""Plans over streams: each micro-batch is summed by the batch engine.
 
-Plans keep no state between batches, so a batch that is replayed gives the same rows;
-totals over all batches follow by adding the exact sums that each batch writes.
+A batch writes its exact sums under its number, so that a batch that is replayed writes
+the same row again; totals over all batches follow by adding the sums.  Turn units only:
+a dialogue's rows may lie in several batches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.operators.metric import metric_table
+from gaugeworks.errors import PlanError
+from gaugeworks.operators.metric import added, metric_sums, valued
 from gaugeworks.plans.contracts import MetricPlan
 
 
-def metric_by_batch(plan: MetricPlan, sink: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that writes a batch's coverage and value under its number."""
+def metric_by_batch(plan: MetricPlan, sink: str, by: list[str] | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes a batch's sums under its number."""
+    if plan.unit != "turn":
+        raise PlanError("Units that span batches can't be summed batch by batch", unit=plan.unit)
 
     def write(batch: DataFrame, number: int) -> None:
-        metric_table(batch, plan).withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        metric_sums(batch, plan, by).write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
     return write
+
+
+def batch_table(spark: SparkSession, plan: MetricPlan, sink: str, by: list[str] | None = None) -> DataFrame:
+    """Coverage, value and violations of each batch."""
+    keys = ["batch", *(by or [])]
+    return valued(spark.read.parquet(sink), plan, keys)
+
+
+def total_table(spark: SparkSession, plan: MetricPlan, sink: str, by: list[str] | None = None) -> DataFrame:
+    """Coverage, value and violations over all batches: what the whole table would give."""
+    return valued(added(spark.read.parquet(sink).drop("batch"), by), plan, by)
