@@ -190,20 +190,28 @@ class Engine:
             "inputs": {r["name"]: r["sha256"] for r in files.select("name", "sha256").collect()},
             "layout": sinks.sha256_json(found.plan.to_dict()) if found else None,
             "plan": sinks.sha256_json(plan.to_dict()) if plan else None,
+            "canon": sinks.sha256_json(sinks.table_digest(state["canon"])) if found else None,
+            "published": sinks.sha256_json(sinks.table_digest(published.frame)) if published else None,
         }
         contract = publish.monitoring_contract(published, plan, report)
         if out:
+            sinks.reset_output(self.spark, out)
             if published:
                 sinks.write_table(published.frame, f"{out}/{published.variant}")
-            sinks.atomic_json(Path(out) / "report.json", report)
-            sinks.atomic_json(Path(out) / "monitoring.json", contract)
+                sheet_of = published.frame
+                if published.variant == "dialogue":
+                    sheet_of = sheet_of.withColumn("dialogue", publish.dialogue_literal(F.col("dialogue")))
+                sinks.write_workbook(sheet_of, f"{out}/{published.variant}.xlsx", published.variant)
+            sinks.atomic_json(f"{out}/report.json", report)
+            sinks.atomic_json(f"{out}/monitoring.json", contract)
         return RunResult(status, published, report, plan, contract)
 
 
 def main(argv: list[str] | None = None) -> int:
-    """``python -m gaugeworks.engine run FOLDER --proposals FILE [-o OUT]``: 0 also for what can't be evaluated."""
+    """``python -m gaugeworks.engine run FOLDER --proposals FILE [-o OUT]``: 0 also for what can't be evaluated, 5 where proposals fail, 1 for the unexpected."""
     import argparse
     import json
+    import traceback
 
     from gaugeworks.errors import ProposalError
     from gaugeworks.plans.proposals import Scripted
@@ -225,6 +233,9 @@ def main(argv: list[str] | None = None) -> int:
     except GaugeError as e:
         sinks.write_failure(a.out or f"{a.folder}/out", e)
         print(json.dumps(e.to_dict(), ensure_ascii=False, default=str))
+    except Exception:  # nothing that a package can be blamed for
+        traceback.print_exc()
+        return 1
     return 0
 
 

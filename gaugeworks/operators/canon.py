@@ -9,7 +9,7 @@ from gaugeworks.errors import LayoutError
 from gaugeworks.functions import scalars as S
 from gaugeworks.plans.layout import LayoutPlan, raw_names
 
-from .grouping import ROW, group_by_column, group_by_merges, unroll_cell, with_turn_index
+from .grouping import ROW, first_rows, group_by_column, group_by_merges, unroll_cell, with_turn_index
 from .ordering import number_rows
 
 _EXACT = float(1 << 53)
@@ -34,7 +34,7 @@ def _render(c: Column, kind) -> Column:
 
 def rendered_id(df: DataFrame, name: str) -> Column:
     c, kind = F.col(f"`{name}`"), df.schema[name].dataType
-    return F.trim(_render(c, kind)) if isinstance(kind, StringType) else _render(c, kind)
+    return S.strip(_render(c, kind)) if isinstance(kind, StringType) else _render(c, kind)
 
 
 def id_flags(df: DataFrame, name: str, scope: str | None = None) -> dict[str, object]:
@@ -71,7 +71,7 @@ def build_canon(df: DataFrame, plan: LayoutPlan, merges: DataFrame | None = None
         grouped, order = unroll_cell(df, c.column, c.question_marker, c.answer_marker, c.container), (ROW, "blob_turn")
     in_groups = plan.grouping != "none"
     if plan.weight:
-        bad = weight_violations(grouped, plan.weight).agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_list(ROW)), 1, 10).alias("rows")).first()
+        bad = first_rows(weight_violations(grouped, plan.weight), F.lit(True))
         if bad["n"]:
             raise LayoutError("Weights must be whole numbers from one on", invalid_count=bad["n"], rows=bad["rows"])
         kind = grouped.schema[plan.weight].dataType

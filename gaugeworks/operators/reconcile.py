@@ -72,7 +72,7 @@ def identity_candidates(df: DataFrame, columns: list[str], weight: str | None =
 
     out = means(rows, "qa")
     if group:
-        firsts = rows.groupBy("g", "i", "column_name").agg(F.min_by("x", "o").alias("x"), F.min_by("w", F.when(F.col("w").isNotNull(), F.col("o"))).alias("w"))
+        firsts = rows.groupBy("g", "i", "column_name").agg(F.min_by("x", F.when(F.col("x").isNotNull(), F.col("o"))).alias("x"), F.min_by("w", F.when(F.col("w").isNotNull(), F.col("o"))).alias("w"))
         out = out.union(means(firsts, "dialogue"))
     return out.filter("value is not null")
 

@@ -10,27 +10,22 @@ from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType
 from gaugeworks.functions import scalars as S
 from gaugeworks.plans.layout import CANONICAL
 
-from .grouping import ROW
+from .grouping import ROW, first_rows
 
 REQUIRED = ("query_id", "input_query", "output_answer")
 _METRIC_NAME = re.compile(r"\S+_metric|main_metric")
 
 
-def _rows(condition, most: int = 20):
-    return F.slice(F.array_sort(F.collect_list(F.when(condition, F.col(ROW)))), 1, most)
-
-
 def violations(canon: DataFrame) -> list[dict[str, object]]:
-    """All violations of the canonical table, as (check, column, count, rows)."""
+    """All violations of the canonical table, as (check, column, count, rows): the first 20 source rows of each."""
     missing = [c for c in REQUIRED if c not in canon.columns]
     if missing:
         return [{"check": "missing_column", "column": c, "count": 1, "rows": []} for c in missing]
-    found = []
-    aggs, names = [], []
+    names, tests = [], []
     for c in ("query_id", "input_query"):
         bad = S.blank(F.col(c), canon.schema[c].dataType)
         names.append(("blank", c))
-        aggs += [F.count_if(bad), _rows(bad)]
+        tests.append(bad)
     for f in canon.schema.fields:
         if f.name in CANONICAL or not _METRIC_NAME.fullmatch(f.name):
             continue
@@ -40,21 +35,23 @@ def violations(canon: DataFrame) -> list[dict[str, object]]:
         else:
             bad = F.lit(not isinstance(f.dataType, NumericType) or isinstance(f.dataType, BooleanType)) & c.isNotNull()
         names.append(("metric_not_finite", f.name))
-        aggs += [F.count_if(bad), _rows(bad)]
-    r = canon.agg(*(a.alias(f"a{i}") for i, a in enumerate(aggs))).first()
-    found += [{"check": k, "column": c, "count": r[2 * i], "rows": r[2 * i + 1]} for i, (k, c) in enumerate(names) if r[2 * i]]
+        tests.append(bad)
+    r = canon.agg(*(F.count_if(t).alias(f"a{i}") for i, t in enumerate(tests))).first()
+    found = [{"check": k, "column": c, "count": r[i], "rows": first_rows(canon, tests[i], 20)["rows"]} for i, (k, c) in enumerate(names) if r[i]]
     return found + _duplicates(canon) + _turns(canon)
 
 
 def duplicate_ids(canon: DataFrame) -> DataFrame:
-    """(session_id, query_id, n) of ids that repeat; sessions part ids where rows are grouped."""
+    """(session_id, query_id, n, first_row) of ids that repeat; sessions part ids where rows are grouped."""
     keys = ["session_id", "query_id"] if "reference_group_id" in canon.columns else ["query_id"]
-    return canon.filter("query_id is not null").groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+    return canon.filter("query_id is not null").groupBy(*keys).agg(F.count("*").alias("n"), F.min(ROW).alias("first_row")).filter("n > 1")
 
 
 def _duplicates(canon: DataFrame) -> list[dict[str, object]]:
-    n = duplicate_ids(canon).count()
-    return [{"check": "duplicate_id", "column": "query_id", "count": n, "rows": []}] if n else []
+    found = duplicate_ids(canon)
+    n = found.count()
+    rows = [r[0] for r in found.select("first_row").orderBy("first_row").limit(20).collect()] if n else []
+    return [{"check": "duplicate_id", "column": "query_id", "count": n, "rows": rows}] if n else []
 
 
 def turn_faults(canon: DataFrame) -> DataFrame:

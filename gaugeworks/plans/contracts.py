@@ -129,7 +129,7 @@ LAYOUT = record(
         "dialogue_blob": either(NULL, record({"column": ADDRESS, "container": one_of("python_list", "plain_text"), "question_marker": text(), "answer_marker": text()})),
         "weight": _MAYBE,
     },
-    {"layout_version": text(), "first_data_row": integer(1), "last_data_row": integer(1), "evidence": mapping(text())},
+    {"layout_version": text(r"(^|-)layout\.v1$"), "first_data_row": integer(1), "last_data_row": integer(1), "evidence": mapping(text())},
 )
 
 MEASUREMENT = record(
@@ -151,7 +151,7 @@ MEASUREMENT = record(
         "reported_value": either(NULL, record({"value": _DECIMAL, "raw": text(), "span_id": _SPAN_ID})),
         "evidence": record({f: listed(_SPAN_ID, unique=True) for f in EVIDENCE}),
     },
-    {"plan_version": text()},
+    {"plan_version": text(r"(^|-)measurement-plan\.v2$")},
 )
 
 

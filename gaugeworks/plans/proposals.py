@@ -35,14 +35,15 @@ class Scripted:
 
 
 def extract_json(content: str) -> dict:
-    """The object of the first fenced block, else the first object in the text."""
-    fenced = re.search(r"```(?:json)?\s*(\{.*?\})\s*```", content, re.S)
-    text = fenced[1] if fenced else content[content.find("{"):] if "{" in content else ""
-    try:
-        out, _ = json.JSONDecoder().raw_decode(text)
-    except ValueError as e:
-        raise StructuredOutputError("The reply holds no JSON object", reason=str(e)) from None
-    return out
+    """The first object that a fenced block holds, else the first one in the text."""
+    starts = [m.end() for m in re.finditer(r"```[^\S\n]*\w*\s*(?=\{)", content)]
+    decoder, reason = json.JSONDecoder(), "no brace"
+    for at in [*starts, *(m.start() for m in re.finditer(r"\{", content))]:
+        try:
+            return decoder.raw_decode(content, at)[0]
+        except ValueError as e:
+            reason = str(e)
+    raise StructuredOutputError("The reply holds no JSON object", reason=reason)
 
 
 def bounded(payload: object, limit: int = PAYLOAD_CHARS) -> str:
@@ -66,6 +67,10 @@ def prove(source: ProposalSource, task: str, evidence: dict, check: Callable[[di
             if turn == turns - 1:
                 raise
             feedback.append(e.to_dict())
+        except (ArithmeticError, AttributeError, LookupError, TypeError, ValueError) as e:  # a proposal of an unforeseen shape
+            if turn == turns - 1:
+                raise StructuredOutputError("The proposal can't be read", kind=type(e).__name__, reason=str(e)) from e
+            feedback.append({"reason_code": StructuredOutputError.reason_code, "message": "The proposal can't be read", "details": {"kind": type(e).__name__, "reason": str(e)}})
     raise StructuredOutputError("No turns are left")
 
 

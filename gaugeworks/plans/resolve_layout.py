@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gaugeworks.errors import LayoutError
 from gaugeworks.functions import scalars as S
+from gaugeworks.operators.grouping import ROW, first_rows
 from gaugeworks.operators.region import build_region, header_names, header_parts, is_vertical_aggregate
 from gaugeworks.sources.workbook import Workbook
 
@@ -209,6 +210,6 @@ def _prove_weight(sheet: Workbook, column: int, first: int, last: int) -> None:
     value = S.parse_number(F.col("s"))
     bad = (F.col("kind") == "b") | S.bad_number(F.col("s")) | (value < 1) | (value != F.floor(value))
     rows = sheet.cells.filter(inside & ~S.blank(F.col("s")) & F.coalesce(bad, F.lit(True))).select("row").union(sheet.formulas.filter(inside).select("row")).distinct()
-    r = rows.agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_list(F.col("row") + 1)), 1, 10).alias("rows")).first()
+    r = first_rows(rows.select((F.col("row") + 1).alias(ROW)), F.lit(True))
     if r["n"]:
         raise LayoutError("Weights must be stored whole numbers from one on", invalid_count=r["n"], rows=r["rows"])

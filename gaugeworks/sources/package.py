@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import re
 import zipfile
 from collections.abc import Iterator
@@ -98,3 +99,39 @@ def resolve_port(port: str, paths: list[str]) -> tuple[str, str]:
         raise PackageError("A port takes exactly one artifact", port=port, kinds=list(kinds), found=seen)
     suffix = seen[0].rsplit(".", 1)[-1].lower()
     return seen[0], kept.rsplit(".", 1)[0] + "." + suffix
+
+
+def port_files(spark: SparkSession, folder: str) -> list[str]:
+    """Files at any depth below a port's folder, relative to it; the driver lists names only."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(conf)
+    top = fs.makeQualified(root).toString().rstrip("/")
+    found, out = fs.listFiles(root, True), []
+    while found.hasNext():
+        out.append(found.next().getPath().toString().removeprefix(top + "/"))
+    return sorted(out)
+
+
+def prepare_package(spark: SparkSession, ports: dict[str, str], out: str, name: str) -> str:
+    """Copy the one artifact of each port under its agreed name into a package folder; returns the folder."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = f"{out.rstrip('/')}/{package_name(name)}"
+    for port, source in ports.items():
+        found, kept = resolve_port(port, port_files(spark, source))
+        a, b = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{source.rstrip('/')}/{found}", f"{folder}/{kept}"))
+        jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, True, conf)
+    return folder
+
+
+#: what a settings file may say (fixed keys)
+SETTINGS = ("model", "sheet")
+
+
+def read_settings(spark: SparkSession, path: str) -> dict[str, str]:
+    """Operator settings from a small JSON object; unknown keys are refused."""
+    said = json.loads(spark.read.text(path, wholetext=True).first()[0])
+    unknown = sorted(set(said) - set(SETTINGS))
+    if unknown:
+        raise PackageError("Unknown settings", settings=unknown)
+    return {k: str(v) for k, v in said.items() if v not in (None, "")}

@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import hashlib
-import io
+import itertools
 import json
 import os
+import re
 import tempfile
+import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
+from typing import BinaryIO
 from xml.sax.saxutils import escape
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
+from gaugeworks.errors import NotEvaluable
 from gaugeworks.functions.scalars import column_letters
 
 
@@ -31,21 +36,53 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         df.write.mode(mode).format(fmt).save(path)
 
 
+def put_file(path: str | Path, write: Callable[[BinaryIO], None]) -> None:
+    """A file that is there whole or not at all; a path with a scheme is written through Hadoop's file systems."""
+    if "://" not in str(path):
+        path = Path(path)
+        path.parent.mkdir(parents=True, exist_ok=True)
+        fd, temp = tempfile.mkstemp(dir=path.parent)
+        with os.fdopen(fd, "wb") as f:
+            write(f)
+        os.replace(temp, path)
+        return
+    context = SparkSession.active().sparkContext
+    to = context._jvm.org.apache.hadoop.fs.Path(str(path))
+    temp = context._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    fs = to.getFileSystem(context._jsc.hadoopConfiguration())
+    with tempfile.TemporaryFile() as f:
+        write(f)
+        f.seek(0)
+        out = fs.create(temp, True)
+        for piece in iter(lambda: f.read(1 << 20), b""):
+            out.write(piece)
+        out.close()
+    fs.delete(to, False)
+    if not fs.rename(temp, to):
+        raise OSError(f"{temp} can't be renamed to {path}")
+
+
 def atomic_json(path: str | Path, payload: object) -> None:
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    fd, temp = tempfile.mkstemp(dir=path.parent)
-    with os.fdopen(fd, "w", encoding="utf-8") as f:
-        json.dump(payload, f, ensure_ascii=False, indent=2)
-    os.replace(temp, path)
+    put_file(path, lambda f: f.write(json.dumps(payload, ensure_ascii=False, indent=2, default=str).encode()))
 
 
 def write_failure(folder: str | Path, error) -> None:
-    atomic_json(Path(folder) / "failure.json", error.to_dict())
+    atomic_json(f"{folder}/failure.json", error.to_dict())
+
+
+def reset_output(spark: SparkSession, folder: str) -> None:
+    """Delete what an earlier run has left in a folder, the folder too."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(folder))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: rows of a sheet (fixed value), and characters that a sheet's text can't hold
+SHEET_ROWS = 1 << 20
+_UNFIT = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]")
 
 
 def write_workbook(df: DataFrame, path: str | Path, title: str = "Sheet1") -> int:
-    """One sheet, for results that fit in one; rows stream to the file. Text stays text."""
+    """One sheet, for results that fit in one; rows stream through the driver to the file. Text stays text."""
     def cell(ref: str, v: object) -> str:
         if v is None or v != v:
             return ""
@@ -53,30 +90,35 @@ def write_workbook(df: DataFrame, path: str | Path, title: str = "Sheet1") -> in
             return f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
         if isinstance(v, (int, float)) or hasattr(v, "as_tuple"):
             return f'<c r="{ref}"><v>{float(v) if hasattr(v, "as_tuple") else v!r}</v></c>'
-        return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>'
+        return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(_UNFIT.sub("", str(v)))}</t></is></c>'
 
     main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
     rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     pkg = "http://schemas.openxmlformats.org/package/2006"
-    sheet = io.StringIO()
-    sheet.write(f'<worksheet xmlns="{main}"><sheetData>')
-    n = 0
-    for n, row in enumerate([tuple(df.columns), *map(tuple, df.toLocalIterator())], 1):
-        sheet.write(f'<row r="{n}">' + "".join(cell(f"{column_letters(i)}{n}", v) for i, v in enumerate(row)) + "</row>")
-    sheet.write("</sheetData></worksheet>")
     parts = {
         "[Content_Types].xml": f'<Types xmlns="{pkg}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>',
         "_rels/.rels": f'<Relationships xmlns="{pkg}/relationships"><Relationship Id="rId1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
         "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets><sheet name="{escape(title)}" sheetId="1" r:id="rId1"/></sheets></workbook>',
         "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{pkg}/relationships"><Relationship Id="rId1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
-        "xl/worksheets/sheet1.xml": sheet.getvalue(),
     }
-    temp = Path(path).with_suffix(".tmp")
-    with zipfile.ZipFile(temp, "w", zipfile.ZIP_DEFLATED) as z:
-        for name, text in parts.items():
-            z.writestr(name, text)
-    os.replace(temp, path)
-    return n - 1
+    rows = 0
+
+    def write(f: BinaryIO) -> None:
+        nonlocal rows
+        with zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
+            for name, text in parts.items():
+                z.writestr(name, text)
+            with z.open("xl/worksheets/sheet1.xml", "w", force_zip64=True) as sheet:
+                sheet.write(f'<worksheet xmlns="{main}"><sheetData>'.encode())
+                for n, row in enumerate(itertools.chain([tuple(df.columns)], map(tuple, df.toLocalIterator())), 1):
+                    if n > SHEET_ROWS:
+                        raise NotEvaluable("The table doesn't fit in a sheet", rows=SHEET_ROWS)
+                    sheet.write((f'<row r="{n}">' + "".join(cell(f"{column_letters(i)}{n}", v) for i, v in enumerate(row)) + "</row>").encode())
+                    rows = n - 1
+                sheet.write(b"</sheetData></worksheet>")
+
+    put_file(path, write)
+    return rows
 
 
 def sha256_json(payload: object) -> str:
@@ -96,3 +138,11 @@ def frame_digest(df: DataFrame, order: str, columns: list[str] | None = None, bl
     ordered = lambda value, key: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, value))), lambda x: x[value]), "\x1f")
     blocks = cells.groupBy("column_name", F.floor(F.col("n") / block).alias("b")).agg(F.sha2(ordered("v", "n"), 256).alias("d"))
     return blocks.groupBy("column_name").agg(F.sha2(ordered("d", "b"), 256).alias("digest"))
+
+
+def table_digest(df: DataFrame) -> dict[str, object]:
+    """Rows of a table and two sums over them that don't depend on their order; one aggregate."""
+    text = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)))
+    sums = (F.coalesce(F.bit_xor(F.xxhash64(text, F.lit(i))), F.lit(0)).alias(f"x{i}") for i in range(2))
+    r = df.agg(F.count("*").alias("rows"), *sums).first()
+    return {"columns": df.columns, "rows": r["rows"], "sums": [r["x0"], r["x1"]]}

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeworks.errors import ReadError
-from gaugeworks.functions.scalars import column_index
+from gaugeworks.functions.scalars import column_index, column_letters
 
 PART = "part string, sheet string, sheet_no int, row int, col int, row2 int, col2 int, kind string, s string"
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
@@ -55,6 +55,23 @@ def _number(text: str) -> str:
     return str(int(x)) if x == int(x) and abs(x) < 1 << 53 else repr(x)
 
 
+_CELL = re.compile(r"'[^']*'!?|\"[^\"]*\"|(?<![A-Za-z0-9_.$])(\$?)([A-Z]{1,3})(\$?)([0-9]+)(?![A-Za-z0-9_(.])")
+_COLUMNS = re.compile(r"(?<![A-Za-z0-9_.$])(\$?)([A-Z]{1,3}):(\$?)([A-Z]{1,3})(?![A-Za-z0-9_(])")
+
+
+def shifted(formula: str, rows: int, columns: int) -> str:
+    """A formula as it reads some rows and columns further on; marked references stay."""
+    letters = lambda mark, c: mark + (c if mark else column_letters(max(0, column_index(c) + columns)))
+
+    def cell(m: re.Match) -> str:
+        if m[2] is None:  # quoted text or a sheet's name
+            return m[0]
+        return letters(m[1], m[2]) + m[3] + (m[4] if m[3] else str(max(1, int(m[4]) + rows)))
+
+    moved = _COLUMNS.sub(lambda m: f"{letters(m[1], m[2])}:{letters(m[3], m[4])}", formula) if columns else formula
+    return _CELL.sub(cell, moved)
+
+
 def parse_workbook(content: bytes) -> Iterator[tuple]:
     """Rows of PART from a workbook's bytes."""
     z = zipfile.ZipFile(io.BytesIO(content))
@@ -82,6 +99,7 @@ def parse_workbook(content: bytes) -> Iterator[tuple]:
             (r1, c1), (r2, c2) = _address(a), _address(b or a)
             yield "merge", title, no, r1, c1, r2, c2, None, None
         row_no = -1
+        common: dict[str, tuple[str, int, int]] = {}  # formulas that several cells share, with the place of the first
         for row in root.findall("m:sheetData/m:row", _NS):
             row_no = int(row.get("r", row_no + 2)) - 1
             col_no = -1
@@ -89,7 +107,14 @@ def parse_workbook(content: bytes) -> Iterator[tuple]:
                 col_no = _address(c.get("r"))[1] if c.get("r") else col_no + 1
                 f, v, kind = c.find("m:f", _NS), c.find("m:v", _NS), c.get("t", "n")
                 if f is not None:
-                    yield "formula", title, no, row_no, col_no, None, None, None, "=" + (f.text or "")
+                    said = f.text or ""
+                    if f.get("t") == "shared":
+                        if said:
+                            common[f.get("si")] = said, row_no, col_no
+                        elif f.get("si") in common:
+                            first, r0, c0 = common[f.get("si")]
+                            said = shifted(first, row_no - r0, col_no - c0)
+                    yield "formula", title, no, row_no, col_no, None, None, None, "=" + said
                 text = whole(c.find("m:is", _NS)) if kind == "inlineStr" else None if v is None else v.text
                 if text is None or text == "":
                     continue

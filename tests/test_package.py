@@ -1,5 +1,6 @@
 """Workbooks, documents, resolvers and a whole package run."""
 
+import io
 import json
 import zipfile
 from decimal import Decimal
@@ -9,13 +10,15 @@ from pyspark.sql import functions as F
 
 from gaugeworks.engine import Engine
 from gaugeworks.errors import GaugeError, LayoutError, NotEvaluable, PackageError, PlanError, StructuredOutputError
+from gaugeworks.operators import grouping, reconcile
+from gaugeworks.operators.metric import checked_table, metric_table
 from gaugeworks.operators.region import build_region, deduped, header_names, header_parts, is_vertical_aggregate
 from gaugeworks.plans import contracts, proposals
 from gaugeworks.plans.layout import LayoutPlan
 from gaugeworks.plans.resolve_layout import resolve_layout
 from gaugeworks.plans.resolve_measurement import canonical_score, prove_reducer, prove_sources, reported_for, resolve_measurement
 from gaugeworks.sources import documents, package, sinks, workbook
-from gaugeworks.streaming import metric_by_batch
+from gaugeworks.streaming import batch_table, metric_by_batch, total_table
 
 MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 
@@ -223,7 +226,7 @@ def test_missing_policies_need_evidence(spark):
     assert resolve_measurement(with_proof, rows, plan, SPANS, "CI042").missing_policy == "zero"
 
 
-def test_scores_reducers_and_reports():
+def test_scores_reducers_and_reports(spark):
     s = lambda role, c="A", n="numeric": {"column_id": c, "role": role, "normalization": n, "polarity": "direct"}
     assert canonical_score("mean_criteria", [s("criterion")])[0] == "identity"
     assert canonical_score("majority", [s("assessor_vote")])[0] == "majority"
@@ -232,7 +235,7 @@ def test_scores_reducers_and_reports():
         with pytest.raises(NotEvaluable):
             prove_sources(method, sources)
     spans = [("doc-3:p0001", "doc-3", "Macro"), ("doc-3:p0002", "doc-3", "71,5%"), ("doc-3:p0003", "doc-3", "Weighted"), ("doc-3:p0004", "doc-3", "we publish the weighted figure")]
-    assert reported_for("mean", "ratio", spans, "doc-3") == [{"value": "0.715", "raw": "71,5%", "span_id": "doc-3:p0002", "label_span_id": "doc-3:p0001"}]
+    assert reported_for(spark, "mean", "ratio", spans, "doc-3") == [{"value": "0.715", "raw": "71,5%", "span_id": "doc-3:p0002", "label_span_id": "doc-3:p0001"}]
     prove_reducer("frequency_weighted_mean", ("doc-3:p0004",), spans, "doc-3")
     for reducer, cited in [("mean", ("doc-3:p0001",)), ("frequency_weighted_mean", ("doc-3:p0001", "doc-3:p0004")), ("frequency_weighted_mean", ("doc-3:p0003",))]:
         with pytest.raises(NotEvaluable):
@@ -270,7 +273,64 @@ def test_sinks_and_stream(spark, tmp_path):
     plan = contracts.MetricPlan("m", "identity", (contracts.Source("x"),))
     q = spark.readStream.schema(df.schema).parquet(str(tmp_path / "stream")).writeStream.foreachBatch(metric_by_batch(plan, str(tmp_path / "sums"))).option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
     q.awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "sums")).first()["value"] == 0.75
+    metric_by_batch(plan, str(tmp_path / "sums"))(df.withColumn("x", F.lit(0.0)), 7)
+    assert {r["batch"]: r["value"] for r in batch_table(spark, plan, str(tmp_path / "sums")).collect()} == {0: 0.75, 7: 0.0}
+    total, whole = total_table(spark, plan, str(tmp_path / "sums")), metric_table(df.union(df.withColumn("x", F.lit(0.0))), plan)
+    assert total.columns == whole.columns and total.first() == whole.first() and total.first()["value"] == 0.375
+    with pytest.raises(PlanError):
+        metric_by_batch(contracts.MetricPlan("m", "identity", (contracts.Source("x"),), unit="dialogue"), str(tmp_path))
+    sinks.write_workbook(spark.createDataFrame([("a\x01b",)], "t string"), f"file://{tmp_path}/odd.xlsx")
+    assert workbook.read_workbook(spark, str(tmp_path / "odd.xlsx")).cells.filter("row = 1").first()["s"] == "ab"
+
+
+def test_shared_formulas_are_those_of_each_cell():
+    assert workbook.shifted("SUM(A1:$B$2)+C$3*$D4&\"A1\"&'A1 x'!E5+LOG10(F6)", 2, 1) == "SUM(B3:$B$2)+D$3*$D6&\"A1\"&'A1 x'!F7+LOG10(G8)"
+    assert workbook.shifted("SUM(A:B,$C:$C)", 3, 2) == "SUM(C:D,$C:$C)"
+    sheet = '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData><row r="1"><c r="C1"><f t="shared" ref="C1:C2" si="0">SUM(A1:A9)</f><v>1</v></c></row><row r="2"><c r="C2"><f t="shared" si="0"/><v>2</v></c></row></sheetData></worksheet>'
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w") as z:
+        z.writestr("xl/workbook.xml", '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="S" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>')
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+    found = {(p[3], p[4]): p[8] for p in workbook.parse_workbook(raw.getvalue()) if p[0] == "formula"}
+    assert found == {(0, 2): "=SUM(A1:A9)", (1, 2): "=SUM(A2:A10)"}
+
+
+def test_ports_settings_and_later_fences(spark, tmp_path):
+    (tmp_path / "report/deep").mkdir(parents=True)
+    (tmp_path / "report/deep/v.docx").write_bytes(b"PK")
+    (tmp_path / "report/.hidden.docx").write_bytes(b"PK")
+    assert package.port_files(spark, str(tmp_path / "report")) == [".hidden.docx", "deep/v.docx"]
+    made = package.prepare_package(spark, {"validation_report": str(tmp_path / "report")}, str(tmp_path / "out"), "set one")
+    assert (tmp_path / "out/set-one/validation_report.docx").exists() and made.endswith("/set-one")
+    (tmp_path / "s.json").write_text('{"sheet": "Data", "model": null}')
+    assert package.read_settings(spark, str(tmp_path / "s.json")) == {"sheet": "Data"}
+    assert proposals.extract_json("```text\n{no}\n```\nthen ```json\n{\"a\": {\"b\": 1}}\n```") == {"a": {"b": 1}}
+
+    def check(proposal):
+        return proposal["missing"]
+
+    with pytest.raises(StructuredOutputError):
+        proposals.prove(proposals.Scripted({}, {}), "layout", {}, check, turns=2)
+
+
+def test_tables_show_what_breaks_a_plan(spark):
+    p = contracts.MetricPlan("m", "identity", (contracts.Source("s"),), weight="w")
+    df = spark.createDataFrame([("a", "1", "-3"), ("a", "abc", "1"), ("b", "1", "2.4"), ("c", "1e-20", "1"), ("d", "1e1", "2")], "g string, s string, w string")
+    got = {r["g"]: r for r in metric_table(df, p, ["g"]).collect()}
+    assert got["a"]["value"] is None and (got["a"]["broken"], got["a"]["bad_weight"], got["a"]["missing"]) == (1, 1, 1)
+    assert got["b"]["value"] is None and got["b"]["bad_weight"] == 1 and got["c"]["broken"] == 1 and got["d"]["value"] == 10
+    with pytest.raises(PlanError):
+        checked_table(df, p, ["g"])
+    assert checked_table(df.filter("g = 'd'"), p, ["g"]).first()["value"] == 10
+
+
+def test_first_values_of_groups_and_white_space(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "a", 1.0), (3, "b", 0.0)], "source_row_id long, g string, x double")
+    got = {(r["assessment_mode"], r["reducer"]): r["value"] for r in reconcile.identity_candidates(df, ["x"], group="g").collect()}
+    assert got[("dialogue", "mean")] == 0.5
+    rows = spark.createDataFrame([(1, "A"), (2, "A\t"), (3, "\u00a0B"), (4, "B\n"), (5, " \t")], "source_row_id long, k string")
+    assert [r["group_index"] for r in grouping.group_by_column(rows, "k").orderBy("source_row_id").collect()] == [0, 0, 1, 1, 1]
 
 
 def test_sheet_evidence_is_whole(spark, tmp_path):
