@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gaugeworks.functions import scalars as S
 from gaugeworks.operators import grouping, profile, publish, reconcile, validate
 from gaugeworks.operators.canon import build_canon, weight_violations
-from gaugeworks.operators.metric import evaluate, metric_table, units, with_scores
+from gaugeworks.operators.metric import VIOLATIONS, evaluate, metric_table as guarded_table, units, with_scores
 from gaugeworks.plans.contracts import MetricPlan, Source
 from gaugeworks.plans.layout import LayoutPlan
 from gaugeworks.sources import documents as docs_source
@@ -35,6 +35,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def metric_table(df: DataFrame, plan: MetricPlan, by: list[str] | None = None) -> DataFrame:
+    """The table without its violation counts: a value that is there had none."""
+    return guarded_table(df, plan, by).drop(*VIOLATIONS)
+
+
 def _plan(method: str, *sources: Source, **more) -> MetricPlan:
     return MetricPlan("km", method, sources, **more)
 
@@ -429,6 +434,9 @@ def normalize_slug(spark, sf):
     return p.select("p_partkey", S.normalize_key(F.concat(F.lit("  "), F.col("p_name"), F.lit("\n"))).alias("name_key"), S.slug(F.col("p_type")).alias("type_slug"))
 
 
+from gaugeworks import queries_rules  # noqa: E402,F401  (registers its own)
+
+
 def queries() -> dict[str, Query]:
     return {name: q for name, (q, _) in CATALOGUE.items()}
 

@@ -7,6 +7,8 @@ a dialogue's rows may lie in several batches.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,3 +38,22 @@ def batch_table(spark: SparkSession, plan: MetricPlan, sink: str, by: list[str]
 def total_table(spark: SparkSession, plan: MetricPlan, sink: str, by: list[str] | None = None) -> DataFrame:
     """Coverage, value and violations over all batches: what the whole table would give."""
     return valued(added(spark.read.parquet(sink).drop("batch"), by), plan, by)
+
+
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new folder below the one that ``spark.checkpoint.dir`` names; a local one only on a local master."""
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        shared = f"file://{tempfile.gettempdir()}/gaugeworks-streams"
+    return f"{shared.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+def stream_files(spark: SparkSession, path: str) -> DataFrame:
+    """A stream over the Parquet files of a folder, or over a single file, a file a batch."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    whole = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(path) if whole else reader.option("pathGlobFilter", p.getName()).parquet(p.getParent().toString())
