@@ -2,6 +2,7 @@
 
 from pathlib import Path
 
+import pandas as pd
 import pytest
 
 from gaugeworks.llm import registry
@@ -10,7 +11,7 @@ SF = Path("/root/testdata/sf0.001")
 
 
 def rows(frame, columns):
-    plain = lambda v: "" if v is None or v != v else float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
+    plain = lambda v: "" if pd.isna(v) else float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
     return sorted(tuple(map(str, map(plain, r))) for r in frame[columns].astype(object).itertuples(index=False))
 
 
