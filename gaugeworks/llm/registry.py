@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embedding_dedup, jaccard_join, mixing, sharding, substring_dedup, token_counts, toxicity, url_filter, warc
+from . import decontaminate, embedding_dedup, jaccard_join, mixing, prefix_trie, sharding, substring_dedup, token_counts, toxicity, url_filter, warc
 
 _MODULES = {
     "op1_substring_dedup": substring_dedup,
@@ -19,6 +19,7 @@ _MODULES = {
     "op8_embedding_dedup": embedding_dedup,
     "op9_url_filter": url_filter,
     "op10_sharding": sharding,
+    "op11_prefix_trie": prefix_trie,
 }
 
 

@@ -20,7 +20,7 @@ def rows(frame, columns):
 def test_query_matches_its_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     expected = con.execute(registry.oracle_sql()[name]).df()
     got = registry.queries()[name](spark, str(SF)).toPandas()
