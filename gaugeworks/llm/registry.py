@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embedding_dedup, jaccard_join, mixing, prefix_trie, sharding, substring_dedup, token_counts, toxicity, url_filter, warc
+from . import decontaminate, embedding_dedup, hard_negatives, jaccard_join, language_id, mixing, prefix_trie, sharding, substring_dedup, token_counts, toxicity, url_filter, warc
 
 _MODULES = {
     "op1_substring_dedup": substring_dedup,
@@ -20,6 +20,8 @@ _MODULES = {
     "op9_url_filter": url_filter,
     "op10_sharding": sharding,
     "op11_prefix_trie": prefix_trie,
+    "op12_hard_negatives": hard_negatives,
+    "op13_language_id": language_id,
 }
 
 
