@@ -1,8 +1,8 @@
 """Plans over streams: each micro-batch is summed by the batch engine.
 
 A batch writes its exact sums under its number, so that a batch that is replayed writes
-the same row again; totals over all batches follow by adding the sums.  Turn units only:
-a dialogue's rows may lie in several batches.
+the same row again; totals over all batches follow by adding the sums.  Dialogues, whose
+rows may lie in several batches, are summed in :mod:`gaugeworks.streaming.dialogues`.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from gaugeworks.plans.contracts import MetricPlan
 def metric_by_batch(plan: MetricPlan, sink: str, by: list[str] | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that writes a batch's sums under its number."""
     if plan.unit != "turn":
-        raise PlanError("Units that span batches can't be summed batch by batch", unit=plan.unit)
+        raise PlanError("Units that span batches need start_dialogue_metric", unit=plan.unit)
 
     def write(batch: DataFrame, number: int) -> None:
         metric_sums(batch, plan, by).write.mode("overwrite").parquet(f"{sink}/batch={number}")
@@ -45,7 +45,7 @@ def scratch(spark: SparkSession, what: str) -> str:
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not shared:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local[") and context.master != "local":
             raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         shared = f"file://{tempfile.gettempdir()}/gaugeworks-streams"
     return f"{shared.rstrip('/')}/{what}-{uuid.uuid4().hex}"
