@@ -17,7 +17,7 @@ from gaugeworks.plans.layout import LayoutPlan, raw_names
 from gaugeworks.plans.proposals import ProposalSource, first_sheet_that_proves, prove
 from gaugeworks.plans.resolve_layout import Resolved, resolve_layout, unrolled
 from gaugeworks.plans.resolve_measurement import resolve_measurement
-from gaugeworks.sources import documents, package, sinks, workbook
+from gaugeworks.sources import documents, package, releases, sinks, workbook
 
 
 @dataclass(frozen=True)
@@ -27,6 +27,7 @@ class RunResult:
     report: dict[str, object]
     plan: MetricPlan | None
     contract: dict[str, object]
+    release: releases.Release | None = None
 
 
 class Engine:
@@ -194,17 +195,23 @@ class Engine:
             "published": sinks.sha256_json(sinks.table_digest(published.frame)) if published else None,
         }
         contract = publish.monitoring_contract(published, plan, report)
-        if out:
-            sinks.reset_output(self.spark, out)
-            if published:
-                sinks.write_table(published.frame, f"{out}/{published.variant}")
-                sheet_of = published.frame
-                if published.variant == "dialogue":
-                    sheet_of = sheet_of.withColumn("dialogue", publish.dialogue_literal(F.col("dialogue")))
-                sinks.write_workbook(sheet_of, f"{out}/{published.variant}.xlsx", published.variant)
-            sinks.atomic_json(f"{out}/report.json", report)
-            sinks.atomic_json(f"{out}/monitoring.json", contract)
-        return RunResult(status, published, report, plan, contract)
+        released = self._release(out, published, report, contract) if out else None
+        return RunResult(status, published, report, plan, contract, released)
+
+    def _release(self, out: str, published: publish.Published | None, report: dict, contract: dict) -> releases.Release:
+        """Stage everything, then make it the current release of the folder in one step; other files there stay."""
+        draft = releases.Releases(self.spark, out).begin()
+        if published:
+            draft.put_table(published.variant, published.frame)
+            sheet_of = draft.table(published.variant)
+            if published.variant == "dialogue":
+                sheet_of = sheet_of.withColumn("dialogue", publish.dialogue_literal(F.col("dialogue")))
+            draft.put_workbook(f"{published.variant}.xlsx", sheet_of, published.variant)
+        draft.put_json("report.json", report)
+        draft.put_json("monitoring.json", contract)
+        done = draft.commit()
+        sinks.clear_failure(self.spark, out)
+        return done
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -15,6 +15,29 @@ def _bucketed(df: DataFrame, order: str, bucket: int) -> DataFrame:
     return df.withColumn("_bucket", F.floor(F.col(order) / bucket))
 
 
+#: buckets of buckets; two cover 2^32 keys, three 2^48
+LEVELS = 3
+
+
+def carried(df: DataFrame, key: str, value: str, out: str, combine=F.max, partition: tuple[str, ...] = (), bucket: int = BUCKET, levels: int = LEVELS) -> DataFrame:
+    """The aggregate (F.max or F.sum) of ``value`` over the rows of smaller ``key``, unique whole numbers within ``partition``.
+
+    Buckets of keys are aggregated by themselves and carry over to the buckets after them,
+    which are bucketed in turn: no task sees more than a bucket's rows.
+    """
+    b, t, own, above = (f"_{n}{levels}" for n in ("b", "t", "own", "above"))
+    if levels == 1:  # as many rows as a bucket takes, and a key that isn't known to be constant
+        alone = Window.partitionBy(*partition, F.expr(f"`{key}` div {1 << 62}")).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(out, combine(value).over(alone))
+    rows = df.withColumn(b, F.expr(f"`{key}` div {bucket}"))
+    inside = Window.partitionBy(*partition, b).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(*partition, b).agg(combine(value).alias(t))
+    higher = carried(totals, b, t, above, combine, partition, bucket, levels - 1).select(*partition, b, above)
+    joined = rows.join(higher, [*partition, b]).withColumn(own, combine(value).over(inside))
+    both = F.greatest(own, above) if combine is F.max else F.coalesce(F.col(own) + F.col(above), own, above)
+    return joined.withColumn(out, both).drop(b, own, above)
+
+
 def forward_fill(df: DataFrame, value: str, order: str, out: str, bucket: int = BUCKET, partition: tuple[str, ...] = ()) -> DataFrame:
     """The latest non-null ``value`` up to each row, within ``partition``."""
     rows = _bucketed(df, order, bucket)

@@ -419,11 +419,20 @@ def reconcile_identity_plans(spark, sf):
 _DIGESTED = ("o_custkey", "o_orderstatus", "o_orderpriority")
 
 
-@register("\nUNION ALL\n".join(f"""
-SELECT '{c}' AS column_name, sha256(string_agg(d, chr(31) ORDER BY b)) AS digest
-FROM (SELECT o_orderkey // 4096 AS b, sha256(string_agg({c}::VARCHAR, chr(31) ORDER BY o_orderkey)) AS d FROM orders GROUP BY b)""" for c in _DIGESTED), "frame_digest")
+#: levels of the digest trees, enough for 64^4 rows
+_DEPTH = 4
+
+
+def _tree_sql(c: str) -> str:
+    d = f"SELECT o_orderkey AS n, coalesce('v' || strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, 'n') AS d FROM orders"
+    for _ in range(_DEPTH):
+        d = f"SELECT n // 64 AS n, sha256(string_agg(d, chr(31) ORDER BY n)) AS d FROM ({d}) AS t GROUP BY t.n // 64"
+    return f"SELECT '{c}' AS column_name, d AS digest FROM ({d})"
+
+
+@register("\nUNION ALL\n".join(map(_tree_sql, _DIGESTED)), "frame_digest")
 def frame_digest_query(spark, sf):
-    return frame_digest(table(spark, sf, "orders"), "o_orderkey", list(_DIGESTED))
+    return frame_digest(table(spark, sf, "orders"), "o_orderkey", list(_DIGESTED), depth=_DEPTH)
 
 
 @register(r"""
@@ -434,7 +443,7 @@ def normalize_slug(spark, sf):
     return p.select("p_partkey", S.normalize_key(F.concat(F.lit("  "), F.col("p_name"), F.lit("\n"))).alias("name_key"), S.slug(F.col("p_type")).alias("type_slug"))
 
 
-from gaugeworks import queries_rules  # noqa: E402,F401  (registers its own)
+from gaugeworks import queries_durable, queries_rules  # noqa: E402,F401  (register their own)
 
 
 def queries() -> dict[str, Query]:

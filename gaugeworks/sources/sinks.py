@@ -70,10 +70,10 @@ def write_failure(folder: str | Path, error) -> None:
     atomic_json(f"{folder}/failure.json", error.to_dict())
 
 
-def reset_output(spark: SparkSession, folder: str) -> None:
-    """Delete what an earlier run has left in a folder, the folder too."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(folder))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def clear_failure(spark: SparkSession, folder: str | Path) -> None:
+    """Remove what :func:`write_failure` has left in a folder; nothing else."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/failure.json")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, False)
 
 
 #: rows of a sheet (fixed value), and characters that a sheet's text can't hold
@@ -83,6 +83,13 @@ _UNFIT = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]")
 
 def write_workbook(df: DataFrame, path: str | Path, title: str = "Sheet1") -> int:
     """One sheet, for results that fit in one; rows stream through the driver to the file. Text stays text."""
+    write, rows = workbook_writer(df, title)
+    put_file(path, write)
+    return rows[0]
+
+
+def workbook_writer(df: DataFrame, title: str = "Sheet1") -> tuple[Callable[[BinaryIO], None], list[int]]:
+    """What writes the sheet to a file, and where it tells the number of rows."""
     def cell(ref: str, v: object) -> str:
         if v is None or v != v:
             return ""
@@ -101,10 +108,9 @@ def write_workbook(df: DataFrame, path: str | Path, title: str = "Sheet1") -> in
         "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets><sheet name="{escape(title)}" sheetId="1" r:id="rId1"/></sheets></workbook>',
         "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{pkg}/relationships"><Relationship Id="rId1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
     }
-    rows = 0
+    rows = [0]
 
     def write(f: BinaryIO) -> None:
-        nonlocal rows
         with zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
             for name, text in parts.items():
                 z.writestr(name, text)
@@ -114,11 +120,10 @@ def write_workbook(df: DataFrame, path: str | Path, title: str = "Sheet1") -> in
                     if n > SHEET_ROWS:
                         raise NotEvaluable("The table doesn't fit in a sheet", rows=SHEET_ROWS)
                     sheet.write((f'<row r="{n}">' + "".join(cell(f"{column_letters(i)}{n}", v) for i, v in enumerate(row)) + "</row>").encode())
-                    rows = n - 1
+                    rows[0] = n - 1
                 sheet.write(b"</sheetData></worksheet>")
 
-    put_file(path, write)
-    return rows
+    return write, rows
 
 
 def sha256_json(payload: object) -> str:
@@ -126,18 +131,69 @@ def sha256_json(payload: object) -> str:
     return hashlib.sha256(json.dumps(payload, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()
 
 
-def frame_digest(df: DataFrame, order: str, columns: list[str] | None = None, block: int = 4096) -> DataFrame:
-    """(column_name, digest): a digest of each column's values in the order of a unique whole number.
+#: children of a node of a digest tree
+FAN_OUT = 64
+
+
+def _leaf(c: Column) -> Column:
+    """A value with its length, so that no two rows of values look alike; null is no text."""
+    text = c.cast("string")
+    return F.when(text.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.octet_length(text), F.lit(":"), text))
+
+
+def _fold(df: DataFrame, node: str, columns: list[str], fan_out: int) -> DataFrame:
+    """Nodes one level up: the digest of fan_out children at most, in their order, for all columns in one shuffle."""
+    kids = F.array_sort(F.collect_list(F.struct(node, *(F.col(f"`{c}`") for c in columns))))
+    up = df.groupBy(F.expr(f"`{node}` div {fan_out}").alias("_up")).agg(kids.alias("_kids"))
+    joined = lambda c: F.array_join(F.col("_kids").getField(c), "\x1f")
+    return up.select(F.col("_up").alias(node), *(F.sha2(joined(c), 256).alias(c) for c in columns))
 
-    Blocks of values are hashed and their digests hashed again, so no task gathers a
-    whole column; doubles are rendered as Spark casts them.
+
+def digest_levels(df: DataFrame, order: str, columns: list[str] | None = None, fan_out: int = FAN_OUT, depth: int | None = None) -> list[DataFrame]:
+    """Digest trees of all columns over the numbers of ``order``, unique and from 0: level k has (node, a digest a column) over fan_out^(k+1) rows each.
+
+    No task holds more than fan_out values of a column; a level has fan_out times fewer
+    rows than the one below. ``depth`` levels at least, so that trees of unequal tables meet.
     """
     columns = columns or [c for c in df.columns if c != order]
-    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias("v")) for c in columns)))
-    cells = df.select(F.col(order).alias("n"), pairs.alias("p")).select("n", "p.column_name", "p.v")
-    ordered = lambda value, key: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, value))), lambda x: x[value]), "\x1f")
-    blocks = cells.groupBy("column_name", F.floor(F.col("n") / block).alias("b")).agg(F.sha2(ordered("v", "n"), 256).alias("d"))
-    return blocks.groupBy("column_name").agg(F.sha2(ordered("d", "b"), 256).alias("digest"))
+    top = df.agg(F.coalesce(F.max(order), F.lit(0))).first()[0]
+    level = df.select(F.col(order).cast("long").alias("_node"), *(_leaf(F.col(f"`{c}`")).alias(c) for c in columns))
+    levels = []
+    while not levels or top > 0 or len(levels) < (depth or 0):
+        level = _fold(level, "_node", columns, fan_out)
+        levels.append(level)
+        top //= fan_out
+    return levels
+
+
+def frame_digest(df: DataFrame, order: str, columns: list[str] | None = None, fan_out: int = FAN_OUT, depth: int | None = None) -> DataFrame:
+    """(column_name, digest): the root of each column's digest tree over a unique whole number from 0."""
+    columns = columns or [c for c in df.columns if c != order]
+    root = digest_levels(df, order, columns, fan_out, depth)[-1]
+    return root.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("digest")) for c in columns))).alias("x")).select("x.*")
+
+
+def frame_difference(left: DataFrame, right: DataFrame, order: str, columns: list[str] | None = None, fan_out: int = FAN_OUT) -> DataFrame:
+    """(column_name, first_row, last_row): the lowest blocks in which two tables differ, a column at a time.
+
+    Both trees are walked down from the root; below the root only children of nodes that
+    differ are compared, and a level's nodes are read once for all columns.
+    """
+    columns = columns or [c for c in left.columns if c != order]
+    deep = lambda df: len(digest_levels(df, order, columns, fan_out))
+    depth = max(deep(left), deep(right))
+    trees = [digest_levels(df, order, columns, fan_out, depth) for df in (left, right)]
+    open_ = None
+    for a, b in reversed(list(zip(*trees))):
+        other = b.select(F.col("_node").alias("_other"), *(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(columns)))
+        met = a.join(other, F.col("_node") == F.col("_other"), "full").withColumn("_at", F.coalesce("_node", "_other"))
+        differ = F.filter(F.array(*(F.when(~F.col(f"`{c}`").eqNullSafe(F.col(f"_{i}")), F.lit(c)) for i, c in enumerate(columns))), lambda x: x.isNotNull())
+        found = met.select("_at", F.explode(differ).alias("column_name"))
+        if open_ is not None:
+            above = open_.select("column_name", F.col("_at").alias("_above"))
+            found = found.withColumn("_above", F.expr(f"_at div {fan_out}")).join(above, ["column_name", "_above"]).drop("_above")
+        open_ = found
+    return open_.select("column_name", (F.col("_at") * fan_out).alias("first_row"), ((F.col("_at") + 1) * fan_out - 1).alias("last_row"))
 
 
 def table_digest(df: DataFrame) -> dict[str, object]:

@@ -4,6 +4,7 @@ import io
 import json
 import zipfile
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from gaugeworks.plans import contracts, proposals
 from gaugeworks.plans.layout import LayoutPlan
 from gaugeworks.plans.resolve_layout import resolve_layout
 from gaugeworks.plans.resolve_measurement import canonical_score, prove_reducer, prove_sources, reported_for, resolve_measurement
-from gaugeworks.sources import documents, package, sinks, workbook
+from gaugeworks.sources import documents, package, releases, sinks, workbook
 from gaugeworks.streaming import batch_table, metric_by_batch, total_table
 
 MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -101,7 +102,20 @@ def test_package_run(spark, folder, tmp_path):
     rows = r.published.frame.orderBy("query_id").collect()
     assert [(x["query_id"], x["input_query_count"], x["mark_metric"]) for x in rows] == [("x1", 2, 1.0), ("x2", 1, 0.0), ("x3", 1, 1.0)]
     assert r.contract["aggregation"]["weight"] == "input_query_count" and r.contract["baseline"] == 0.75
-    assert json.loads((tmp_path / "out/report.json").read_text())["provenance"]["plan"] and spark.read.parquet(str(tmp_path / "out/flat")).count() == 3
+    released = releases.Releases(spark, str(tmp_path / "out"))
+    now = released.current()
+    assert now == r.release and released.verify(now) == [] and now.table(spark, "flat").count() == 3
+    assert json.loads(Path(now.path.removeprefix("file:"), "report.json").read_text())["provenance"]["plan"]
+    assert workbook.read_workbook(spark, f"{now.path}/flat.xlsx").cells.filter("row = 3").count() > 0
+
+
+def test_a_run_into_its_own_package_loses_nothing(spark, folder):
+    before = {p.name: p.read_bytes() for p in folder.iterdir()}
+    (folder / "failure.json").write_text("{}")
+    for _ in range(2):
+        r = Engine(spark).run_package(str(folder), proposals.Scripted(layout(), measurement()), str(folder))
+    assert {p.name: p.read_bytes() for p in folder.iterdir() if p.is_file() and not p.name.startswith(".")} == before
+    assert r.status == "computed" and releases.Releases(spark, str(folder)).current().number == 2
 
 
 def test_a_plan_that_never_proves_is_not_evaluable(spark, folder):
@@ -268,6 +282,7 @@ def test_sinks_and_stream(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "csv"), header=True).orderBy("n").first()["t"] == "'=1+1"
     a, b = (dict(sinks.frame_digest(x, "n").collect()) for x in (df, df.repartition(2)))
     assert a == b and a != dict(sinks.frame_digest(df.withColumn("x", F.lit(2.0)), "n").collect())
+    assert a["t"] != dict(sinks.frame_digest(df.fillna("", ["t"]), "n").collect())["t"]  # null is no empty text
     assert sinks.sha256_json({"b": 1, "a": "é"}) == sinks.sha256_json({"a": "é", "b": 1})
     df.write.parquet(str(tmp_path / "stream"))
     plan = contracts.MetricPlan("m", "identity", (contracts.Source("x"),))

@@ -76,6 +76,31 @@ def test_islands_are_components_of_ranges(spark):
         assert sorted(map(tuple, got)) == union_find(ranges)
 
 
+def test_islands_carry_over_buckets_and_partitions(spark, monkeypatch):
+    rnd = random.Random(9)
+    rows = [(s, a, a + rnd.choice([0, 1, 5, 90, -3])) for s in ("x", "y", None) for a in (rnd.randint(-200, 200) for _ in range(40))]
+    monkeypatch.setattr(ordering.carried, "__defaults__", (*ordering.carried.__defaults__[:2], 4, 3))
+    df = spark.createDataFrame(rows, "sheet string, r1 long, r2 long")
+    got = grouping.merge_islands(df.filter("sheet is not null"), partition=("sheet",)).collect()
+    for s in ("x", "y"):
+        assert sorted((r["r1"], r["r2"]) for r in got if r["sheet"] == s) == union_find([(a, b) for n, a, b in rows if n == s and a <= b])
+    assert grouping.merge_islands(df.filter("r1 > 1000")).collect() == []
+    plan = grouping.merge_islands(df)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_carried_sums_and_maxima(spark):
+    rnd = random.Random(2)
+    keys = rnd.sample(range(-300, 300), 80)
+    rows = [(k, rnd.choice([None, rnd.randint(0, 9)])) for k in keys]
+    df = spark.createDataFrame(rows, "k long, v long")
+    for combine, plain in ((F.sum, sum), (F.max, max)):
+        got = {r["k"]: r["o"] for r in ordering.carried(df, "k", "v", "o", combine, bucket=5).collect()}
+        for k in keys:
+            before = [v for j, v in rows if j < k and v is not None]
+            assert got[k] == (plain(before) if before else None)
+
+
 def sheet(spark, rows):
     return spark.createDataFrame([(i + 2, *r) for i, r in enumerate(rows)], "source_row_id long, k string, q string")
 
