@@ -1,25 +1,36 @@
 """Mixing sources to target weights, with soft membership.
 
-A multinomial classifier over hashed words, counted over the texts of a labelled table
-(all rows up to ``max_rows``, a documented bound, then those of smallest hashed id),
-gives each document a posterior over domains; one sharpness, chosen by the log-likelihood
-of a fifth of the labelled rows that the counts leave out, calibrates it, and the shares of
-tokens that posteriors expect of that fifth are told beside those of its labels.  Document rates r then close the gap between the
-domains' expected token totals, sum of r * tokens * posterior, and their targets, as
-near to one as that allows, by preconditioned projected gradient: a rate is one plus
-the posterior times a pull a domain, no smaller than ``least``, and the pulls step by the
-gap, preconditioned by the domains' matrix over the documents that aren't cut.  An
-iteration is one aggregation that tries several step lengths; no per-document state is
-kept.  It ends when every domain is within TOLERANCE of its target, or can't come
-nearer; the shares reached, and whether all targets are met, are part of the mixture, and
-a miss is logged.
+A classifier learns from the texts of a labelled table, one logistic model a domain over
+hashed words, pairs and beginnings of words, in one task from at most ``max_rows`` ids and
+``max_bytes`` of text (documented bounds).  Texts are halved by a hash of their words, a
+model learns from each half, and a text is scored by the model of the other: no
+document, labelled or not, meets a model that has learnt its words.  A scale and a bias a
+domain, fitted by tokens on the labelled rows (``MAX_KEPT`` at most), turn margins into
+posteriors whose expected token shares there are those of the labels.
+
+Rates r, one a document, minimise by projected gradient
+
+    (x(r) - t)' H^-1 (x(r) - t) / 2  +  weight / 2 * sum of n (r - 1)^2
+
+over r >= ``least``, where x(r) = sum of n r p are the domains' expected tokens, t their
+targets, n a document's share of the tokens, p its posterior and H = sum of n p p'.  The
+gradient of a document is p' H^-1 (x - t) + weight * (r - 1); it is scaled by the second
+moments of the documents that aren't held at ``least``, and an iteration is one aggregate
+that tries several lengths.  A document's rate follows from its posterior and the
+few vectors of the iterations so far, which are replayed: no state is kept, and a
+lost executor costs a recomputation of its rows only.  ``weight`` is small, so that targets are met
+where they can be; where rates so uneven would leave an effective sample of less than
+``effective`` of the documents, (sum of r)^2 / sum of r^2, the weight grows until they don't,
+and the targets are missed by as much as it takes.  What is reached, the effective sample and
+the weight are part of the mixture; a miss is logged, or raised with ``on_miss="raise"``.
 
 Tokens are words between white space.  Rates act as copies: the whole part, and one
 more with the fraction's probability by a hash of the id.
 
-Defined results: null and empty texts have no tokens and take the rate of the prior;
+Defined results: null and empty texts have no tokens and take the posterior of the bias;
 null labels, and labels of unknown documents, are not learnt from; an id labelled
-twice takes the smaller domain name; domains without labelled rows are left out and the other targets
+twice takes the smaller domain name, and of rows that repeat an id the smallest text is learnt
+from; domains without labelled rows are left out and the other targets
 share their weight; without any labelled row, or for an empty table, all rates are
 one.  Repeated rows are treated alike, but rows that repeat an id draw the same fraction;
 texts of any length are read whole; other columns pass through, whatever their names.
@@ -37,124 +48,156 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ._store import Workspace
-from ._text import mix, pieces, split_words
-
-BITS = 14
-SHARPNESS = (0.5, 1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024)
-MAX_ROWS = 1 << 16
+from ._text import NON_ALNUM, Words, mix, pieces, release, split_words
+from .toxicity import STEP_BYTES, Ftrl, features
+
+BITS = 18
+#: labelled ids and bytes of text that are learnt from, and rows that calibrate
+MAX_ROWS, MAX_BYTES, MAX_KEPT = 4096, 32 << 20, 1 << 14
+PASSES, L1 = 3, 1.0
+#: margins level off here; long texts add up more of them
+STEEP = 10.0
 #: gap of a domain as a part of its target (of a hundredth of the tokens at least)
 TOLERANCE = 1e-3
 #: lengths tried of a step
-LENGTHS = 0.25 ** np.arange(16)
-#: keeps pulls finite where targets can't be met
-RIDGE = 1e-8
-#: more iterations than any fit takes; one that takes them all is logged
-STEPS = 200
+LENGTHS = 0.5 ** np.arange(12)
+WEIGHT, HEAVIER, MOST_WEIGHT = 1e-4, 8.0, 1e3
+STEPS = 40
 COPY_BYTES = 8 << 20
 
 _log = logging.getLogger(__name__)
 
 
+class TargetsMissed(RuntimeError):
+    """No rates within the bounds bring the domains to their targets."""
+
+
 @dataclass(frozen=True)
 class Mixture:
     """Everything that a document's rate depends on but its text; of fixed size."""
 
     domains: tuple[str, ...]
-    log_word: np.ndarray  # domain x bucket
-    log_prior: np.ndarray
-    sharpness: float = 1.0
-    base: float = 1.0
-    pull: np.ndarray | None = None  # a domain
+    weights: np.ndarray  # half x domain x bucket; of a half that the other's texts are learnt in
+    bias: np.ndarray  # half x domain
+    scale: np.ndarray  # of margins, a domain
+    shift: np.ndarray
+    steps: tuple[tuple[np.ndarray, float], ...] = ()  # a vector over domains and a length each
+    weight: float = WEIGHT
+    part: np.ndarray | None = None  # shares that posteriors are taken less, where the total is free
     least: float = 0.0
     wanted: tuple[float, ...] = ()  # expected shares of tokens
     reached: tuple[float, ...] = ()
     converged: bool = False
-    labelled: tuple[float, ...] = ()  # shares of tokens by label in the rows kept out of the counts
+    effective: float = 1.0  # sample, as a share of the documents
+    labelled: tuple[float, ...] = ()  # shares of tokens by label in the rows that calibrate
     expected: tuple[float, ...] = ()  # and by posterior
 
-    def likelihoods(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Token counts and mean log-likelihood of a word under each domain."""
-        words = split_words(texts, lower=True)
-        bucket = _buckets(words.hashes())
-        n, doc = words.counts, words.doc_of()
-        ll = np.stack([np.bincount(doc, row[bucket], len(n)) for row in self.log_word], axis=1) / np.maximum(n, 1)[:, None]
-        return n, ll
-
-    def posteriors(self, ll: np.ndarray) -> np.ndarray:
-        x = self.log_prior + self.sharpness * (ll - ll.mean(axis=1, keepdims=True))
-        x = np.exp(x - x.max(axis=1, keepdims=True))
-        return x / x.sum(axis=1, keepdims=True)
+    def margins(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Token counts and each domain's margin, in small steps: features take much more memory than text."""
+        n, out = [np.zeros(0, np.int64)], [np.zeros((0, len(self.domains)))]
+        for (part,) in pieces([texts], 0, STEP_BYTES):
+            words = split_words(part, NON_ALNUM, lower=True)
+            doc, bucket = features(words, BITS)
+            half = halves(words, bucket)
+            used = (self.weights[:, :, bucket] != 0).any(axis=(0, 1))
+            key = np.unique((doc[used] << BITS) | bucket[used])
+            at, column = key >> BITS, key & ((1 << BITS) - 1)
+            s = np.stack([np.bincount(at, w[half[at], column], len(words.counts)) for w in self.weights.transpose(1, 0, 2)], axis=1) + self.bias[half]
+            n.append(split_words(part).counts)
+            out.append(STEEP * np.tanh(s / STEEP))
+        return np.concatenate(n), np.concatenate(out)
+
+    def posteriors(self, margins: np.ndarray) -> np.ndarray:
+        return _softmax(margins * self.scale + self.shift)
 
     def rates(self, p: np.ndarray) -> np.ndarray:
-        return np.maximum(self.base + (0 if self.pull is None else p @ self.pull) + np.zeros(len(p)), self.least)
+        """Replay of the iterations."""
+        r, q = np.full(len(p), max(1.0, self.least)), p if self.part is None else p - self.part
+        for g, length in self.steps:
+            r = np.maximum(r - length * (q @ g + self.weight * (r - 1)), self.least)
+        return r
 
 
-def _buckets(hashes: np.ndarray) -> np.ndarray:
-    return (mix(hashes ^ np.uint64(0x6A09E667)) >> np.uint64(64 - BITS)).astype(np.int64)
+def _softmax(z: np.ndarray) -> np.ndarray:
+    x = np.exp(z - z.max(axis=1, keepdims=True))
+    return x / x.sum(axis=1, keepdims=True)
 
 
-def kept_out(doc_id):
-    """A fifth of the labelled rows: not counted, but calibrated on."""
-    return F.pmod(F.xxhash64(doc_id, F.lit(5)), F.lit(5)) == 0
+def halves(words: Words, bucket: np.ndarray) -> np.ndarray:
+    """0 or 1 for each text by its words, of which ``bucket`` begins with one each; copies stay together."""
+    total = np.bincount(words.doc_of(), bucket[: len(words.starts)], len(words.counts))
+    return (mix(total.astype(np.uint64)) & np.uint64(1)).astype(np.int64)
 
 
-def learn_domains(spark: SparkSession, docs: DataFrame, labelled: DataFrame, domains: list[str], max_rows: int = MAX_ROWS) -> Mixture | None:
-    """Word and domain frequencies over the documents that ``labelled`` (doc_id, domain) names, max_rows at most, without those kept out."""
-    known = labelled.filter(F.col("domain").isin(*domains)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    counted = known.filter(~kept_out(F.col("doc_id")))
-    known = known if counted.isEmpty() else counted
-    # max_rows ids at most are broadcast, and texts stay where they are
+def learn_domains(spark: SparkSession, docs: DataFrame, labelled: DataFrame, domains: list[str], max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> Mixture | None:
+    """Weights over the documents that ``labelled`` (doc_id, domain) names, max_rows at most; each half is scored by what the other teaches."""
+    known = labelled.filter(F.col("domain").isin(*domains)).groupBy("doc_id").agg(F.min("domain").alias("domain")).filter("doc_id is not null")
+    # max_rows ids at most are broadcast, and only their texts move
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id").select("domain", "text")
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    rows = rows.groupBy("doc_id", "domain").agg(F.min("text").alias("text"))
+    ordered = rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
     number = {d: i for i, d in enumerate(domains)}
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n_docs = np.zeros(len(domains) << BITS, np.int64), np.zeros(len(domains), np.int64)
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, marks, half, seen = [], [], [], 0
         for b in batches:
-            for names, texts in pieces(b.columns, 1):
-                words = split_words(texts, lower=True)
-                own = np.array([number[d] for d in names.to_pylist()], np.int64)
-                n_docs += np.bincount(own, minlength=len(domains))
-                total += np.bincount((own[words.doc_of()] << BITS) | _buckets(words.hashes()), minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1 - np.arange(len(domains)))), pa.array(np.append(total[at], n_docs))], names=["at", "n"])
-
-    got = rows.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()  # 2^BITS a domain at most
-    words, n_docs = np.zeros((len(domains), 1 << BITS)), np.zeros(len(domains))
-    for r in got:
-        if r["at"] < 0:
-            n_docs[-1 - r["at"]] = r["n"]
-        else:
-            words[r["at"] >> BITS, r["at"] & ((1 << BITS) - 1)] = r["n"]
-    seen = n_docs > 0
-    if not seen.any():
+            for texts, names in pieces(b.columns, 0, STEP_BYTES):
+                if seen >= max_bytes:
+                    break
+                words = split_words(texts, NON_ALNUM, lower=True)
+                doc, bucket = features(words, BITS)
+                half += halves(words, bucket).tolist()
+                key = np.unique((doc << BITS) | bucket)
+                found += np.split((key & ((1 << BITS) - 1)).astype(np.int32), np.searchsorted(key >> BITS, np.arange(1, len(words.counts))))
+                marks += [number[x] for x in names.to_pylist()]
+                seen += len(words.buf)
+        release()
+        marks, half = np.array(marks, np.int64), np.array(half, np.int64)
+        shuffle = np.random.RandomState(7)
+        for side in (0, 1):
+            rows = np.flatnonzero(half != side)
+            for d in range(len(domains)):
+                model = Ftrl(1 << BITS, l1=L1)
+                for _ in range(PASSES):
+                    for r in shuffle.permutation(rows):
+                        model.learn(np.append(found[r], model.bias), int(marks[r] == d))
+                w = model.weights(np.arange(model.bias + 1))
+                at = np.append(np.flatnonzero(w[:-1]), model.bias)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), x)) for x in (side, d)] + [pa.array(at), pa.array(w[at]), pa.array(np.full(len(at), int((marks == d).sum())))], names=["half", "d", "at", "w", "n"])
+        del found
+        release()
+
+    got = ordered.select("text", "domain").mapInArrow(fit, "half long, d long, at long, w double, n long").toArrow()  # the nonzero weights
+    half, d, at, w, n = (got[c].to_numpy() for c in ("half", "d", "at", "w", "n"))
+    seen = [i for i in range(len(domains)) if (n[d == i] > 0).any()]
+    if not seen:
         return None
-    smooth = words[seen] + 0.1
-    return Mixture(
-        tuple(d for d, s in zip(domains, seen) if s),
-        np.log(smooth / smooth.sum(axis=1, keepdims=True)),
-        np.log(n_docs[seen] / n_docs.sum()),
-    )
+    weights = np.zeros((2, len(domains), (1 << BITS) + 1), np.float32)
+    weights[half, d, at] = w
+    ones = np.ones(len(seen))
+    return Mixture(tuple(domains[i] for i in seen), np.ascontiguousarray(weights[:, seen, :-1]), weights[:, seen, -1].astype(float), ones, 0 * ones)
 
 
 @dataclass(frozen=True)
 class Fitted:
     model: Mixture | None
-    scored: DataFrame | None  # doc_id, n_tokens and likelihoods of every document, written
+    scored: DataFrame | None  # doc_id, n_tokens and margins of every document, written
 
 
-def fit_rates(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict[str, float], least: float = 0.0, total: float | None = None) -> Mixture | None:
+def fit_rates(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict[str, float], least: float = 0.0, total: float | None = None, **options) -> Mixture | None:
     """The mixture of :func:`fit`, without the table."""
-    return fit(spark, docs, labelled, targets, least, total).model
+    return fit(spark, docs, labelled, targets, least, total, **options).model
 
 
-def fit(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict[str, float], least: float = 0.0, total: float | None = None) -> Fitted:
+def fit(
+    spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict[str, float], least: float = 0.0, total: float | None = None,
+    effective: float = 0.0, weight: float = WEIGHT, on_miss: str = "log",
+) -> Fitted:
     """A mixture whose rates bring the domains' expected tokens to shares ``targets`` of ``total``.
 
     Without ``total`` it is the present total, or with a positive ``least`` whatever the
-    shares need: rates have no upper bound, and the total is that of the rates nearest to
-    one (where texts tell the domains apart, the smallest that no domain has to give
-    tokens up for).
+    shares need: rates have no upper bound, and the total is that of the rates nearest to one.
     """
     model = learn_domains(spark, docs, labelled, sorted(targets))
     if model is None:
@@ -166,72 +209,83 @@ def fit(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for ids, texts in pieces(b.columns, 1):
-                n, ll = shared.value.likelihoods(texts)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(n), _lists(ll)], names=["doc_id", "n_tokens", "ll"])
+                n, s = shared.value.margins(texts)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(n), _lists(s)], names=["doc_id", "n_tokens", "margins"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = ws.put(texts.mapInArrow(score, "doc_id long, n_tokens long, ll array<double>"), "scored")
-    known = labelled.filter(F.col("domain").isin(*model.domains)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    judged = scored.join(known, "doc_id")
-    apart = judged.filter(kept_out(F.col("doc_id")))
-    model = _calibrated((judged if apart.isEmpty() else apart).select("domain", "n_tokens", "ll"), model)
+    scored = ws.put(texts.mapInArrow(score, "doc_id long, n_tokens long, margins array<double>"), "scored")
+    model = _calibrated(scored, labelled, model)
+    share = np.array([targets[d] for d in model.domains], float)
+    share /= share.sum()
+    free = total is None and least > 0
+    while True:
+        model, all_tokens = _descend(scored, _with(model, steps=(), least=least, weight=weight, part=share if free else None), share, free, total)
+        if not all_tokens or model.effective >= effective or weight >= MOST_WEIGHT:
+            break
+        weight *= HEAVIER
+    if all_tokens and not model.converged:
+        text = f"mixing misses its targets: wanted {_told(model, share)}, reached {_told(model, model.reached)} with an effective sample of {model.effective:.2f} of the documents"
+        if on_miss == "raise":
+            raise TargetsMissed(text)
+        _log.warning(text)
+    return Fitted(model, scored)
+
 
-    def sums(at: Mixture, bases: np.ndarray, pulls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each base and pulls: expected tokens of each domain, sum of tokens * p p' of what isn't cut, and the potential."""
-        now, m = spark.sparkContext.broadcast((at, bases, pulls)), len(bases)
+def _descend(scored: DataFrame, model: Mixture, share: np.ndarray, free: bool, total: float | None) -> tuple[Mixture, float]:
+    """Projected gradient over all documents; the model with its iterations, and the tokens of the table."""
+    k, spark = len(share), scored.sparkSession
+
+    def sums(g: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+        """For each length of a further step g: x, its H over documents that aren't held, sum of n (r - 1)^2, of n r, of r, of r^2, and the counts."""
+        m, now = len(lengths), spark.sparkContext.broadcast((model, g, lengths))
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            at, bases, pulls = now.value
-            own, square, potential = np.zeros((m, k)), np.zeros((m, k, k)), np.zeros(m)
+            at, g, lengths = now.value
+            x, square, rest = np.zeros((m, k)), np.zeros((m, k, k)), np.zeros((m, 6))
             for b in batches:
-                p = at.posteriors(_matrix(b["ll"], k))
-                n = b["n_tokens"].to_numpy().astype(float)
-                y = bases + p @ pulls.T
-                r = np.maximum(y, at.least)
-                own += (r * n[:, None]).T @ p
-                potential += n @ (r * y - r * r / 2)
-                for i in range(m):
-                    square[i] += (p * (n * (r[:, i] == y[:, i]))[:, None]).T @ p
-            flat = np.concatenate([own.reshape(-1), square.reshape(-1), potential])
+                p = at.posteriors(_matrix(b["margins"], k))
+                n, q, r0 = b["n_tokens"].to_numpy().astype(float), p if at.part is None else p - at.part, at.rates(p)
+                down = q @ g + at.weight * (r0 - 1)
+                for i, length in enumerate(lengths):
+                    r = np.maximum(r0 - length * down, at.least)
+                    x[i] += (n * r) @ p
+                    held = (r <= at.least) & (r0 - length * down < at.least)
+                    square[i] += (q * (n * ~held)[:, None]).T @ q
+                    rest[i] += [n @ (r - 1) ** 2, n @ r, r.sum(), r @ r, n.sum(), len(n)]
+            flat = np.concatenate([x.reshape(-1), square.reshape(-1), rest.reshape(-1)])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], names=["at", "x"])
 
-        got = {r["at"]: r["x"] for r in scored.select("n_tokens", "ll").mapInArrow(add, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()}
-        own, square, potential = np.split(np.array([got.get(i, 0.0) for i in range(m * (k + k * k + 1))]), [m * k, m * (k + k * k)])
-        return own.reshape(m, k), square.reshape(m, k, k), potential
-
-    share = np.array([targets[d] for d in model.domains], float)
-    share /= share.sum()
-    present = sums(model, np.ones(1), np.zeros((1, k)))[0][0]
-    all_tokens = present.sum()
-    if all_tokens <= 0:
-        return Fitted(model, scored)
-    free = total is None and least > 0
-    # with a free total, each domain's gap is that to its share of what the rates make
-    goal = np.zeros(k) if free else share * (all_tokens if total is None else total) / all_tokens
-    part = share if free else np.zeros(k)
-    apart = np.eye(k) - np.outer(part, np.ones(k))
-    model = _with(model, least=least)
-    pull, step, lengths, lowest = np.zeros(k), np.zeros(k), np.zeros(1), np.inf
+        got = {r["at"]: r["x"] for r in scored.select("n_tokens", "margins").mapInArrow(add, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()}
+        flat = np.array([got.get(i, 0.0) for i in range(m * (k + k * k + 6))])
+        x, square, rest = np.split(flat, [m * k, m * (k + k * k)])
+        return [x.reshape(m, k), square.reshape(m, k, k), rest.reshape(m, 6)]
+
+    x, square, rest = sums(np.zeros(k), np.zeros(1))
+    tokens = rest[0, 4]
+    if tokens <= 0:
+        return model, 0.0
+    goal = share * (1 if total is None else total / tokens)
+    inverse = lambda h: np.linalg.pinv(h / tokens, rcond=1e-9, hermitian=True)
+    metric = inverse(square[0])
+    gap = lambda x: x / tokens - (goal if not free else share * x.sum() / tokens)
+    lowest, at = np.inf, 0
     for _ in range(STEPS):
-        pulls = pull + lengths[:, None] * step
-        own, square, potential = sums(model, 1 - pulls @ part, pulls)
-        potential = potential / all_tokens - pulls @ goal + RIDGE / 2 * (pulls**2).sum(axis=1)
-        best = int(np.argmin(potential))
-        if not potential[best] < lowest:
-            break
-        lowest, pull, tokens = potential[best], pulls[best], own[best] / all_tokens
-        whole = tokens.sum() if free else goal.sum()
-        missed = np.abs(tokens - share * whole) > TOLERANCE * whole * np.maximum(share, 0.01)
-        if not missed.any():
-            break
-        curve = apart @ square[best] @ apart.T / all_tokens
-        step = np.linalg.solve(curve + RIDGE * np.eye(k), goal - apart @ tokens - RIDGE * pull)
-        lengths = LENGTHS
-    reached = tokens / max(tokens.sum(), 1e-300)
-    if missed.any():
-        _log.warning("mixing misses its targets: wanted %s of %.0f tokens, reached %s of %.0f", _told(model, share), whole * all_tokens, _told(model, reached), tokens.sum() * all_tokens)
-    model = _with(model, base=float(1 - pull @ part), pull=pull, wanted=tuple(share.tolist()), reached=tuple(reached.tolist()), converged=not missed.any())
-    return Fitted(model, scored)
+        values = [0.5 * gap(x[i]) @ metric @ gap(x[i]) + 0.5 * model.weight * rest[i, 0] / tokens for i in range(len(x))]
+        best = int(np.argmin(values))
+        if len(x) > 1:
+            if not values[best] < lowest * (1 - 1e-9):
+                break
+            model = _with(model, steps=(*model.steps, (g, float(LENGTHS[best]))))
+        lowest, at = values[best], best
+        kept = (x[at], square[at], rest[at])
+        g = inverse(kept[1]) @ gap(kept[0])
+        x, square, rest = sums(g, LENGTHS)
+    x, _, rest = kept
+    reached = x / max(x.sum(), 1e-300)
+    whole = x.sum() / tokens if free else goal.sum()
+    met = (np.abs(x / tokens - share * whole) <= TOLERANCE * whole * np.maximum(share, 0.01)).all()
+    effective = rest[2] ** 2 / max(rest[3] * rest[5], 1e-300)
+    return _with(model, wanted=tuple(share.tolist()), reached=tuple(reached.tolist()), converged=bool(met), effective=float(effective)), tokens
 
 
 def _told(model: Mixture, shares: np.ndarray) -> str:
@@ -250,32 +304,56 @@ def _matrix(lists: pa.Array, k: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
 
 
-def _calibrated(rows: DataFrame, model: Mixture) -> Mixture:
-    """The model with the sharpness under which labelled rows are likeliest, and their shares of tokens by label and by posterior."""
-    k, m = len(model.domains), len(SHARPNESS)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loss, expected, labelled = np.zeros(m), np.zeros((m, k)), np.zeros(k)
-        for b in batches:
-            own = np.array([model.domains.index(d) for d in b["domain"].to_pylist()], np.int64)
-            ll, n = _matrix(b["ll"], k), b["n_tokens"].to_numpy().astype(float)
-            labelled += np.bincount(own, n, k)
-            for i, s in enumerate(SHARPNESS):
-                p = _with(model, sharpness=s).posteriors(ll)
-                loss[i] -= np.log(np.maximum(p[np.arange(len(own)), own], 1e-12)).sum()
-                expected[i] += n @ p
-        flat = np.concatenate([loss, expected.reshape(-1), labelled])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], names=["at", "x"])
-
-    got = {r["at"]: r["x"] for r in rows.mapInArrow(add, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()}
-    loss, expected, labelled = np.split(np.array([got.get(i, 0.0) for i in range(m + m * k + k)]), [m, m + m * k])
-    best = int(np.argmin(loss))
-    shares = lambda x: tuple((x / max(x.sum(), 1e-300)).tolist())
-    model = _with(model, sharpness=float(SHARPNESS[best]), labelled=shares(labelled), expected=shares(expected.reshape(m, k)[best]))
+def _calibrated(scored: DataFrame, labelled: DataFrame, model: Mixture) -> Mixture:
+    """The model with a scale and a bias a domain; shares of tokens by label and by posterior of the rows they were fitted on."""
+    k = len(model.domains)
+    known = labelled.filter(F.col("domain").isin(*model.domains)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
+    judged = scored.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "n_tokens", "margins").limit(MAX_KEPT)
+    got = judged.select("domain", "n_tokens", "margins").toArrow()  # MAX_KEPT rows at most
+    own = np.array([model.domains.index(d) for d in got["domain"].to_pylist()], np.int64)
+    n = got["n_tokens"].to_numpy().astype(float)
+    if not n.sum():
+        return model
+    s = np.array(got["margins"].to_pylist(), float).reshape(-1, k)
+    scale, shift = calibrate(s, own, n / n.mean(), k)
+    model = _with(model, scale=scale, shift=shift)
+    shares = lambda x: tuple((x / x.sum()).tolist())
+    model = _with(model, labelled=shares(np.bincount(own, n, k)), expected=shares(n @ model.posteriors(s)))
     _log.info("mixing: tokens by label %s, by posterior %s", _told(model, model.labelled), _told(model, model.expected))
     return model
 
 
+def calibrate(s: np.ndarray, own: np.ndarray, n: np.ndarray, k: int, ridge: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """Scale and bias of each class by weighted softmax regression, Newton's steps; free biases make expected weights those of the labels."""
+    scale, shift = np.full(k, 0.3), np.zeros(k)
+    y = np.eye(k)[own]
+
+    def loss(a: np.ndarray, b: np.ndarray) -> float:
+        z = s * a + b
+        top = z.max(axis=1)
+        return n @ (top + np.log(np.exp(z - top[:, None]).sum(axis=1)) - z[np.arange(len(own)), own]) + ridge / 2 * ((a - 0.3) ** 2).sum()
+
+    for _ in range(100):
+        p = _softmax(s * scale + shift)
+        d = n[:, None] * (p - y)
+        grad = np.concatenate([(d * s).sum(axis=0) + ridge * (scale - 0.3), d.sum(axis=0)])
+        if np.abs(grad).max() < 1e-9 * n.sum():
+            break
+        w = n[:, None, None] * (p[:, :, None] * np.eye(k) - p[:, :, None] * p[:, None, :])
+        aa = np.einsum("nde,nd,ne->de", w, s, s) + ridge * np.eye(k)
+        ab, bb = np.einsum("nde,nd->de", w, s), w.sum(axis=0) + 1e-9 * n.sum() * np.eye(k)
+        step = np.linalg.solve(np.block([[aa, ab], [ab.T, bb]]), grad)
+        now = loss(scale, shift)
+        for length in 0.5 ** np.arange(30):
+            a, b = scale - length * step[:k], shift - length * step[k:]
+            if loss(a, b) < now:
+                break
+        else:
+            break
+        scale, shift = a, b
+    return scale, shift - shift.mean()
+
+
 def n_copies(rates: np.ndarray, ids: pa.Array, seed: int = 11) -> np.ndarray:
     """Whole copies, and one more with the fraction's probability, by a hash of the id."""
     number = ids.cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False).view(np.uint64)
@@ -286,8 +364,8 @@ def n_copies(rates: np.ndarray, ids: pa.Array, seed: int = 11) -> np.ndarray:
 RATES = "doc_id long, n_tokens long, rate double, posterior array<double>, copies long"
 
 
-def _rated(ids: pa.Array, n, ll: np.ndarray, model: Mixture, seed: int) -> pa.RecordBatch:
-    p = model.posteriors(ll)
+def _rated(ids: pa.Array, n, margins: np.ndarray, model: Mixture, seed: int) -> pa.RecordBatch:
+    p = model.posteriors(margins)
     rates = model.rates(p)
     return pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(rates), _lists(p), pa.array(n_copies(rates, ids, seed))], names=["doc_id", "n_tokens", "rate", "posterior", "copies"])
 
@@ -298,7 +376,7 @@ def fitted_rates(fitted: Fitted, seed: int = 11) -> DataFrame:
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield _rated(b["doc_id"], b["n_tokens"], _matrix(b["ll"], len(shared.value.domains)), shared.value, seed)
+            yield _rated(b["doc_id"], b["n_tokens"], _matrix(b["margins"], len(shared.value.domains)), shared.value, seed)
 
     return fitted.scored.mapInArrow(rate, RATES)
 
@@ -313,7 +391,7 @@ def document_rates(spark: SparkSession, docs: DataFrame, model: Mixture | None,
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for ids, texts in pieces(b.columns, 1):
-                yield _rated(ids, *shared.value.likelihoods(texts), shared.value, seed)
+                yield _rated(ids, *shared.value.margins(texts), shared.value, seed)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(rate, RATES)
@@ -330,8 +408,8 @@ def resample(spark: SparkSession, docs: DataFrame, model: Mixture | None, seed:
     def repeat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for cols in pieces(b.columns, text):
-                _, ll = shared.value.likelihoods(cols[text])
-                rate = shared.value.rates(shared.value.posteriors(ll))
+                _, s = shared.value.margins(cols[text])
+                rate = shared.value.rates(shared.value.posteriors(s))
                 n = n_copies(rate, cols[doc_id], seed)
                 # rates have no bound, so copies go out in batches of bounded text
                 at = np.repeat(np.arange(len(n)), n)
@@ -344,6 +422,8 @@ def resample(spark: SparkSession, docs: DataFrame, model: Mixture | None, seed:
 
 #: shares of tokens by domain; domains follow from the labels
 TARGETS = {"high": 0.85, "low": 0.13, "toxic": 0.02}
+#: share of the documents that the effective sample of the query is at least
+EFFECTIVE = 0.5
 
 
 def quality_domains(labels: DataFrame) -> DataFrame:
@@ -354,7 +434,7 @@ def quality_domains(labels: DataFrame) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rate, copies and domain posterior of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    fitted = fit(spark, docs, quality_domains(spark.read.parquet(f"{sf_dir}/labels.parquet")), TARGETS)
+    fitted = fit(spark, docs, quality_domains(spark.read.parquet(f"{sf_dir}/labels.parquet")), TARGETS, effective=EFFECTIVE)
     return document_rates(spark, docs, None) if fitted.model is None else fitted_rates(fitted)
 
 

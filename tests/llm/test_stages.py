@@ -70,8 +70,11 @@ def test_run_matches_brute_force(spark):
     assert gone and len(rows) < docs.count() - len(gone)
     kept = docs.filter(docs["doc_id"].isin([i for i, _ in rows]))
     model = mixing.fit_rates(spark, kept, mixing.quality_domains(labels).filter("domain <> 'toxic'"), corpus_pipeline.TARGETS, least=1.0)
-    _, ll = model.likelihoods(pa.array([t for _, t in rows], pa.string()))
-    rates = [max(1.0, model.base + float(np.dot(p, model.pull))) for p in model.posteriors(ll)]
+    _, margins = model.margins(pa.array([t for _, t in rows], pa.string()))
+    rates = [1.0] * len(rows)
+    for i, p in enumerate(model.posteriors(margins)):
+        for g, length in model.steps:
+            rates[i] = max(1.0, rates[i] - length * (sum((x - s) * y for x, s, y in zip(p, model.wanted, g)) + model.weight * (rates[i] - 1)))
     times = mixing.n_copies(np.array(rates), pa.array([i for i, _ in rows]))
     mixed = [r for r, n in zip(rows, times.tolist()) for _ in range(n)]
     described = sorted((i, zlib.crc32((t or "").encode()), len((t or "").encode()) + 8) for i, t in mixed)
