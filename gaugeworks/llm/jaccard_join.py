@@ -176,11 +176,24 @@ def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
 
 
 def jaccard_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
-    """doc_id, n_shingles, class_id (equal sets) and component_id of every document."""
+    """doc_id, n_shingles, class_id (equal sets) and component_id of every document, both the smallest doc_id of theirs."""
+    ws = Workspace(spark, "jaccard-join")
+    rows = ws.numbered(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), "rows")
+    ids = ws.put(rows.select(ROW, "doc_id"), "ids")
+    grouped = row_groups(spark, ws, rows, size, threshold, done_with=("rows",))
+    named = ws.put(ids.join(grouped, ROW).select("doc_id", "n_shingles", "class", "component"), "named")
+    classes = ws.put(named.groupBy("component", "class").agg(F.min("doc_id").alias("class_id")), "named-classes")
+    least = classes.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    told = classes.join(least, "component").select("class", "class_id", "component_id")
+    return named.join(told, "class").select("doc_id", "n_shingles", "class_id", "component_id")
+
+
+def row_groups(spark: SparkSession, ws: Workspace, rows: DataFrame, size: int, threshold: tuple[int, int], done_with: tuple[str, ...] = ()) -> DataFrame:
+    """ROW, n_shingles, class and component (the smallest ROW of each) of rows (ROW, text); drops the tables ``done_with`` once it has read the rows."""
     num, den = threshold
     bands = Bands(num, den)
-    ws = Workspace(spark, "jaccard-join")
-    blocks = make_blocks(ws, docs, id_col, text_col, lower=True, block_bytes=BLOCK_BYTES)
+    blocks = make_blocks(ws, rows, ROW, "text", lower=True, block_bytes=BLOCK_BYTES)
+    ws.drop(*done_with)
     n = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     n_keys = max(1, int(n * min(1.0, 2 * (1 - num / den))))
     n_slices = slices_for(n)
@@ -249,10 +262,9 @@ def jaccard_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
 
     comp = _link(spark, ws, found, blocks, size, num, den)
     ws.drop("blocks")
-    member = found.select("doc_id", "n_shingles", "class_id")
-    top = F.lit(NULL_ID)
-    out = member.join(comp.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
-    return out.select("doc_id", "n_shingles", F.nullif("class_id", top).alias("class_id"), F.nullif(F.coalesce("component", "class_id"), top).alias("component_id"))
+    member = found.select(F.col("doc_id").alias(ROW), "n_shingles", F.col("class_id").alias("class"))
+    out = member.join(comp.select(F.col("node").alias("class"), "component"), "class", "left")
+    return out.select(ROW, "n_shingles", "class", F.coalesce("component", "class").alias("component"))
 
 
 def _dealt(digests: np.ndarray, n_slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -479,23 +491,11 @@ def drop_similar(spark: SparkSession, docs: DataFrame, size: int = 5, threshold:
     """
     ws = Workspace(spark, "jaccard-gone")
     rows = ws.numbered(docs, "rows")
-    ids = rows.select(ROW, F.col("doc_id").cast("long").alias("doc_id"))
-    # the first row of an id goes by the id, other rows by a number above all ids
-    firsts = ids.filter("doc_id is not null").groupBy("doc_id").agg(F.min(ROW).alias(ROW)).select(ROW)
-    more = ws.put(ids.select(ROW).join(firsts, ROW, "left_anti").withColumn("more", F.lit(True)), "more")
-    high, last = ids.agg(F.coalesce(F.max("doc_id"), F.lit(0)), F.coalesce(F.max(ROW), F.lit(0))).first()
-    node = F.lit(max(high, 0) + 1) + F.col(ROW) if max(high, 0) + 1 + last < NULL_ID else None
-    if more.isEmpty():
-        marked = rows.withColumn(NODE, F.col("doc_id").cast("long"))
-    elif node is None:
-        marked = rows.withColumn(NODE, F.col(ROW))
-    else:
-        marked = rows.join(more, ROW, "left").withColumn(NODE, F.when(F.col("more"), node).otherwise(F.col("doc_id").cast("long")))
-    groups = jaccard_groups(spark, marked, id_col=NODE, size=size, threshold=threshold).select(F.col("doc_id").alias(NODE), "component_id")
-    named = ws.put(groups.join(marked.select(ROW, NODE, "doc_id"), NODE), "named")
-    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW)).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
+    groups = row_groups(spark, Workspace(spark, "jaccard-join"), rows.select(ROW, F.col("text").cast("string").alias("text")), size, threshold)
+    named = ws.put(rows.select(ROW, "doc_id").join(groups, ROW).select(ROW, "doc_id", "component"), "named")
+    first = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW)).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
     gone = ws.put(named.select(ROW).join(first, ROW, "left_anti"), "gone")
-    ws.drop("named", "more")
+    ws.drop("named")
     return rows.join(gone, ROW, "left_anti").select(*docs.columns)
 
 

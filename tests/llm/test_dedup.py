@@ -102,6 +102,42 @@ def test_jaccard_of_null_ids_and_empty_tables(spark):
     got = jaccard_join.jaccard_groups(spark, frame(spark, [(None, "a b c d e f"), (3, "a b c d e f"), (4, None)])).collect()
     assert sorted((r["doc_id"] is None, r["component_id"]) for r in got) == [(False, 3), (False, 4), (True, 3)]
     assert jaccard_join.jaccard_groups(spark, frame(spark, [])).count() == 0
+
+
+def row_components(rows, size, num):
+    """Each row's smallest id reachable by links; rows are nodes, ids are only names."""
+    sets = []
+    for _, t in rows:
+        w = words((t or "").lower())
+        sets.append({tuple(w[p:p + size]) for p in range(len(w) - size + 1)} or ({tuple(w)} if w else set()))
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]):
+                root[find(a)] = find(b)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        r = find(k)
+        least[r] = min((x for x in (least.get(r), i) if x is not None), default=None)
+    return sorted(((i, len(sets[k]), least[find(k)]) for k, (i, _) in enumerate(rows)), key=repr)
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_repeated_and_null_ids_are_linked_by_their_texts(spark, parts):
+    rnd = random.Random(4)
+    text = lambda seed, n=60: [f"w{random.Random(seed * 1000 + k).randint(0, 400)}" for k in range(n)]
+    near = lambda w: " ".join([*w[:20], f"new{rnd.randint(0, 99)}", *w[21:]])
+    x, y, z = text(1), text(2), text(3)
+    rows = [(5, " ".join(x)), (5, " ".join(y)), (9, near(y)), (7, near(x)), (3, " ".join(z)), (None, near(z)), (None, near(y)), (None, " ".join(text(4))), (None, near(text(4)))]
+    rows += [(5, " ".join(y)), (11, None), (11, "  "), (12, "one two"), (12, "ONE  two"), (4, " ".join(text(5)))] + [(20 + k, " ".join(text(6 + k))) for k in range(30)]
+    got = jaccard_join.jaccard_groups(spark, frame(spark, rows).repartition(parts), size=3, threshold=(80, 100)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=repr) == row_components(rows, 3, 80)
     kept = jaccard_join.drop_similar(spark, frame(spark, [(1, "a b c d e f"), (2, "a b c d e f"), (3, "")]))
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3] and kept.columns == ["doc_id", "text", "n_words", "slice", "keys"]
 
