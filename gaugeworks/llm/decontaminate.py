@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gaugeworks.operators.ordering import carried
+
 from ._store import ROW, Workspace, bound_batches
 from ._text import NON_ALNUM, pieces, split_words, window_hashes
 
@@ -133,17 +135,17 @@ def item_parts(spark: SparkSession, benchmark: DataFrame, part_bytes: int = PART
     size = F.octet_length("text") + 64
     items = benchmark.select(F.col("item_id").alias("id"), F.col("text").cast("string").alias("text")).filter("text is not null")
     total = items.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    n = max(1, -(-total // part_bytes))
-    if n == 1:
+    if total <= part_bytes:
         return items.withColumn("part", F.lit(0)), [0]
-    # rows are dealt by a number of their own, so that repeated texts part too
-    rows = Workspace(spark, "benchmark").numbered(items, "rows")
-    while True:
-        dealt = rows.withColumn("part", F.pmod(F.xxhash64(ROW), F.lit(n)))
-        sizes = dealt.groupBy("part").agg(F.sum(size).alias("bytes"), F.count("*").alias("n"))
-        if sizes.filter((F.col("bytes") > part_bytes) & (F.col("n") > 1)).isEmpty():
-            return dealt.select("id", "text", "part"), sorted(r["part"] for r in sizes.select("part").collect())
-        n *= 2
+    # rows are dealt by the bytes of the rows before them, so that half a part and one item more, of half a part at most, go together
+    rows = Workspace(spark, "benchmark").numbered(items.withColumn("size", size.cast("long")), "rows")
+    half = max(1, part_bytes // 2)
+    small = carried(rows.filter(F.col("size") <= half).select(ROW, "size"), ROW, "size", "before", F.sum)
+    dealt = small.select(ROW, F.expr(f"coalesce(before, 0L) div {half}").alias("part"))
+    # a larger item is a part of its own
+    alone = rows.filter(F.col("size") > half).select(ROW, (-1 - F.col(ROW)).alias("part"))
+    placed = Workspace(spark, "benchmark").put(rows.join(dealt.union(alone), ROW).select("id", "text", "part"), "placed")
+    return placed, sorted(r["part"] for r in placed.select("part").distinct().collect())  # as many as parts
 
 
 def find_hits(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, part_bytes: int = PART_BYTES) -> DataFrame:

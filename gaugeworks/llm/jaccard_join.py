@@ -48,7 +48,6 @@ SKETCH_BITS = 13
 HOT = 32
 _C = np.uint64(0x9E3779B97F4A7C15)
 BLOCK_BYTES = 2 << 20
-NODE = "_gaugeworks_node"
 
 
 class Bands:

@@ -201,6 +201,22 @@ def test_reputation_shrinks_hosts_to_their_domain(spark):
     assert got[700]["mean"] < got[702]["mean"] < got[701]["mean"]
 
 
+def test_a_long_item_adds_one_part(spark):
+    short = [(i, f"item {i} " + "word " * 20) for i in range(1500)]
+    sizes = {i: len(t) + 64 for i, t in short}
+    made = {}
+    for name, items in (("short", short), ("long", [*short, (9999, "long " * 4000)])):
+        dealt, parts = decontaminate.item_parts(spark, spark.createDataFrame(items, "item_id long, text string").repartition(3), part_bytes=4000)
+        rows = dealt.collect()
+        assert sorted((r["id"], r["text"]) for r in rows) == sorted(items) and parts == sorted({r["part"] for r in rows})
+        load = {}
+        for r in rows:
+            load.setdefault(r["part"], []).append(sizes.get(r["id"], 20_064))
+        assert all(sum(x) <= 4000 or len(x) == 1 for x in load.values())
+        made[name] = len(parts)
+    assert made["long"] == made["short"] + 1 and made["short"] <= 2 * sum(sizes.values()) / 4000 + 1
+
+
 def test_mixing_meets_targets_and_repeats_by_rate(spark):
     rnd = random.Random(9)
     vocab = {"a": [f"a{i}" for i in range(50)], "b": [f"b{i}" for i in range(50)]}
