@@ -77,7 +77,7 @@ class Mixture:
     """Everything that a document's rate depends on but its text; of fixed size."""
 
     domains: tuple[str, ...]
-    weights: np.ndarray  # half x domain x bucket; of a half that the other's texts are learnt in
+    weights: np.ndarray | None  # half x domain x bucket; of a half that the other's texts are learnt in
     bias: np.ndarray  # half x domain
     scale: np.ndarray  # of margins, a domain
     shift: np.ndarray
@@ -237,7 +237,7 @@ def _descend(scored: DataFrame, model: Mixture, share: np.ndarray, free: bool, t
 
     def sums(g: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
         """For each length of a further step g: x, its H over documents that aren't held, sum of n (r - 1)^2, of n r, of r, of r^2, and the counts."""
-        m, now = len(lengths), spark.sparkContext.broadcast((model, g, lengths))
+        m, now = len(lengths), spark.sparkContext.broadcast((_with(model, weights=None), g, lengths))  # a few vectors
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, g, lengths = now.value
@@ -372,7 +372,7 @@ def _rated(ids: pa.Array, n, margins: np.ndarray, model: Mixture, seed: int) ->
 
 def fitted_rates(fitted: Fitted, seed: int = 11) -> DataFrame:
     """What :func:`document_rates` returns, for the documents of the fit; no text is read again."""
-    shared = fitted.scored.sparkSession.sparkContext.broadcast(fitted.model)
+    shared = fitted.scored.sparkSession.sparkContext.broadcast(_with(fitted.model, weights=None))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
