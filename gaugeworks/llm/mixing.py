@@ -1,7 +1,7 @@
 """Mixing sources to target weights, with soft membership.
 
 A classifier learns from the texts of a labelled table, one logistic model a domain over
-hashed words, pairs and beginnings of words, in one task from at most ``max_rows`` ids and
+hashed words and beginnings of words, in one task from at most ``max_rows`` ids and
 ``max_bytes`` of text (documented bounds).  Texts are halved by a hash of their words, a
 model learns from each half, and a text is scored by the model of the other: no
 document, labelled or not, meets a model that has learnt its words.  A scale and a bias a
@@ -48,13 +48,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ._store import Workspace
-from ._text import NON_ALNUM, Words, mix, pieces, release, split_words
-from .toxicity import STEP_BYTES, Ftrl, features
+from ._text import NON_ALNUM, Words, mix, pieces, release, split_words, word_hashes
+from .toxicity import STEP_BYTES, Ftrl
 
 BITS = 18
 #: labelled ids and bytes of text that are learnt from, and rows that calibrate
 MAX_ROWS, MAX_BYTES, MAX_KEPT = 4096, 32 << 20, 1 << 14
-PASSES, L1 = 3, 1.0
+PASSES, L1 = 3, 3.0
+#: bytes of the beginnings that longer words also count by
+STEMS = (5, 7)
 #: margins level off here; long texts add up more of them
 STEEP = 10.0
 #: gap of a domain as a part of its target (of a hundredth of the tokens at least)
@@ -97,7 +99,7 @@ class Mixture:
         n, out = [np.zeros(0, np.int64)], [np.zeros((0, len(self.domains)))]
         for (part,) in pieces([texts], 0, STEP_BYTES):
             words = split_words(part, NON_ALNUM, lower=True)
-            doc, bucket = features(words, BITS)
+            doc, bucket = features(words)
             half = halves(words, bucket)
             used = (self.weights[:, :, bucket] != 0).any(axis=(0, 1))
             key = np.unique((doc[used] << BITS) | bucket[used])
@@ -123,6 +125,16 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=1, keepdims=True)
 
 
+def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(document, bucket) of each word, then of beginnings of longer ones."""
+    doc, hashes = [words.doc_of()], [mix(words.hashes())]
+    for n in STEMS:
+        at = np.flatnonzero(words.ends - words.starts > n)
+        doc.append(doc[0][at])
+        hashes.append(word_hashes(words.buf, words.starts[at], words.starts[at] + n, seed=n))
+    return np.concatenate(doc), (np.concatenate(hashes) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
 def halves(words: Words, bucket: np.ndarray) -> np.ndarray:
     """0 or 1 for each text by its words, of which ``bucket`` begins with one each; copies stay together."""
     total = np.bincount(words.doc_of(), bucket[: len(words.starts)], len(words.counts))
@@ -146,7 +158,7 @@ def learn_domains(spark: SparkSession, docs: DataFrame, labelled: DataFrame, dom
                 if seen >= max_bytes:
                     break
                 words = split_words(texts, NON_ALNUM, lower=True)
-                doc, bucket = features(words, BITS)
+                doc, bucket = features(words)
                 half += halves(words, bucket).tolist()
                 key = np.unique((doc << BITS) | bucket)
                 found += np.split((key & ((1 << BITS) - 1)).astype(np.int32), np.searchsorted(key >> BITS, np.arange(1, len(words.counts))))
