@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gaugeworks.operators.ordering import carried
 
 from ._store import ROW, Workspace, bound_batches
-from ._text import NON_ALNUM, pieces, split_words, window_hashes
+from ._text import NON_ALNUM, pieces, release, split_words, window_hashes
 
 SIZE = 13
 PART_BYTES = 8 << 20
@@ -168,6 +168,7 @@ def find_hits(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col
                         [ids, pa.array(n, pa.int64()), pa.array(hit, pa.int64()), pa.array(spans, _SPAN), pa.array(who, pa.list_(pa.string())), *row],
                         names=["doc_id", "n_words", "n_hit", "spans", "items", *(["row"] if row else [])],
                     )
+                release()
 
         schema = "doc_id long, n_words long, n_hit long, spans array<struct<start:long,end:long>>, items array<string>"
         hits = picked.mapInArrow(scan, schema + (", row long" if len(parts) > 1 else ""))

@@ -428,6 +428,7 @@ def resample(spark: SparkSession, docs: DataFrame, model: Mixture | None, seed:
                 size = pc.binary_length(cols[text].cast(pa.binary())).fill_null(0).to_numpy(zero_copy_only=False)[at] + 64
                 for part in np.split(at, np.flatnonzero(np.diff(np.cumsum(size) // COPY_BYTES)) + 1):
                     yield pa.RecordBatch.from_arrays([c.take(pa.array(part)) for c in cols], names=names)
+            release()
 
     return docs.mapInArrow(repeat, docs.schema)
 

@@ -170,6 +170,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame, **option
             for cols in pieces(b.columns, text, STEP_BYTES):
                 good = pa.array(_scores(cols[text], *model.value) < 0.5)
                 yield pa.RecordBatch.from_arrays([c.filter(good) for c in cols], names=names)
+            release()
 
     return docs.mapInArrow(keep, docs.schema)
 
