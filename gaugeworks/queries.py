@@ -446,9 +446,16 @@ def normalize_slug(spark, sf):
 from gaugeworks import queries_durable, queries_rules  # noqa: E402,F401  (register their own)
 
 
+#: cases of rules that read no table: the tests run them with their SQL, but they are no queries
+CASES = (
+    "column_addresses", "decimals_parsed", "formula_references", "package_documents", "package_gate", "package_kinds",
+    "package_ports", "percent_readings", "plan_reducers", "plan_scores", "proposal_loops", "replies_read",
+)
+
+
 def queries() -> dict[str, Query]:
-    return {name: q for name, (q, _) in CATALOGUE.items()}
+    return {name: q for name, (q, _) in CATALOGUE.items() if name not in CASES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in CATALOGUE.items() if sql}
+    return {name: sql for name, (_, sql) in CATALOGUE.items() if sql and name not in CASES}

@@ -22,14 +22,15 @@ def rows(frame, columns):
 
 
 @pytest.mark.skipif(not SF.exists(), reason="no tables")
-@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+@pytest.mark.parametrize("name", sorted([*queries.oracle_sql(), *queries.CASES]))
 def test_query_matches_its_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    expected = con.execute(queries.oracle_sql()[name]).df()
-    got = queries.queries()[name](spark, str(SF)).toPandas()
+    query, sql = queries.CATALOGUE[name]
+    expected = con.execute(sql).df()
+    got = query(spark, str(SF)).toPandas()
     columns = sorted(expected.columns)
     assert sorted(got.columns) == columns
     assert rows(got, columns) == rows(expected, columns)
