@@ -18,11 +18,12 @@ def components(spark: SparkSession, edges: DataFrame, ws: Workspace) -> DataFram
 
     ``edges`` has a and b; loops, repeats and nulls are ignored.
     """
-    pair = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b")
-    left = ws.put(pair.union(pair.select("b", "a")).distinct(), "edges-0")
+    once = lambda df: df.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()  # noqa: E731  an edge is one row
+    left = ws.put(once(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))), "edges-0")
     labels, round_no = None, 0
     while not left.isEmpty():
-        step = ws.put(left.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("to")), f"step-{round_no}")
+        both = left.select("a", "b").union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        step = ws.put(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("to")), f"step-{round_no}")
         for jump in range(2):
             up = step.select(F.col("node").alias("to"), F.col("to").alias("up"))
             step = ws.put(step.join(up, "to").select("node", F.col("up").alias("to")), f"jump-{round_no}-{jump}")
@@ -35,5 +36,5 @@ def components(spark: SparkSession, edges: DataFrame, ws: Workspace) -> DataFram
         by_b = step.select(F.col("node").alias("b"), F.col("to").alias("new_b"))
         half = ws.put(left.join(by_a, "a").select(F.col("new_a").alias("a"), "b").distinct(), f"half-{round_no}")
         round_no += 1
-        left = ws.put(half.join(by_b, "b").select("a", F.col("new_b").alias("b")).filter("a <> b").distinct(), f"edges-{round_no}")
+        left = ws.put(once(half.join(by_b, "b").select("a", F.col("new_b").alias("b"))), f"edges-{round_no}")
     return spark.createDataFrame([], "node long, component long") if labels is None else labels
