@@ -105,7 +105,7 @@ class Engine:
         """Columns of the region: name, samples, formula rows, and whether a vertical merge covers them."""
         names = list(found.plan.column_ids.values())
         shown = profile.samples(found.region, names, "source_row_id")
-        filled = {r["column_name"]: r["non_null"] for r in profile.profile_columns(found.region, names, "source_row_id").select("column_name", "non_null").collect()}
+        filled = {r["column_name"]: r["non_null"] for r in profile.profile_columns(found.region, names, "source_row_id", distinct=False).select("column_name", "non_null").collect()}
         tall = [(r["c1"], r["c2"]) for r in found.merges.filter("r2 > r1").select("c1", "c2").collect()]
         return [
             {"column_id": i, "name": n, "non_null": filled.get(n, 0), "samples": [v[:120] for v in shown[n]], "formula_rows": list(found.plan.formula_rows.get(i, ())),

@@ -54,25 +54,26 @@ def variants_of(text: str) -> set[str]:
 def identity_candidates(df: DataFrame, columns: list[str], weight: str | None = None, group: str | None = None, order: str = "source_row_id") -> DataFrame:
     """For each column the means it could stand for: plain, weighted, and both over first values of groups.
 
-    Text is read leniently: what isn't a plain number is no value.
+    Text is read leniently: what isn't a plain number is no value.  All columns' sums are taken in
+    one row a task, without a row a cell; first values of a group are one row a group.
     """
-    number = lambda c: F.col(f"`{c}`").try_cast("double")
-    cells = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(c).alias("column_name"), number(c).alias("x")) for i, c in enumerate(columns))))
-    w = number(weight) if weight else F.lit(1.0)
-    rows = df.select(F.col(order).alias("o"), (F.col(group) if group else F.lit(None).cast("string")).alias("g"), w.alias("w"), cells.alias("c")).select("o", "g", "w", "c.i", "c.column_name", "c.x")
-    rows = rows.filter("not isnan(x)")
+    number = lambda c: F.nullif(F.col(f"`{c}`").try_cast("double"), F.lit(float("nan")))
+    values = {f"x{i}": number(c) for i, c in enumerate(columns)} | {"w": number(weight) if weight else F.lit(1.0)}
+    rows = df.select(F.col(order).alias("o"), (F.col(group) if group else F.lit(None).cast("string")).alias("g"), *(v.alias(k) for k, v in values.items()))
 
     def means(t: DataFrame, unit: str) -> DataFrame:
-        both = F.col("x").isNotNull() & F.col("w").isNotNull()
-        m = t.groupBy("i", "column_name").agg(F.avg("x").alias("mean"), F.sum(F.when(both, F.col("x") * F.col("w"))).alias("xw"), F.sum(F.when(both, F.col("w"))).alias("ws"))
-        forms = [F.struct(F.lit("mean").alias("reducer"), F.col("mean").alias("value"))]
-        if weight:
-            forms.append(F.struct(F.lit("frequency_weighted_mean").alias("reducer"), F.when(F.col("ws") > 0, F.col("xw") / F.col("ws")).alias("value")))
-        return m.select("i", "column_name", F.lit(unit).alias("assessment_mode"), F.explode(F.array(*forms)).alias("f")).select("i", "column_name", "assessment_mode", "f.reducer", "f.value")
+        forms = []
+        for i, c in enumerate(columns):
+            x, w = F.col(f"x{i}"), F.col("w")
+            both = x.isNotNull() & w.isNotNull()
+            weights = F.sum(F.when(both, w))
+            found = {"mean": F.avg(x)} | ({"frequency_weighted_mean": F.when(weights > 0, F.sum(F.when(both, x * w)) / weights)} if weight else {})
+            forms += [F.struct(F.lit(i).alias("i"), F.lit(c).alias("column_name"), F.lit(unit).alias("assessment_mode"), F.lit(k).alias("reducer"), v.alias("value")) for k, v in found.items()]
+        return t.agg(F.array(*forms).alias("f")).select(F.inline("f"))
 
     out = means(rows, "qa")
     if group:
-        firsts = rows.groupBy("g", "i", "column_name").agg(F.min_by("x", F.when(F.col("x").isNotNull(), F.col("o"))).alias("x"), F.min_by("w", F.when(F.col("w").isNotNull(), F.col("o"))).alias("w"))
+        firsts = rows.groupBy("g").agg(*(F.min_by(k, F.when(F.col(k).isNotNull(), F.col("o"))).alias(k) for k in values))
         out = out.union(means(firsts, "dialogue"))
     return out.filter("value is not null")
 

@@ -347,6 +347,25 @@ def profile_columns(spark, sf):
     return profile.profile_columns(table(spark, sf, "customer"), list(_CUSTOMER), "c_custkey").select("column_name", "non_null", "numeric", "distinct_values")
 
 
+_DOCUMENT = ("lang", "source", "n_chars", "text")
+_WHITE = r"[\s\x{A0}\x{85}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x1C-\x1F]+"
+_LISTED = "string_agg(v || '=' || n, '|' ORDER BY n DESC, f)"
+
+
+@register(f"""
+WITH cells AS (SELECT c, doc_id, trim(regexp_replace(raw, '{_WHITE}', ' ', 'g')) AS v FROM ({' UNION ALL '.join(f"SELECT '{c}' AS c, doc_id, {c}::VARCHAR AS raw FROM documents" for c in _DOCUMENT)})),
+kept AS (SELECT * FROM cells WHERE v <> ''),
+counts AS (SELECT c, v, count(*) AS n, min(doc_id) AS f FROM kept GROUP BY ALL),
+whole AS (SELECT c, sum(n)::BIGINT AS non_null, sum(CASE WHEN try_cast(v AS DOUBLE) IS NOT NULL THEN n ELSE 0 END)::BIGINT AS numbers, CASE WHEN count(*) <= 30 THEN {_LISTED} END AS listed FROM counts GROUP BY c),
+firsts AS (SELECT c, string_agg(CASE WHEN length(v) > 200 THEN left(v, 199) || '…' ELSE v END, chr(31) ORDER BY doc_id) AS samples FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY doc_id) AS r FROM kept) WHERE r <= 3 GROUP BY c)
+SELECT c AS column_name, non_null, numbers AS "numeric", samples, listed AS "values" FROM whole JOIN firsts USING (c)""")
+def profile_evidence(spark, sf):
+    """What a proposer sees of each column of whole documents, texts included."""
+    told = profile.profile_columns(table(spark, sf, "documents"), list(_DOCUMENT), "doc_id", distinct=False)
+    listed = F.array_join(F.transform("values", lambda x: F.concat(x["value"], F.lit("="), x["n"].cast("string"))), "|")
+    return told.select("column_name", "non_null", "numeric", F.array_join("samples", "\x1f").alias("samples"), listed.alias("values"))
+
+
 @register("\nUNION ALL\n".join(f"""
 SELECT '{c}' AS column_name, {c} AS value, count(*) AS n, min(o_orderkey) AS first_row FROM orders GROUP BY {c}""" for c in ("o_orderstatus", "o_orderpriority")))
 def profile_top_values(spark, sf):
@@ -416,6 +435,28 @@ def reconcile_identity_plans(spark, sf):
     return out.select("column_name", "assessment_mode", "reducer", F.round("value", 6).alias("value"))
 
 
+_CANDIDATES = ("o_custkey", "o_totalprice", "o_orderpriority", "part")
+
+
+def _candidate_sql(source: str, unit: str) -> str:
+    two = lambda c: (("mean", f"avg(try_cast({c} AS DOUBLE))"), ("frequency_weighted_mean", f"sum(try_cast({c} AS DOUBLE) * w) / sum(CASE WHEN try_cast({c} AS DOUBLE) IS NOT NULL THEN w END)"))
+    return "\nUNION ALL\n".join(f"SELECT '{c}' AS column_name, '{unit}' AS assessment_mode, '{name}' AS reducer, {e} AS value FROM {source}" for c in _CANDIDATES for name, e in two(c))
+
+
+@register(f"""
+WITH r AS (SELECT o_orderkey, o_orderkey % 97 AS g, o_custkey, o_totalprice, o_orderpriority, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice / 7 END AS part, CASE WHEN o_orderkey % 5 <> 0 THEN (o_orderkey % 7)::DOUBLE END AS w FROM orders),
+f AS (SELECT {', '.join(f"arg_min({c}, o_orderkey) FILTER ({c} IS NOT NULL) AS {c}" for c in (*_CANDIDATES, 'w'))} FROM r GROUP BY g)
+SELECT column_name, assessment_mode, reducer, round(value, 4) AS value FROM ({_candidate_sql('r', 'qa')}
+UNION ALL {_candidate_sql('f', 'dialogue')}) WHERE value IS NOT NULL""")
+def reconcile_candidates(spark, sf):
+    """Every mean of every column, over rows and over first values of groups, with weights that are partly missing."""
+    k = F.col("o_orderkey")
+    rows = table(spark, sf, "orders").select(
+        k, (k % 97).alias("g"), *_CANDIDATES[:3], F.when(k % 3 == 0, F.col("o_totalprice") / 7).alias("part"), F.when(k % 5 != 0, (k % 7).cast("double")).alias("w"))
+    found = reconcile.identity_candidates(rows, list(_CANDIDATES), weight="w", group="g", order="o_orderkey")
+    return found.select("column_name", "assessment_mode", "reducer", F.round("value", 4).alias("value"))
+
+
 _DIGESTED = ("o_custkey", "o_orderstatus", "o_orderpriority")
 
 

@@ -205,3 +205,32 @@ def test_profiles_and_candidates(spark):
     got = {(r["column_name"], r["assessment_mode"], r["reducer"]): round(r["value"], 6) for r in c.collect()}
     assert got == {("mark", "qa", "mean"): 0.666667, ("mark", "qa", "frequency_weighted_mean"): 0.75, ("mark", "dialogue", "mean"): 1.0, ("mark", "dialogue", "frequency_weighted_mean"): 1.0}
     assert [r["reducer"] for r in reconcile.matching_plans(c, Decimal("0.75"), Decimal("0.01")).collect()] == ["frequency_weighted_mean"]
+
+
+def test_column_evidence_is_bounded_and_whole(spark):
+    # 30 values are listed, 31 aren't, whether a task sees them all or few; long texts and numbers are whole
+    rows = [(i, str(i % 30), str(i % 31), f"v{i}", "x" * 500 if i % 2 else None, " \t" if i else "1,5 %") for i in range(2000)]
+    df = spark.createDataFrame(rows, "n long, a string, b string, c string, d string, e string")
+    for parts in (df.coalesce(1), df.repartition(7), df.repartition(150)):
+        got = {r["column_name"]: r for r in profile.profile_columns(parts, ["a", "b", "c", "d", "e"], "n", distinct=False).collect()}
+        assert [(v["value"], v["n"]) for v in got["a"]["values"]] == [(str(i), 67 if i < 20 else 66) for i in range(30)]
+        assert got["b"]["values"] is None and got["c"]["values"] is None and got["c"]["samples"] == ["v0", "v1", "v2"]
+        assert (got["d"]["non_null"], got["d"]["numeric"]) == (1000, 0) and got["d"]["samples"] == ["x" * 199 + "…"] * 3
+        assert got["d"]["values"][0]["value"] == "x" * 500 and (got["e"]["non_null"], got["e"]["numeric"]) == (1, 1)
+    assert profile.profile_columns(df.filter("n < 0"), ["a", "e"], "n").collect() == []
+    # what a task sends doesn't grow with the values
+    cells = df.repartition(4).select(F.lit("c").alias("key"), F.col("n").alias("row"), F.col("c").alias("value"))
+    sent = sum(len(f) for part in range(4) for f in profile._tally(iter([cells.filter(F.col("row") % 4 == part).withColumn("is_number", F.lit(False)).toPandas()])))
+    assert sent <= 4 * (1 + profile.SAMPLES)
+
+
+def test_candidates_take_one_row_a_task(spark):
+    df = spark.createDataFrame([(i, "g" if i % 2 else None, "nan" if i % 3 == 0 else str(i), i % 4 == 0, "nan" if i == 1 else "2") for i in range(12)], "source_row_id long, g string, x string, y boolean, w string")
+    found = reconcile.identity_candidates(df, ["x", "y"], weight="w", group="g")
+    got = {(r["column_name"], r["assessment_mode"], r["reducer"]): round(r["value"], 6) for r in found.collect()}
+    xs = [i for i in range(12) if i % 3]
+    assert got[("x", "qa", "mean")] == round(sum(xs) / len(xs), 6) and got[("x", "qa", "frequency_weighted_mean")] == round((sum(xs) - 1) / 7, 6)
+    assert got[("y", "qa", "mean")] == 0.25 and got[("x", "dialogue", "mean")] == 1.5 and got[("y", "dialogue", "mean")] == 0.5
+    assert got[("x", "dialogue", "frequency_weighted_mean")] == 1.5  # a group's first weight that is a number
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.count("Aggregate"), plan.count("Generate"), plan.count("Expand")) == (3, 2, 0)  # sums of all columns in a row, then a row a mean
