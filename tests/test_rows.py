@@ -234,3 +234,30 @@ def test_candidates_take_one_row_a_task(spark):
     assert got[("x", "dialogue", "frequency_weighted_mean")] == 1.5  # a group's first weight that is a number
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert (plan.count("Aggregate"), plan.count("Generate"), plan.count("Expand")) == (3, 2, 0)  # sums of all columns in a row, then a row a mean
+
+
+@pytest.mark.parametrize("container", ["plain_text", "python_list"])
+def test_marked_text_needs_no_python(spark, container):
+    rng, pieces = random.Random(7), ["Q:", "A:", "Q :", "__A\x1c:", "_", " ", "\n", "\t", "\xa0", "\x85", "\x1f", "q", "й", "x.y", "Q", ":", "'", ""]
+    cells = [None, "", "Q:", "Q: A:", "Q: a A:", "Q: a A: b", "A: a Q: b", " _\nQ: a A: b__\n"] + ["".join(rng.choices(pieces, k=rng.randint(1, 14))) for _ in range(1500)]
+    cells += ["".join(f"{rng.choice(['', '_', ' ', chr(0xa0)])}Q: {rng.choice('abc _')}{rng.choice(pieces[3:])} A:{rng.choice('ab _')}" for _ in range(rng.randint(1, 4))) for _ in range(1500)]
+    df = spark.createDataFrame(list(enumerate(cells)), "source_row_id long, cell string")
+    got = {r["source_row_id"]: [(t["question"], t["answer"]) for t in r["turns"]] for r in grouping.marked_turns(df, "cell", "Q", "A", container, "turns").collect()}
+    split = grouping.MarkerSplit("Q", "A", container)
+    want = {i: [] if c is None else split.turns(c) for i, c in enumerate(cells)}
+    assert got == want and sum(map(bool, want.values())) > 300
+    whole = df.filter(F.col("source_row_id").isin([i for i, t in want.items() if t]))
+    out = grouping.unroll_cell(whole, "cell", "Q", "A", container)
+    assert out.count() == sum(map(len, want.values()))
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_literals_beside_marked_text(spark):
+    rows = [(1, "Q: a A: b"), (2, "\n[('x', 'y', None)]"), (3, "(['7', 'u', 'v'],)"), (4, "[Q: c A: d"), (5, "# c\n[('x', 'y', 'z')]")]
+    df = spark.createDataFrame(rows, "source_row_id long, cell string")
+    good = grouping.unroll_cell(df.filter("source_row_id <> 4"), "cell", "Q", "A").orderBy("source_row_id").collect()
+    assert [(r["query_id_override"], r["blob_question"], r["blob_answer"]) for r in good] == [("row-1-t1", "a", "b"), ("x", "y", None), ("7", "u", "v"), ("x", "y", "z")]
+    with pytest.raises(LayoutError) as caught:
+        grouping.unroll_cell(df, "cell", "Q", "A")
+    assert "4" in str(caught.value.__dict__) + str(caught.value)
+    assert grouping.unroll_cell(df.filter("source_row_id > 9"), "cell", "Q", "A").count() == 0
