@@ -12,11 +12,13 @@ Word keys that occur once are sorted out by the sharded sketch of :mod:`._blocks
 only sets with a repeated key go on.  Within a key, every set is verified against the
 smallest id, and verified links are joined to components.  What is left are keys whose
 sets fell into different components: those are compared tile by tile, by sketch and
-across components only, once for all keys that the same sets share; what the sketches
-can't rule out is verified.  No stage emits all pairs of a group, and no link between
+across components only, once for all keys that the same sets share.  A comparison
+tells which of its sets the sketches don't rule out; these meet again with their
+shingles and are verified where they meet, and only links that join what no earlier
+one has joined leave the task.  No stage emits all pairs of a group, and no link between
 different texts is lost.  A family of sets that are all near the threshold, but in
-components of their own, is still compared within itself, so that sketch comparisons
-grow with the square of such a family.
+components of their own, is still compared within itself, so that comparisons, though
+not rows, grow with the square of such a family.
 
 Defined results: null texts and texts without words have no shingles and link with
 nothing; with fewer words than ``size`` the whole sequence is one shingle; rows that
@@ -32,7 +34,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ._blocks import Block, NULL_ID, binary_array, cut, each_block, id_array, make_blocks, repeated_keys, sketch_repeats, slice_of, slices_for
 from ._components import components
@@ -48,6 +50,10 @@ SKETCH_BITS = 13
 HOT = 32
 _C = np.uint64(0x9E3779B97F4A7C15)
 BLOCK_BYTES = 2 << 20
+#: one comparison of two tiles of a key's sets
+COMPARISON = ["key", "kind", "low", "high"]
+#: bytes of shingles that a comparison's part has on average
+PART_BYTES = 16 << 20
 
 
 class Bands:
@@ -286,7 +292,7 @@ def _link(spark: SparkSession, ws: Workspace, found: DataFrame, blocks: DataFram
     across = _across(ws, keys, hubs, comp, heavy, num, den)
     if across.isEmpty():
         return comp
-    more = _verified(ws, across, sets, num, den, "links-across")
+    more = _joined(ws, across, sets, num, den)
     if more.isEmpty():
         return comp
     return components(spark, links.union(more), Workspace(spark, "jaccard-join-across"))
@@ -357,10 +363,11 @@ def _verified(ws: Workspace, pairs: DataFrame, sets_of, num: int, den: int, name
 
 
 def _across(ws: Workspace, keys: DataFrame, hubs: DataFrame, comp: DataFrame, heavy: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that share a key but not a component, none of them its hub, as far as sketches allow.
+    """Sets that share a key with one of another component, neither of them its hub, and whose sketches come near.
 
     Keys that the same sets share are one.  A key's sets are dealt to tiles by id; each
-    pair of its tiles is one comparison of sketches.
+    pair of its tiles is one comparison of sketches (key, kind, low, high), whose rows
+    come back if they come near another one.
     """
     big = hubs.filter("n > 2").select("key", "hub", "n")
     named = ws.put(
@@ -383,22 +390,56 @@ def _across(ws: Workspace, keys: DataFrame, hubs: DataFrame, comp: DataFrame, he
     outer = outer.union(rows.filter("not own").select(*cols, each("t_major"), F.lit(1).alias("kind")).withColumn("low", F.col("tile")).withColumn("high", F.col("met")))
     side = F.when(F.col("kind") == 1, F.when(F.col("own"), 2).otherwise(1)).otherwise(F.when(F.col("tile") == F.col("low"), 1).otherwise(0) + F.when(F.col("tile") == F.col("high"), 2).otherwise(0))
     dealt = ws.put(inner.union(outer).select("key", "kind", "low", "high", side.alias("side"), "id", "component"), "dealt")
-    group = ["key", "kind", "low", "high"]
+    cols = [*COMPARISON, "side", "id", "component", "n_shingles"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for b in batches:
-            t = pa.table(b) if held is None else pa.concat_tables([held, pa.table(b)]).combine_chunks()
-            starts = _group_starts(t, group)
-            if len(starts):
-                yield _close_pairs(t.slice(0, starts[-1]), starts, num, den)
-                held = t.slice(starts[-1])
-        if held is not None:
-            yield _close_pairs(held.combine_chunks(), np.array([0, held.num_rows]), num, den)
+        for t, starts in _whole_groups(batches, COMPARISON):
+            sketches = _Sketches([np.frombuffer(x.as_buffer(), "<u8") for x in t["sketch"]])
+            near = np.zeros(t.num_rows, bool)
+            for x, y in _near_pairs(t, starts, sketches, t["component"].to_numpy(), num, den):
+                near[x] = near[y] = True
+            yield from t.select(cols).filter(pa.array(near)).combine_chunks().to_batches()
+
+    met = dealt.join(heavy.select("id", "n_shingles", "sketch"), "id").repartition(*COMPARISON).sortWithinPartitions(*COMPARISON)
+    close = met.mapInArrow(compare, "key long, kind int, low long, high long, side int, id long, component long, n_shingles long")
+    return ws.put(close, "across")
+
+
+def _joined(ws: Workspace, across: DataFrame, sets_of, num: int, den: int) -> DataFrame:
+    """(a, b) of pairs within a comparison that reach the threshold: in each, as many as join its components.
 
-    met = dealt.join(heavy.select("id", "n_shingles", "sketch"), "id").repartition(*group).sortWithinPartitions(*group)
-    close = met.mapInArrow(compare, "id long, other long")
-    return ws.put(close.select(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other")).distinct(), "across")
+    A comparison of more than PART_BYTES of shingles is done in parts, two at a time.
+    """
+    used = ws.put(sets_of(across.select("id").distinct()), "across-sets")
+    parts = F.ceil(F.sum(F.col("n_shingles") * 8).over(Window.partitionBy(*COMPARISON)) / PART_BYTES)
+    rows = across.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("id", F.lit(3)), "parts"))
+    rows = rows.withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    rows = rows.withColumns({"part_low": F.least("part", "met"), "part_high": F.greatest("part", "met")})
+    group = [*COMPARISON, "part_low", "part_high"]
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, starts in _whole_groups(batches, group):
+            yield _joining_links(t, starts, num, den)
+            release()
+
+    met = rows.select(*group, "part", "side", "id", "component", "n_shingles").join(used, "id").repartition(*group).sortWithinPartitions(*group)
+    links = ws.put(met.mapInArrow(join, "a long, b long"), "links-across")
+    ws.drop("across-sets")
+    return links
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups of sorted rows, with where groups begin and, last, where the rows end."""
+    held = None
+    for b in batches:
+        t = pa.table(b) if held is None else pa.concat_tables([held, pa.table(b)]).combine_chunks()
+        starts = _group_starts(t, group)
+        if len(starts):
+            if starts[-1]:
+                yield t.slice(0, starts[-1]), starts
+            held = t.slice(starts[-1])
+    if held is not None:
+        yield held.combine_chunks(), np.array([0, held.num_rows])
 
 
 def _group_starts(t: pa.Table, group: list[str]) -> np.ndarray:
@@ -415,14 +456,14 @@ def _group_starts(t: pa.Table, group: list[str]) -> np.ndarray:
 FIRST_WORDS, STEP_WORDS = 8, 1 << 21
 
 
-def _close_pairs(t: pa.Table, starts: np.ndarray, num: int, den: int) -> pa.RecordBatch:
-    """Pairs of a group's left and right rows (sides 1 and 2, or 3 for both) whose sketches come near.
+def _near_pairs(t: pa.Table, starts: np.ndarray, sketches: _Sketches, comps: np.ndarray, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a group's left and right rows (sides 1 and 2, or 3 for both) whose sketches come near, by place in the table.
 
     ``starts`` has where groups begin and, last, where the rows end.  Groups are worked
-    on together, in steps of bounded size.
+    on together, in steps of bounded size; pairs of one component are left out, as
+    ``comps`` has them when a step begins.  A step's pairs go by their left rows.
     """
-    ids, comps, sizes, side = (t[c].to_numpy() for c in ("id", "component", "n_shingles", "side"))
-    sketches = _Sketches(t["sketch"])
+    ids, sizes, side = (t[c].to_numpy() for c in ("id", "n_shingles", "side"))
     group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     order = np.lexsort((sizes, group))  # by size within a group, so that a row's partners are a run
     left, right = order[side[order] & 1 > 0], order[side[order] & 2 > 0]
@@ -433,7 +474,6 @@ def _close_pairs(t: pa.Table, starts: np.ndarray, num: int, den: int) -> pa.Reco
     begin = np.searchsorted(place, group[left] * width + low, side="left")
     end = np.searchsorted(place, group[left] * width + np.minimum(sizes[left] * den // num, width - 1), side="right")
     n = end - begin
-    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     cuts = np.flatnonzero(np.diff(np.cumsum(n) // (STEP_WORDS // FIRST_WORDS))) + 1
     for rows in np.split(np.arange(len(left)), cuts):
         a = np.repeat(left[rows], n[rows])
@@ -445,16 +485,57 @@ def _close_pairs(t: pa.Table, starts: np.ndarray, num: int, den: int) -> pa.Reco
         for words in (FIRST_WORDS, None):
             near = sketches.distance(a, b, words) <= most
             a, b, most = a[near], b[near], most[near]
-        out_a.append(ids[a])
-        out_b.append(ids[b])
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["id", "other"])
+        yield a, b
+
+
+def _close_pairs(t: pa.Table, starts: np.ndarray, num: int, den: int) -> pa.RecordBatch:
+    """The ids of all near pairs, for a look at a few."""
+    sketches = _Sketches([np.frombuffer(x.as_buffer(), "<u8") for x in t["sketch"]])
+    ids, pairs = t["id"].to_numpy(), list(_near_pairs(t, starts, sketches, t["component"].to_numpy(), num, den))
+    return pa.RecordBatch.from_arrays([pa.array(ids[np.concatenate([p[i] for p in pairs])]) for i in range(2)], names=["id", "other"])
+
+
+def _joining_links(t: pa.Table, starts: np.ndarray, num: int, den: int) -> pa.RecordBatch:
+    """Verified links of the groups of a table, as many as join components that no link before has joined."""
+    ids, sizes, part = (t[c].to_numpy() for c in ("id", "n_shingles", "part"))
+    two_parts = t["part_low"].to_numpy() != t["part_high"].to_numpy()
+    sets = [np.frombuffer(x.as_buffer(), "<u8") for x in t["shingles"]]
+    comps = t["component"].to_numpy().copy()
+    code = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    own = np.zeros(int(code.max()) + 1, bool)
+    out_a, out_b = [], []
+    for a, b in _near_pairs(t, starts, _Sketches([np.frombuffer(bit_sketch(x), "<u8") for x in sets]), comps, num, den):
+        ok = ~two_parts[a] | (part[a] != part[b])  # pairs within a part meet in the group of that part alone
+        a, b = a[ok], b[ok]
+        for i, j in zip(*_runs(a)):
+            x, others = a[i], b[i:j]
+            others = others[comps[others] != comps[x]]
+            if not len(others):
+                continue
+            own[code[at[x]:at[x + 1]]] = True
+            n = sizes[others]
+            common = np.add.reduceat(own[np.concatenate([code[at[y]:at[y + 1]] for y in others])], np.cumsum(n) - n, dtype=np.int64)
+            own[code[at[x]:at[x + 1]]] = False
+            for y in others[common * den >= (n + sizes[x] - common) * num]:
+                if comps[x] != comps[y]:
+                    out_a.append(ids[x])
+                    out_b.append(ids[y])
+                    comps[comps == comps[y]] = comps[x]
+    return pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+
+
+def _runs(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin and end."""
+    edges = np.flatnonzero(np.diff(a)) + 1
+    return (np.concatenate([[0], edges]), np.concatenate([edges, [len(a)]])) if len(a) else (edges, edges)
 
 
 class _Sketches:
     """Sketches of different lengths, and as folded for a comparison."""
 
-    def __init__(self, sketches: pa.ChunkedArray):
-        self.rows = [np.frombuffer(x.as_buffer(), "<u8") for x in sketches]
+    def __init__(self, rows: list[np.ndarray]):
+        self.rows = rows
         self.length = np.array([len(x) for x in self.rows], np.int64)
         self.made: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 

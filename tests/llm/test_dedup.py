@@ -259,3 +259,37 @@ def test_close_pairs_are_those_of_a_double_loop():
             if np.bitwise_count(jaccard_join.folded(x, n) ^ jaccard_join.folded(y, n)).sum() <= jaccard_join.most_different(a[7], b[7], 80, 100):
                 expected.add((a[5], b[5]))
     assert expected and got == expected
+
+
+def family(n, rnd):
+    """Sets that all reach 0.8 with each other, but not with the first, which is their keys' hub."""
+    base = [f"w{i}" for i in range(150)]
+    cut = lambda at, k: " ".join([*base[:at], *(f"x{rnd.random()}" for _ in range(k)), *base[at + k:]])
+    return [(0, cut(60, 24))] + [(i, cut(rnd.randrange(10, 136), 4)) for i in range(1, n)]
+
+
+def test_links_of_a_family_join_it_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PART_BYTES", 3000)
+    docs = family(60, random.Random(2))
+    got = jaccard_join.jaccard_groups(spark, frame(spark, docs)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == brute_groups(docs, 5, 80, 100)
+
+
+def test_joining_links_are_a_forest_of_the_similar_pairs():
+    rnd = np.random.RandomState(4)
+    base = np.unique(rnd.randint(0, 1 << 62, 200).astype(np.uint64))
+    sets = [np.unique(np.concatenate([rnd.permutation(base)[d:], rnd.randint(0, 1 << 62, d).astype(np.uint64)])) for d in rnd.randint(0, 30, 40)]
+    n, zero = len(sets), np.zeros(len(sets), np.int64)
+    t = pa.table({"id": np.arange(n), "component": np.arange(n), "n_shingles": [len(x) for x in sets], "side": zero + 3, "part": zero, "part_low": zero, "part_high": zero,
+                  "shingles": pa.array([x.tobytes() for x in sets], pa.binary())})
+    got = list(zip(*jaccard_join._joining_links(t, np.array([0, n]), 80, 100).to_pydict().values()))
+    root = list(range(n))
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for a, b in got:
+        assert jaccard_join.similar(sets[a], sets[b], 80, 100) and find(a) != find(b)
+        root[find(a)] = find(b)
+    assert all(find(a) == find(b) for a in range(n) for b in range(a) if jaccard_join.similar(sets[a], sets[b], 80, 100))
+    assert 0 < len(got) < n
