@@ -53,6 +53,18 @@ def addresses(proposal: dict) -> list[tuple[str, dict]]:
     return out
 
 
+def kept_rows(sheet: Workbook) -> DataFrame:
+    """A sheet's rows with text, kept for further looks: row, filled (columns with text), sums (those of them that sum rows up)."""
+    def work():
+        none = F.lit(None).cast("int")
+        texts = sheet.cells.filter(S.collapse(F.col("s")) != "").select("row", F.col("col").alias("filled"), none.alias("sums"))
+        tall = sheet.formulas.filter(is_vertical_aggregate(F.col("formula"))).select("row", none, "col")
+        rows = texts.union(tall).groupBy("row").agg(F.collect_set("filled").alias("filled"), F.collect_set("sums").alias("sums"))
+        return rows.filter(F.size("filled") > 0).withColumn("sums", F.array_intersect("filled", "sums")).persist()
+
+    return sheet.once("rows", work)
+
+
 def resolve_layout(proposal: dict, book: Workbook, basket_id: str) -> Resolved:
     validate(proposal, LAYOUT, LayoutError)
     grouping = dict(proposal["grouping"])
@@ -80,35 +92,36 @@ def resolve_layout(proposal: dict, book: Workbook, basket_id: str) -> Resolved:
         if index[path] >= width:
             raise LayoutError("A column lies outside the sheet", column=a["column"], role_path=path)
 
-    merges = [tuple(r) for r in sheet.merges.select("row", "col", "row2", "col2").collect()]  # of one sheet
     first, mapped = header[-1], sorted(set(index.values()))
     query = index["roles.input_query"]
-    cells = sheet.cells.filter(S.collapse(F.col("s")) != "").select("row", "col", "s")
-    sums = sheet.formulas.filter(is_vertical_aggregate(F.col("formula"))).select("row", "col", F.lit(True).alias("sums"))
-    marked = cells.join(F.broadcast(sums), ["row", "col"], "left").withColumn("sums", F.coalesce("sums", F.lit(False))).cache()
-    _prove_header(header, named, index, marked, merges)
-    last = _last_row(marked, merges, query, first, height)
-    vertical = [m for m in merges if m[2] > m[0] and m[2] >= first and m[0] <= last]
-    if any(m[1] <= query <= m[3] for m in vertical) or (grouping["kind"] == "none" and vertical):
+    rows = kept_rows(sheet)
+    _prove_header(header, named, index, sheet)
+    last = sheet.once(("last row", query, first), lambda: _last_row(sheet, query, first, height))
+    # vertical merges of the data: whether there are any, and whether one ties questions
+    tied = sheet.merges.filter((F.col("row2") > F.col("row")) & (F.col("row2") >= first) & (F.col("row") <= last))
+    vertical, questions = sheet.once(("tied", query, first, last), lambda: tied.agg(F.count("*"), F.count_if(F.lit(query).between(F.col("col"), F.col("col2")))).first())
+    if questions or (grouping["kind"] == "none" and vertical):
         grouping.update(kind="merged_rows", column=None)
 
-    per_row = marked.groupBy("row").agg(
-        F.count("*").alias("nonempty"), F.count_if(F.col("col").isin(mapped)).alias("mapped"),
-        F.count_if(F.col("col").isin(mapped) & ~F.col("sums")).alias("unsafe"),
-        F.count_if("sums").alias("sums"), F.count_if((F.col("col") == query) & ~F.col("sums")).alias("asked"))
+    within = F.array(*(F.lit(c) for c in mapped)).cast("array<int>")
+    ours = F.array_intersect("filled", within)
+    per_row = rows.select(
+        "row", F.size("filled").cast("long").alias("nonempty"), F.size(ours).alias("mapped"), F.size(F.array_except(ours, "sums")).alias("unsafe"), F.size("sums").alias("sums"),
+        (F.array_contains("filled", query) & ~F.array_contains("sums", query)).cast("int").alias("asked"))
     # a summary row below the data sums something up and asks nothing
     summary = (F.col("sums") > 0) & (F.col("asked") == 0)
     role = (F.when(F.col("row").isin([h - 1 for h in header]), "header").when(F.col("row").between(first, last), "data")
             .when(F.col("row") < header[0] - 1, "preamble").when(summary, "derived_summary").otherwise("metadata"))
     ledger = per_row.withColumn("role", role)
-    cut = ledger.filter("role = 'preamble' and mapped >= 2").agg(F.min("row")).first()[0]
+    cut, left = sheet.once(("outside", tuple(header), tuple(mapped), query, last), lambda: ledger.agg(
+        F.min(F.when((F.col("role") == "preamble") & (F.col("mapped") >= 2), F.col("row"))),
+        F.min(F.when((F.col("row") > last) & (F.col("role") == "metadata") & (F.col("unsafe") > 0), F.col("row")))).first())
     if cut is not None:
         raise LayoutError("A row above the header looks like data", row=cut + 1)
-    left = ledger.filter((F.col("row") > last) & (F.col("role") == "metadata") & (F.col("unsafe") > 0)).agg(F.min("row")).first()[0]
     if left is not None:
         raise LayoutError("Mapped columns hold data below the last row", row=left + 1)
 
-    parts = header_parts(sheet, [h - 1 for h in header])
+    parts = sheet.once(("header parts", *header), lambda: header_parts(sheet, [h - 1 for h in header]))
     names = header_names(parts, width)
     for path, a in named:
         _prove_name(path, a, parts.get(index[path], []), names[index[path]])
@@ -138,33 +151,38 @@ def resolve_layout(proposal: dict, book: Workbook, basket_id: str) -> Resolved:
     return Resolved(plan, region, shifted, ledger.select((F.col("row") + 1).alias("row"), "role", F.col("nonempty").alias("nonempty_cells")), tuple(header), last + 1, name)
 
 
-def _prove_header(header, named, index, marked: DataFrame, merges) -> None:
+def _prove_header(header, named, index, sheet: Workbook) -> None:
     """A further header row needs a horizontal merge above each mapped value."""
     if len(header) == 1:
         return
-    cells = {(r["row"], r["col"]): r["s"] for r in marked.filter(F.col("row").isin([h - 1 for h in header[1:]])).collect()}
+
+    def work():
+        seen = sheet.cells.filter(F.col("row").isin([h - 1 for h in header[1:]]) & (S.collapse(F.col("s")) != ""))
+        wide = sheet.merges.filter((F.col("col2") > F.col("col")) & (F.col("row") < header[-1]) & (F.col("row2") >= header[0] - 1))
+        return {(r["row"], r["col"]): r["s"] for r in seen.select("row", "col", "s").collect()}, [tuple(r) for r in wide.select("row", "col", "row2", "col2").collect()]
+
+    cells, merges = sheet.once(("header", *header), work)  # of the header's rows
     for h in header[1:]:
         above = [x - 1 for x in header if x < h]
         for path, a in named:
             value = cells.get((h - 1, index[path]))
             if value is None:
                 continue
-            wide = [m for m in merges if m[1] <= index[path] <= m[3] and m[3] > m[1]]
-            if not any(m[0] <= row <= m[2] for m in wide for row in above):
+            over = [m for m in merges if m[1] <= index[path] <= m[3]]
+            if not any(m[0] <= row <= m[2] for m in over for row in above):
                 raise LayoutError("A further header row holds a value without a merged cell above; it looks like data", row=h, column=a["column"], role_path=path, value=value[:120])
 
 
-def _last_row(marked: DataFrame, merges, query: int, first: int, height: int) -> int:
+def _last_row(sheet: Workbook, query: int, first: int, height: int) -> int:
     """The last row that asks something, merged cells to their end."""
-    asked = marked.filter((F.col("col") == query) & (F.col("row") >= first) & ~F.col("sums")).agg(F.max("row")).first()[0]
-    ends = [] if asked is None else [asked]
-    over = [m for m in merges if m[0] >= first and m[1] <= query <= m[3]]
-    if over:
-        tops = {(r["row"], r["col"]) for r in marked.filter(F.col("row").isin([m[0] for m in over])).select("row", "col").collect()}
-        ends += [m[2] for m in over if (m[0], m[1]) in tops]
-    if not ends:
+    rows = kept_rows(sheet)
+    asked = rows.filter((F.col("row") >= first) & F.array_contains("filled", query) & ~F.array_contains("sums", query)).agg(F.max("row").alias("end"))
+    over = sheet.merges.filter((F.col("row") >= first) & F.lit(query).between(F.col("col"), F.col("col2")))
+    tops = over.join(rows, "row").filter(F.array_contains("filled", F.col("col"))).agg(F.max("row2").alias("end"))
+    end = asked.union(tops).agg(F.max("end")).first()[0]
+    if end is None:
         raise LayoutError("The question column holds no rows")
-    return min(max(ends), height - 1)
+    return min(end, height - 1)
 
 
 def _prove_name(path: str, address: dict, parts: list[str], name: str) -> None:

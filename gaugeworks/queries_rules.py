@@ -211,7 +211,9 @@ _LAYOUTS = {
 @register(_values([(k, "accepted" if k in ("as it is",) else "layout_error") for k in _LAYOUTS], "case_name, outcome"))
 def layout_refusals(spark, sf):
     book = _book(spark, sf)
-    return spark.createDataFrame([(k, _outcome(lambda c=c: resolve_layout(_layout(**c), book, "CI042"))) for k, c in _LAYOUTS.items()], "case_name string, outcome string")
+    said = [(k, _outcome(lambda c=c: resolve_layout(_layout(**c), book, "CI042"))) for k, c in _LAYOUTS.items()]
+    book.release()
+    return spark.createDataFrame(said, "case_name string, outcome string")
 
 
 @register("""
