@@ -29,7 +29,8 @@ def carried(df: DataFrame, key: str, value: str, out: str, combine=F.max, partit
     if levels == 1:  # as many rows as a bucket takes, and a key that isn't known to be constant
         alone = Window.partitionBy(*partition, F.expr(f"`{key}` div {1 << 62}")).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(out, combine(value).over(alone))
-    rows = df.withColumn(b, F.expr(f"`{key}` div {bucket}"))
+    # never null, so that the join below filters neither of the two readers of the rows, and one exchange serves both
+    rows = df.withColumn(b, F.coalesce(F.expr(f"`{key}` div {bucket}"), F.lit(0).cast("long")))
     inside = Window.partitionBy(*partition, b).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy(*partition, b).agg(combine(value).alias(t))
     higher = carried(totals, b, t, above, combine, partition, bucket, levels - 1).select(*partition, b, above)

@@ -89,6 +89,43 @@ def test_islands_carry_over_buckets_and_partitions(spark, monkeypatch):
     assert "SinglePartition" not in plan
 
 
+@pytest.mark.parametrize("bucket", [1, 4, 30, 1000])
+def test_islands_of_partitions_cut_anywhere(spark, bucket):
+    rnd = random.Random(bucket)
+    rows = [(s, n, a, a + rnd.choice([0, 1, 2, 15, most, -3])) for s, n, most in (("x", 1, 90), ("x", None, 3), (None, 1, 6), (None, None, 90)) for a in (rnd.randint(-300, 300) for _ in range(40))]
+    rows += [("few", 1, 5, 9), ("few", 1, 9, 10), ("few", 1, -700, -650), ("one", 1, -9, 900), ("one", 1, 3, 4), (None, 2, 5, 1), ("null", 1, None, 4), ("null", 1, 4, None)]
+    df = spark.createDataFrame(rows, "sheet string, part int, r1 long, r2 long")
+    got = [tuple(r) for r in grouping.merge_islands(df, partition=("sheet", "part"), bucket=bucket).collect()]
+    valid = [r for r in rows if None not in r[2:] and r[2] <= r[3]]
+    assert {r[:2] for r in got} == {r[:2] for r in valid}
+    for key in {r[:2] for r in valid}:
+        assert sorted(r[2:] for r in got if r[:2] == key) == union_find([r[2:] for r in valid if r[:2] == key])
+    whole = grouping.merge_islands(df, bucket=bucket)
+    assert sorted(map(tuple, whole.collect())) == union_find([r[2:] for r in valid])
+
+
+def rows_shuffled(plan):
+    """Rows that a query's final plan has written to shuffles."""
+    name = plan.nodeName()
+    if name == "ReusedExchange":
+        return 0
+    if name == "AdaptiveSparkPlan":
+        return rows_shuffled(plan.executedPlan())
+    if name.endswith("QueryStage"):
+        return rows_shuffled(plan.plan())
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if name == "Exchange" else 0
+    children = plan.children()
+    return own + sum(rows_shuffled(children.apply(i)) for i in range(children.size()))
+
+
+def test_islands_shuffle_ranges_twice_however_far_apart(spark):
+    for apart in (7, 50_000, 10_000_000):
+        df = spark.range(3000).select((F.col("id") % 3).alias("sheet"), (F.col("id") * apart).alias("r1"), (F.col("id") * apart + 5).alias("r2"))
+        got = grouping.merge_islands(df, partition=("sheet",))
+        assert len(got.collect()) == 3000
+        assert rows_shuffled(got._jdf.queryExecution().executedPlan()) <= 2 * 3000 + 300
+
+
 def test_carried_sums_and_maxima(spark):
     rnd = random.Random(2)
     keys = rnd.sample(range(-300, 300), 80)
